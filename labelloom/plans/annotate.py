@@ -38,6 +38,7 @@ from labelloom.operators.resume import (
 )
 from labelloom.operators.token_budget import CharCounter, Counter
 from labelloom.plans.attempts import (
+    ACCEPTED,
     REFUSED,
     RETRY,
     first_attempt,
@@ -212,15 +213,18 @@ class AnnotationJob:
         return (paths[start:start + size] for start in range(0, len(paths), size))
 
     def _call(self, scan: CorpusScan, half_done: bool) -> set[str]:
-        documents = spread(
-            scan.documents(), self._slots(), "part", "pos"
-        ).withColumn("digest", row_digest(F.col("id"), F.col("text")))
-        if half_done:
-            documents = pending_rows(documents, _of_parts(self.responses(1), scan.paths))
-        outcomes = first_attempt(
-            documents, self.counter, self.client_factory, self.settings
+        documents = spread(scan.documents(), self._slots(), "part", "pos")
+        earlier = _of_parts(self.responses(1), scan.paths) if half_done else None
+        return self.call_documents(documents, earlier)
+
+    def call_documents(self, documents: DataFrame, earlier: DataFrame | None = None) -> set[str]:
+        """First attempt for the documents that have no answer in ``earlier``."""
+        documents = documents.withColumn("digest", row_digest(F.col("id"), F.col("text")))
+        if earlier is not None:
+            documents = pending_rows(documents, earlier)
+        return self._append(
+            first_attempt(documents, self.counter, self.client_factory, self.settings), 1
         )
-        return self._append(outcomes, 1)
 
     def call_retries(self, parts: Sequence[str] | None = None) -> set[str]:
         """Second attempt for all rows the first one left, also by earlier runs."""
@@ -245,6 +249,31 @@ class AnnotationJob:
         )
         return set(observation.get["datasets"] or ())
 
+    def adopt(self, ranked_records: DataFrame, ranked_documents: DataFrame) -> set[str]:
+        """Take over records of an earlier run that are known by position only.
+
+        Both inputs have ``dataset, rank, id``; a record counts for the document at its
+        place if the ids agree, else the corpus has changed and the record is an orphan.
+        """
+        there = ranked_records.select(
+            "dataset", "rank", F.col("id").alias("_id"), "annotation"
+        )
+        joined = ranked_documents.join(there, ["dataset", "rank"])
+        answered = self.responses(1)
+        rows = joined.filter(F.col("id").eqNullSafe(F.col("_id"))).select(
+            "dataset", "id", F.lit(None).cast("string").alias("text"), "part", "pos",
+            row_digest(F.col("id"), F.col("text")).alias("digest"),
+            *[
+                F.lit(None).cast(kind).alias(name)
+                for name, kind in (
+                    ("char_limit", "int"), ("prompt_tokens", "int"), ("over_budget", "boolean")
+                )
+            ],
+            F.to_json("annotation").alias("raw"), "annotation",
+            F.lit(ACCEPTED).alias("outcome"),
+        )
+        return self._append(pending_rows(rows, answered), 1)
+
     def _slots(self) -> int:
         return self.settings.slots or self.spark.sparkContext.defaultParallelism
 

@@ -58,13 +58,13 @@ class Collection:
 
     def annotate(self, dataset: str | None = None) -> list[str]:
         """Annotate every corpus not yet published, then publish the complete ones."""
-        files = self.files(dataset).withColumn("path_", F.col("path")).drop("path")
+        files = self.files(dataset)
         corpora = files.select("dataset").distinct().withColumn(
             "path", output_path(self.settings)
         )
         open_corpora = skip_published(corpora, published_paths(self.spark, self.target))
         wanted = files.join(open_corpora.select("dataset"), "dataset", "left_semi")
-        scan = self.scan(wanted.withColumnRenamed("path_", "path"))
+        scan = self.scan(wanted)
         if scan is None:
             return []
         job = self.job(scan)
