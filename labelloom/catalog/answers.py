@@ -42,7 +42,7 @@ FIRST_ANSWER = """CASE
   WHEN size % 19 = 0 THEN replace(whole, '"regional_relevance":', '"regional":')
   WHEN size % 23 = 0 THEN replace(whole, '{', '{"note":"x",')
   WHEN size % 29 = 0 THEN replace(whole, '"Text of ', '42,"more":"')
-  WHEN size % 31 = 0 THEN replace(whole, '"content_type":[', '"content_type":["poetry",')
+  WHEN size % 31 = 0 THEN replace(whole, '"content_type":', '"content_type":["poetry"],"more":')
   WHEN size % 37 = 0 THEN replace(whole, 'Text of', repeat('é', 201))
   WHEN size % 41 = 0 THEN replace(whole, '"business_sector":[', '"business_sector":"other","x":[')
   WHEN size % 43 = 0 THEN concat('[', whole, ']')

@@ -194,17 +194,23 @@ _STUB_FIELDS = ", ".join(
     for name in FIELD_NAMES
 )
 
-_RUN = _RETRY_LIMITS + f""",
+
+def _run(off_label_every: int) -> str:
+    """``run``: the prompt size behind each document's last answer; ``accepted``."""
+    fine = f"s1 % 7 <> 0 AND s1 % 11 <> 0 AND s1 % {off_label_every} <> 0"
+    return _RETRY_LIMITS + f""",
 prompts AS (
   SELECT dataset, id, {FRAME} + lim + CASE WHEN lim < size THEN {MARK} ELSE 0 END AS s1,
     {FRAME} + lim2 + CASE WHEN lim2 < size THEN {MARK} ELSE 0 END AS s2
   FROM second),
 run AS (
-  SELECT dataset, id, s1 % 7 <> 0 AND s1 % 11 <> 0 AND s1 % 13 <> 0 AS at_once,
-    CASE WHEN s1 % 7 <> 0 AND s1 % 11 <> 0 AND s1 % 13 <> 0 THEN s1 ELSE s2 END AS seen
+  SELECT dataset, id, {fine} AS at_once, CASE WHEN {fine} THEN s1 ELSE s2 END AS seen
   FROM prompts),
-accepted AS (SELECT dataset, id, seen FROM run WHERE at_once OR seen % 13 <> 0)
+accepted AS (SELECT dataset, id, seen FROM run WHERE at_once OR seen % {off_label_every} <> 0)
 """
+
+
+_RUN = _run(13)
 _RUN_RECORDS = f"{_RUN} SELECT dataset, id, {_STUB_FIELDS} FROM accepted"
 
 # -- corpora at different degrees of completeness ---------------------------------
@@ -329,10 +335,10 @@ SELECT dataset, id, {_STUB_FIELDS} FROM (SELECT dataset, id, s1 AS seen FROM pro
     "rejected_documents": f"""{_RUN}
 SELECT dataset, id, 'label:content_quality' AS reasons, 2 AS attempts
 FROM run WHERE NOT at_once AND seen % 13 = 0""",
-    "published_corpora": f"""{_RUN}
+    "published_corpora": f"""{_run(251)}
 SELECT dataset, concat('annotations/', dataset, '/{SLUG}.parquet') AS path,
   concat('Add ', dataset, ' annotations with {MODEL}') AS message, count(*) AS n_rows
-FROM run GROUP BY dataset HAVING bool_and(at_once OR seen % 13 <> 0)""",
+FROM run GROUP BY dataset HAVING bool_and(at_once OR seen % 251 <> 0)""",
     "resume_pending": _UNLABELLED,
     "resume_rows": _UNLABELLED,
     "resume_by_position": f"""WITH {_PROGRESS}
@@ -346,7 +352,7 @@ SELECT dataset, id, concat('Size ', length(text)) AS description FROM ({DOCS})""
     "skip_published": f"""
 SELECT dataset, path FROM ({_NAMED}) WHERE dataset NOT IN (
   SELECT source FROM documents JOIN labels USING (doc_id) GROUP BY source
-  HAVING sum(quality) * 2 > count(*))""",
+  HAVING sum(quality) * 4 > count(*) * 3)""",
     "completeness": f"{_STATES} SELECT * FROM states",
     "publishable": f"""{_STATES}
 SELECT dataset, expected_rows FROM states WHERE state = 'complete'""",

@@ -318,11 +318,10 @@ def annotate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(records(called.withColumn("outcome", F.lit("accepted"))))
 
 
-def _job(spark: SparkSession, purpose: str) -> AnnotationJob:
+def _job(spark: SparkSession, purpose: str, off_label_every: int = 13) -> AnnotationJob:
     ship_package(spark)
-    return AnnotationJob(
-        spark, scratch_root(spark, purpose), SETTINGS, PromptSizeModel(flaky=True)
-    )
+    model = PromptSizeModel(flaky=True, off_label_every=off_label_every)
+    return AnnotationJob(spark, scratch_root(spark, purpose), SETTINGS, model)
 
 
 def annotate_corpora(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -364,7 +363,7 @@ def incremental_annotate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def published_corpora(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manifest after publishing: only corpora without a refused document are whole."""
-    job = _job(spark, "publish")
+    job = _job(spark, "publish", off_label_every=251)
     scan = _scan(spark, sf_dir)
     job.run(scan)
     target = f"{job.root}/published"
@@ -433,14 +432,14 @@ def merged_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def skip_published(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Corpora whose output is not published; those with mostly good labels are."""
+    """Corpora whose output is not published; those with three good labels in four are."""
     path = paths.annotation_path(F.col("dataset"), F.lit(SETTINGS.model_name))
     published = (
         _documents(spark, sf_dir).select("dataset", "id")
         .join(_labelled(spark, sf_dir), "id")
         .groupBy("dataset")
         .agg(F.sum("quality").alias("good"), F.count(F.lit(1)).alias("n"))
-        .filter(F.col("good") * 2 > F.col("n"))
+        .filter(F.col("good") * 4 > F.col("n") * 3)
         .select(path.alias("path"))
     )
     named = list_corpora(spark, sf_dir).withColumn("path", path)

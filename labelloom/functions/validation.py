@@ -28,6 +28,7 @@ from labelloom.fixed_values import (
     FIELD_ALIASES,
     LIST_FIELDS,
 )
+from labelloom.functions.binding import bind
 from labelloom.taxonomy import ANNOTATION_TYPE, FIELD_NAMES, LIST_DOMAINS, SCALAR_DOMAINS
 
 _LIST_SHAPE = r"ARRAY<(?:STRING|VOID)>"
@@ -110,19 +111,17 @@ def parse_annotations(df: DataFrame, raw: str = "raw") -> DataFrame:
     for name in FIELD_NAMES:
         accepted = accepted & _labels_known(answer, name)
     record = F.struct(*[_field(answer, name).alias(name) for name in FIELD_NAMES])
-    return (
-        accept_duplicate_keys(df)
-        .withColumn("_parsed", _guarded_parse(response))
-        .withColumn(
-            "_answer",
-            F.when(
-                _well_formed(response, parsed) & complete,
-                F.try_variant_get(parsed, "$[0]", _CAST_DDL),
-            ),
-        )
-        .withColumn("annotation", F.when(accepted, record).cast(ANNOTATION_TYPE))
-        .drop("_parsed", "_answer")
+    parsed_once = bind(accept_duplicate_keys(df), "_parsed", _guarded_parse(response))
+    cast_once = bind(
+        parsed_once,
+        "_answer",
+        F.when(
+            _well_formed(response, parsed) & complete,
+            F.try_variant_get(parsed, "$[0]", _CAST_DDL),
+        ),
     )
+    judged_once = bind(cast_once, "annotation", F.when(accepted, record).cast(ANNOTATION_TYPE))
+    return judged_once.drop("_parsed", "_answer")
 
 
 def is_empty_response(raw: Column) -> Column:
@@ -180,18 +179,14 @@ def with_reject_reasons(df: DataFrame, raw: str = "raw") -> DataFrame:
         F.array_sort(F.array_except(keys, F.array(*allowed))),
         lambda key: F.concat(F.lit("unexpected:"), key),
     )
-    return (
-        accept_duplicate_keys(df)
-        .withColumn("_parsed", _guarded_parse(response))
-        .withColumn("_root", root)
-        .withColumn("_answer", answer)
-        .withColumn("_keys", F.array_distinct(F.json_object_keys(response)))
-        .withColumn(
-            "reasons",
-            F.when(is_empty_response(response), F.array(F.lit("empty_response")))
-            .when(~_well_formed(response, parsed), F.array(F.lit("not_json")))
-            .when(~F.startswith(F.col("_root"), F.lit("OBJECT<")), F.array(F.lit("not_object")))
-            .otherwise(F.concat(faults, unexpected)),
-        )
-        .drop("_parsed", "_root", "_answer", "_keys")
+    df = bind(accept_duplicate_keys(df), "_parsed", _guarded_parse(response))
+    df = bind(df, "_root", root)
+    df = bind(df, "_answer", answer)
+    df = bind(df, "_keys", F.array_distinct(F.json_object_keys(response)))
+    reasons = (
+        F.when(is_empty_response(response), F.array(F.lit("empty_response")))
+        .when(~_well_formed(response, parsed), F.array(F.lit("not_json")))
+        .when(~F.startswith(F.col("_root"), F.lit("OBJECT<")), F.array(F.lit("not_object")))
+        .otherwise(F.concat(faults, unexpected))
     )
+    return df.withColumn("reasons", reasons).drop("_parsed", "_root", "_answer", "_keys")

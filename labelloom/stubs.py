@@ -36,19 +36,20 @@ class PromptSizeModel:
     """Answers from the size of the prompt's user message, in characters.
 
     ``flaky`` makes it fail as models do, by that size: cut off (multiples of 7) or
-    silent (of 11) under the smaller output budget, and off the label set (of 13)
-    under any. The factory returns itself, so an instance is a client factory too.
+    silent (of 11) under the smaller output budget, and off the label set (of
+    ``off_label_every``) under any. The factory returns itself, so an instance is a client factory too.
     """
 
     flaky: bool = False
     small_output: int = 512
+    off_label_every: int = 13
 
     def __call__(self):
         return self.answer
 
     def answer(self, messages: list, max_tokens: int, response_format: dict) -> str | None:
         size = len(messages[1]["content"])
-        label = "unheard_of" if self.flaky and size % 13 == 0 else "good"
+        label = "unheard_of" if self.flaky and size % self.off_label_every == 0 else "good"
         text = json.dumps(
             {
                 **CANONICAL_ANSWER,
