@@ -44,23 +44,22 @@ def chat_messages(text: Column, limit: Column | int = MAX_CONTENT_CHARS) -> Colu
     )
 
 
-def prompt_chars(text: Column, limit: Column | int = MAX_CONTENT_CHARS) -> Column:
-    """Characters of the whole prompt without building it."""
-    limit, size = _int(limit), F.length(text)
+def prompt_chars(size: Column, limit: Column | int = MAX_CONTENT_CHARS) -> Column:
+    """Characters of the whole prompt of a text of ``size``, without building it."""
+    limit = _int(limit)
     mark = F.when(limit < size, len(TRUNCATION_MARK)).otherwise(0)
     return F.lit(EMPTY_PROMPT_CHARS) + F.least(size, limit) + mark
 
 
 def char_budget_limit(
-    text: Column, input_budget: int, cap: int = MAX_CONTENT_CHARS
+    size: Column, input_budget: int, cap: int = MAX_CONTENT_CHARS
 ) -> Column:
-    """Longest head of ``text`` whose prompt stays within a character budget.
+    """Longest head of a text of ``size`` whose prompt stays within a character budget.
 
     The capped text is kept when it fits as it is; otherwise the mark must fit too.
     Zero when not even the mark fits, so the prompt may still exceed the budget.
     """
     room, mark = input_budget - EMPTY_PROMPT_CHARS, len(TRUNCATION_MARK)
-    size = F.length(text)
     capped = F.least(size, F.lit(cap))
     needed = capped + F.when(capped < size, mark).otherwise(0)
     return F.when(needed <= room, capped).otherwise(

@@ -26,9 +26,14 @@ def bounded_prompts(
 ) -> DataFrame:
     """Add ``char_limit, prompt_tokens, over_budget`` for an attempt's input budget."""
     bound = counter.bound(
-        F.col("text"), settings.input_budget(attempt), settings.max_content_chars
+        F.col("text"), F.col("_size"), settings.input_budget(attempt),
+        settings.max_content_chars,
+    )
+    return (
+        documents.withColumn("_size", F.length("text"))
+        .withColumn("_bound", bound)
+        .select(*documents.columns, "_bound.*")
     )
-    return documents.withColumn("_bound", bound).select(*documents.columns, "_bound.*")
 
 
 def retry_bounds(first: DataFrame, counter: Counter, settings: Settings) -> DataFrame:
@@ -39,7 +44,8 @@ def retry_bounds(first: DataFrame, counter: Counter, settings: Settings) -> Data
     """
     same = fits_context(F.col("prompt_tokens"), settings, 2)
     again = counter.bound(
-        F.when(~same, F.col("text")), settings.input_budget(2), settings.max_content_chars
+        F.when(~same, F.col("text")), F.col("_size"), settings.input_budget(2),
+        settings.max_content_chars,
     )
 
     def merged(name: str) -> Column:
@@ -47,7 +53,7 @@ def retry_bounds(first: DataFrame, counter: Counter, settings: Settings) -> Data
 
     kept = [name for name in first.columns
             if name not in ("char_limit", "prompt_tokens", "over_budget")]
-    return first.withColumn("_again", again).select(
+    return first.withColumn("_size", F.length("text")).withColumn("_again", again).select(
         *kept, merged("char_limit"), merged("prompt_tokens"), merged("over_budget")
     )
 

@@ -32,8 +32,8 @@ _CORPUS_PATH = r"/([^/]+)/\1\.parquet(?:/[^/]+)?$"
 
 
 def corpus_of_path(path: Column) -> Column:
-    """Corpus name of ``…/<name>/<name>.parquet`` or a part file below it, else null."""
-    return F.nullif(F.regexp_extract(path, _CORPUS_PATH, 1), F.lit(""))
+    """Corpus name of ``…/<name>/<name>.parquet`` or a part file below it, else empty."""
+    return F.regexp_extract(path, _CORPUS_PATH, 1)
 
 
 def file_of_row() -> Column:
@@ -59,7 +59,7 @@ def corpus_files(
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     dataset = corpus_of_path(F.col("path")) if name is None else name
     listed = files.select(dataset.alias("dataset"), "path", "length").filter(
-        F.col("dataset").isNotNull()
+        F.col("dataset") != ""
     )
     pointers = (
         files.filter(F.col("length") <= POINTER_MAX_BYTES)

@@ -14,12 +14,16 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]")
         .appName("labelloom-tests")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "6g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    from labelloom.deploy import ship_package
+
+    ship_package(session)
     yield session
     session.stop()
 
