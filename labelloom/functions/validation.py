@@ -85,32 +85,40 @@ def _well_formed(raw: Column, parsed: Column) -> Column:
     )
 
 
-def _field(answer: Column, name: str) -> Column:
-    return F.coalesce(*[answer[spelling] for spelling in _spellings(name)])
+def _sql_list(values: tuple[str, ...]) -> str:
+    return ", ".join(f"'{value}'" for value in values)
 
 
-def _labels_known(answer: Column, name: str) -> Column:
-    value = _field(answer, name)
+def _field(name: str) -> str:
+    """SQL of an answer's field, under whichever spelling it came."""
+    if name not in FIELD_ALIASES:
+        return f"_answer.{name}"
+    return "coalesce(" + ", ".join(f"_answer.{s}" for s in _spellings(name)) + ")"
+
+
+def _labels_known(name: str) -> str:
+    """SQL test of a field's labels. Null elements are never known."""
     if name in LIST_DOMAINS:
-        known = F.array(*[F.lit(label) for label in LIST_DOMAINS[name]])
-        return F.size(F.array_except(value, known)) == 0
+        return f"size(array_except({_field(name)}, array({_sql_list(LIST_DOMAINS[name])}))) = 0"
     if name in LIST_FIELDS:
-        nulls = F.array(F.lit(None).cast("string"))
-        return F.size(F.array_except(value, nulls)) == F.size(F.array_distinct(value))
+        without_null = f"array_except({_field(name)}, array(CAST(NULL AS STRING)))"
+        return f"size({without_null}) = size(array_distinct({_field(name)}))"
     if name == DESCRIPTION_FIELD:
-        return F.length(value) <= DESCRIPTION_MAX_CHARS
-    return value.isin(*SCALAR_DOMAINS[name])
+        return f"length({_field(name)}) <= {DESCRIPTION_MAX_CHARS}"
+    return f"{_field(name)} IN ({_sql_list(SCALAR_DOMAINS[name])})"
+
+
+_RECORD = "named_struct(" + ", ".join(f"'{n}', {_field(n)}" for n in FIELD_NAMES) + ")"
+_ACCEPTED_RECORD = (
+    "CASE WHEN " + " AND ".join(map(_labels_known, FIELD_NAMES)) + f" THEN {_RECORD} END"
+)
 
 
 def parse_annotations(df: DataFrame, raw: str = "raw") -> DataFrame:
     """Add ``annotation``: the record in output order, or null for a refused response."""
-    response, parsed, answer = F.col(raw), F.col("_parsed"), F.col("_answer")
+    response, parsed = F.col(raw), F.col("_parsed")
     shape = F.schema_of_variant(F.try_variant_get(parsed, "$[0]", "variant"))
     complete = F.rlike(shape, F.lit(_answer_shape()))
-    accepted = F.lit(True)
-    for name in FIELD_NAMES:
-        accepted = accepted & _labels_known(answer, name)
-    record = F.struct(*[_field(answer, name).alias(name) for name in FIELD_NAMES])
     parsed_once = bind(accept_duplicate_keys(df), "_parsed", _guarded_parse(response))
     cast_once = bind(
         parsed_once,
@@ -120,8 +128,8 @@ def parse_annotations(df: DataFrame, raw: str = "raw") -> DataFrame:
             F.try_variant_get(parsed, "$[0]", _CAST_DDL),
         ),
     )
-    judged_once = bind(cast_once, "annotation", F.when(accepted, record).cast(ANNOTATION_TYPE))
-    return judged_once.drop("_parsed", "_answer")
+    annotation = F.expr(_ACCEPTED_RECORD).cast(ANNOTATION_TYPE)
+    return bind(cast_once, "annotation", annotation).drop("_parsed", "_answer")
 
 
 def is_empty_response(raw: Column) -> Column:
@@ -136,57 +144,50 @@ def response_status(raw: Column, annotation: Column) -> Column:
     )
 
 
+def _fault(name: str) -> str:
+    """SQL of what is wrong with a field, or null."""
+    spellings = _spellings(name)
+    present = " OR ".join(f"array_contains(_keys, '{s}')" for s in spellings)
+    values = ", ".join(f"try_variant_get(_parsed, '$[0].{s}', 'variant')" for s in spellings)
+    expected = f"^{_LIST_SHAPE}$" if name in LIST_FIELDS else "^STRING$"
+    content = "too_long" if name == DESCRIPTION_FIELD else "label"
+    return f"""CASE WHEN NOT ({present}) THEN 'missing:{name}'
+        WHEN NOT coalesce(schema_of_variant(coalesce({values})) RLIKE '{expected}', FALSE)
+          THEN 'type:{name}'
+        WHEN NOT coalesce({_labels_known(name)}, FALSE) THEN '{content}:{name}' END"""
+
+
+_FAULTS = ", ".join(
+    [
+        *map(_fault, FIELD_NAMES),
+        *(
+            f"CASE WHEN array_contains(_keys, '{name}') AND array_contains(_keys, '{alias}') "
+            f"THEN 'unexpected:{alias}' END"
+            for name, alias in FIELD_ALIASES.items()
+        ),
+    ]
+)
+_ALLOWED_KEYS = _sql_list(tuple(s for name in FIELD_NAMES for s in _spellings(name)))
+_ALL_FAULTS = f"""concat(
+    array_compact(array({_FAULTS})),
+    transform(array_sort(array_except(_keys, array({_ALLOWED_KEYS}))),
+      key -> concat('unexpected:', key)))"""
+
+
 def with_reject_reasons(df: DataFrame, raw: str = "raw") -> DataFrame:
     """Add ``reasons``: everything that is wrong with a response, in field order.
 
     Run it on refused responses; an acceptable one gets an empty list.
     """
-    response, parsed, keys = F.col(raw), F.col("_parsed"), F.col("_keys")
+    response, parsed = F.col(raw), F.col("_parsed")
     root = F.schema_of_variant(F.try_variant_get(parsed, "$[0]", "variant"))
-    answer = F.try_variant_get(parsed, "$[0]", _CAST_DDL)
-
-    def fault(name: str) -> Column:
-        spelled = [F.array_contains(keys, spelling) for spelling in _spellings(name)]
-        present = spelled[0] if len(spelled) == 1 else spelled[0] | spelled[1]
-        kind = F.schema_of_variant(
-            F.coalesce(
-                *[
-                    F.try_variant_get(parsed, f"$[0].{spelling}", "variant")
-                    for spelling in _spellings(name)
-                ]
-            )
-        )
-        expected = f"^{_LIST_SHAPE}$" if name in LIST_FIELDS else "^STRING$"
-        content = "too_long" if name == DESCRIPTION_FIELD else "label"
-        return (
-            F.when(~present, f"missing:{name}")
-            .when(~F.coalesce(F.rlike(kind, F.lit(expected)), F.lit(False)), f"type:{name}")
-            .when(
-                ~F.coalesce(_labels_known(F.col("_answer"), name), F.lit(False)),
-                f"{content}:{name}",
-            )
-        )
-
-    allowed = [F.lit(spelling) for name in FIELD_NAMES for spelling in _spellings(name)]
-    both_spellings = [
-        F.when(
-            F.array_contains(keys, name) & F.array_contains(keys, alias), f"unexpected:{alias}"
-        )
-        for name, alias in FIELD_ALIASES.items()
-    ]
-    faults = F.array_compact(F.array(*[fault(name) for name in FIELD_NAMES], *both_spellings))
-    unexpected = F.transform(
-        F.array_sort(F.array_except(keys, F.array(*allowed))),
-        lambda key: F.concat(F.lit("unexpected:"), key),
-    )
     df = bind(accept_duplicate_keys(df), "_parsed", _guarded_parse(response))
-    df = bind(df, "_root", root)
-    df = bind(df, "_answer", answer)
+    df = bind(df, "_answer", F.try_variant_get(parsed, "$[0]", _CAST_DDL))
     df = bind(df, "_keys", F.array_distinct(F.json_object_keys(response)))
     reasons = (
         F.when(is_empty_response(response), F.array(F.lit("empty_response")))
         .when(~_well_formed(response, parsed), F.array(F.lit("not_json")))
-        .when(~F.startswith(F.col("_root"), F.lit("OBJECT<")), F.array(F.lit("not_object")))
-        .otherwise(F.concat(faults, unexpected))
+        .when(~F.startswith(root, F.lit("OBJECT<")), F.array(F.lit("not_object")))
+        .otherwise(F.expr(_ALL_FAULTS))
     )
-    return df.withColumn("reasons", reasons).drop("_parsed", "_root", "_answer", "_keys")
+    return df.withColumn("reasons", reasons).drop("_parsed", "_answer", "_keys")

@@ -295,7 +295,10 @@ class AnnotationJob:
         replace_partitions(
             self._sized(accepted), self.annotations_path, "dataset", "model_slug"
         )
-        refused = with_reject_reasons(outcomes.filter(F.col("outcome") == REFUSED))
+        refused = outcomes.filter(F.col("outcome") == REFUSED)
+        if refused.isEmpty():
+            return
+        refused = with_reject_reasons(refused)
         reasons = F.when(F.col("attempts") == 0, F.array(F.lit("null_text"))).otherwise(
             F.col("reasons")
         )
