@@ -1,16 +1,15 @@
 """Annotating corpora: a resumable job over parquet tables.
 
-Three tables live below one root:
+Two tables live below one root:
 
 * ``responses``    every model answer, appended per attempt, with its row key;
-* ``annotations``  ``dataset, id, 18 labels``, partitioned by corpus and model;
-* ``rejects``      rows no attempt could annotate, with raw text and reasons.
+* ``annotations``  ``dataset, id, 18 labels``, partitioned by corpus and model.
 
 The response table is the only state. Each step works on what that table still lacks,
 so a run that dies anywhere, even halfway through a commit, is continued by running it
 again: rows that were committed are skipped, all others are done once more.
-Annotations and rejects are derived from it and rewritten per corpus, so they are
-always whole.
+Annotations are derived from it and rewritten per corpus, so they are always whole.
+Rows that no attempt could annotate stay in it as rejects, with raw text and reasons.
 
 No text is shuffled on a fresh run. Prompts, calls and validation follow the scan, retry
 rows carry their text with them, and files are matched with earlier work by file, not by
@@ -22,7 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,6 +50,7 @@ from labelloom.sources.tables import ensure_table
 from labelloom.taxonomy import ANNOTATION_TYPE
 
 
+PARTITION_KEYS = ("dataset", "model_slug")
 # Up to this many files, earlier answers are looked up by file name at the scan.
 FEW_PARTS = 1_000
 
@@ -60,7 +60,7 @@ class OverComplete(ValueError):
 
 
 class RefusedDocuments(ValueError):
-    """Some documents could not be annotated; they are in the reject table."""
+    """Some documents could not be annotated; they are among the rejects."""
 
 
 def _responses_type(id_type: T.DataType) -> T.StructType:
@@ -93,19 +93,6 @@ def annotations_type(id_type: T.DataType) -> T.StructType:
     )
 
 
-def rejects_type(id_type: T.DataType) -> T.StructType:
-    return T.StructType(
-        [
-            T.StructField("id", id_type),
-            T.StructField("raw", T.StringType()),
-            T.StructField("reasons", T.ArrayType(T.StringType())),
-            T.StructField("attempts", T.IntegerType()),
-            T.StructField("dataset", T.StringType()),
-            T.StructField("model_slug", T.StringType()),
-        ]
-    )
-
-
 def _rows_by_part(rows: DataFrame) -> list:
     return rows.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()
 
@@ -137,10 +124,6 @@ class AnnotationJob:
     def annotations_path(self) -> str:
         return f"{self.root}/annotations"
 
-    @property
-    def rejects_path(self) -> str:
-        return f"{self.root}/rejects"
-
     def _attempt_path(self, attempt: int) -> str:
         return f"{self.root}/responses/model_slug={self.settings.model_slug}/attempt={attempt}"
 
@@ -150,29 +133,36 @@ class AnnotationJob:
         )
 
     def annotations(self) -> DataFrame:
-        return self._of_model(
-            ensure_table(self.spark, self.annotations_path, annotations_type(self.id_type))
-        )
+        schema = annotations_type(self.id_type)
+        table = ensure_table(self.spark, self.annotations_path, schema, PARTITION_KEYS)
+        return table.filter(F.col("model_slug") == self.settings.model_slug)
+
+    def outcomes(self) -> DataFrame:
+        """The last outcome of every answered row, with the attempts it took."""
+        first = self.responses(1).filter(F.col("outcome") != RETRY)
+        return first.withColumn(
+            "attempts", F.when(F.col("raw").isNotNull(), 1).otherwise(0)
+        ).unionByName(self.responses(2).withColumn("attempts", F.lit(2)))
 
     def rejects(self) -> DataFrame:
-        return self._of_model(
-            ensure_table(self.spark, self.rejects_path, rejects_type(self.id_type))
+        """``dataset, id, raw, reasons, attempts`` of the rows no attempt could annotate."""
+        refused = with_reject_reasons(self.outcomes().filter(F.col("outcome") == REFUSED))
+        reasons = F.when(F.col("attempts") == 0, F.array(F.lit("null_text"))).otherwise(
+            F.col("reasons")
         )
-
-    def _of_model(self, table: DataFrame) -> DataFrame:
-        return table.filter(F.col("model_slug") == self.settings.model_slug)
+        return refused.select("dataset", "id", "raw", reasons.alias("reasons"), "attempts")
 
     # -- steps ------------------------------------------------------------------
 
     def run(self, scan: CorpusScan) -> None:
         """Annotate what is left of the scanned corpora and bring all tables up to date."""
-        touched = self.call_open_parts(scan)
-        retried = self.call_retries()
-        self.derive_tables(touched | retried)
+        self.call_open_parts(scan)
+        self.call_retries()
+        self.derive_tables(self.stale_corpora())
         if self.settings.on_invalid == "fail":
-            refused = self.rejects().limit(1).count()
-            if refused:
-                raise RefusedDocuments(f"see {self.rejects_path}")
+            refused = self.outcomes().filter(F.col("outcome") == REFUSED)
+            if not refused.isEmpty():
+                raise RefusedDocuments("some documents were refused; see rejects()")
 
     def open_parts(self, scan: CorpusScan) -> tuple[list[str], list[str]]:
         """Files with unanswered rows: untouched ones, and ones left half done.
@@ -193,63 +183,53 @@ class AnnotationJob:
         half_done = sorted(part for part, n in wanted.items() if 0 < done.get(part, 0) < n)
         return untouched, half_done
 
-    def call_open_parts(self, scan: CorpusScan) -> set[str]:
-        """First attempt for all rows without an answer. Returns the corpora involved."""
+    def call_open_parts(self, scan: CorpusScan) -> None:
+        """First attempt for all rows without an answer."""
         whole = self.settings.parts_per_commit is None
         if whole and self.responses(1).isEmpty():
             untouched, half_done = list(scan.paths), []
         else:
             untouched, half_done = self.open_parts(scan)
-        touched: set[str] = set()
         for paths in self._commits(untouched):
-            touched |= self._call(scan.only(paths), half_done=False)
+            self._call(scan.only(paths), half_done=False)
         for paths in self._commits(half_done):
-            touched |= self._call(scan.only(paths), half_done=True)
-        return touched
+            self._call(scan.only(paths), half_done=True)
 
     def _commits(self, paths: list[str]) -> Iterable[list[str]]:
         """One job per ``parts_per_commit`` files; a finished job is never redone."""
         size = self.settings.parts_per_commit or max(len(paths), 1)
         return (paths[start:start + size] for start in range(0, len(paths), size))
 
-    def _call(self, scan: CorpusScan, half_done: bool) -> set[str]:
+    def _call(self, scan: CorpusScan, half_done: bool) -> None:
         documents = spread(scan.documents(), self._slots(), "part", "pos")
         earlier = _of_parts(self.responses(1), scan.paths) if half_done else None
-        return self.call_documents(documents, earlier)
+        self.call_documents(documents, earlier)
 
-    def call_documents(self, documents: DataFrame, earlier: DataFrame | None = None) -> set[str]:
+    def call_documents(self, documents: DataFrame, earlier: DataFrame | None = None) -> None:
         """First attempt for the documents that have no answer in ``earlier``."""
         documents = documents.withColumn("digest", row_digest(F.col("id"), F.col("text")))
         if earlier is not None:
             documents = pending_rows(documents, earlier)
-        return self._append(
+        self._append(
             first_attempt(documents, self.counter, self.client_factory, self.settings), 1
         )
 
-    def call_retries(self, parts: Sequence[str] | None = None) -> set[str]:
+    def call_retries(self, parts: Sequence[str] | None = None) -> None:
         """Second attempt for all rows the first one left, also by earlier runs."""
         retries = _of_parts(self.responses(1).filter(F.col("outcome") == RETRY), parts)
         retries = spread(retries, self._slots(), "part", "pos")
         answered = _of_parts(self.responses(2), parts)
         if not answered.isEmpty():
             retries = pending_rows(retries, answered)
-        return self._append(
+        self._append(
             second_attempt(retries, self.counter, self.client_factory, self.settings), 2
         )
 
-    def _append(self, outcomes: DataFrame, attempt: int) -> set[str]:
-        """Commit outcomes; the corpora seen are observed while they are written."""
-        observation = Observation()
-        schema = _responses_type(self.id_type)
-        (
-            outcomes.select(*schema.fieldNames())
-            .observe(observation, F.collect_set("dataset").alias("datasets"))
-            .write.mode("append")
-            .parquet(self._attempt_path(attempt))
-        )
-        return set(observation.get["datasets"] or ())
+    def _append(self, outcomes: DataFrame, attempt: int) -> None:
+        columns = _responses_type(self.id_type).fieldNames()
+        outcomes.select(*columns).write.mode("append").parquet(self._attempt_path(attempt))
 
-    def adopt(self, ranked_records: DataFrame, ranked_documents: DataFrame) -> set[str]:
+    def adopt(self, ranked_records: DataFrame, ranked_documents: DataFrame) -> None:
         """Take over records of an earlier run that are known by position only.
 
         Both inputs have ``dataset, rank, id``; a record counts for the document at its
@@ -272,48 +252,36 @@ class AnnotationJob:
             F.to_json("annotation").alias("raw"), "annotation",
             F.lit(ACCEPTED).alias("outcome"),
         )
-        return self._append(pending_rows(rows, answered), 1)
+        self._append(pending_rows(rows, answered), 1)
 
     def _slots(self) -> int:
         return self.settings.slots or self.spark.sparkContext.defaultParallelism
 
-    def outcomes(self) -> DataFrame:
-        """The last outcome of every answered row, with the attempts it took."""
-        first = self.responses(1).filter(F.col("outcome") != RETRY)
-        return first.withColumn(
-            "attempts", F.when(F.col("raw").isNotNull(), 1).otherwise(0)
-        ).unionByName(self.responses(2).withColumn("attempts", F.lit(2)))
+    def stale_corpora(self) -> list[str]:
+        """Corpora whose annotation table lacks rows that have been accepted.
+
+        Counts per corpus of two narrow columns and of file footers; names to the driver.
+        """
+        accepted = corpus_counts(self.outcomes().filter(F.col("outcome") == ACCEPTED))
+        written = corpus_counts(self.annotations()).withColumnRenamed("n_rows", "n_written")
+        stale = accepted.join(written, "dataset", "left").filter(
+            F.col("n_rows") != F.coalesce("n_written", F.lit(0))
+        )
+        return sorted(row.dataset for row in stale.select("dataset").collect())
 
     def derive_tables(self, datasets: Iterable[str]) -> None:
-        """Rewrite annotations and rejects of the given corpora from all answers."""
+        """Rewrite the annotations of the given corpora from all answers."""
         names = sorted(datasets)
         if not names:
             return
         slug = F.lit(self.settings.model_slug).alias("model_slug")
-        outcomes = self.outcomes().filter(F.col("dataset").isin(names))
-        accepted = records(outcomes).select("*", slug)
-        replace_partitions(
-            self._sized(accepted), self.annotations_path, "dataset", "model_slug"
-        )
-        refused = outcomes.filter(F.col("outcome") == REFUSED)
-        if refused.isEmpty():
-            return
-        refused = with_reject_reasons(refused)
-        reasons = F.when(F.col("attempts") == 0, F.array(F.lit("null_text"))).otherwise(
-            F.col("reasons")
-        )
-        rejects = refused.select(
-            "id", "raw", reasons.alias("reasons"), "attempts", "dataset", slug
-        )
+        accepted = records(self.outcomes().filter(F.col("dataset").isin(names)))
+        # Well-sized files per corpus: a large one is split, small ones are packed.
+        sized = accepted.select("*", slug).hint("rebalance", "dataset")
         replace_partitions(
-            self._sized(rejects), self.rejects_path, "dataset", "model_slug"
+            sized.sortWithinPartitions("dataset", "id"), self.annotations_path, *PARTITION_KEYS
         )
 
-    @staticmethod
-    def _sized(table: DataFrame) -> DataFrame:
-        """Well-sized files per corpus: a large corpus is split, small ones are packed."""
-        return table.hint("rebalance", "dataset").sortWithinPartitions("dataset", "id")
-
     # -- checks -----------------------------------------------------------------
 
     def states(self, scan: CorpusScan) -> DataFrame:

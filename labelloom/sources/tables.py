@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def ensure_table(
+    spark: SparkSession, path: str, schema: T.StructType, partition_keys: Sequence[str] = ()
+) -> DataFrame:
     """The parquet table at ``path``, created empty with ``schema`` when it is missing."""
-    spark.createDataFrame([], schema).coalesce(1).write.mode("ignore").parquet(path)
+    empty = spark.createDataFrame([], schema).coalesce(1)
+    empty.write.mode("ignore").partitionBy(*partition_keys).parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 

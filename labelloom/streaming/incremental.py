@@ -59,5 +59,4 @@ class IncrementalAnnotation:
     def catch_up(self) -> None:
         """Process everything that has arrived, then bring the derived tables up to date."""
         self.start(availableNow=True).awaitTermination()
-        corpora = self.job.responses(1).select("dataset").distinct().collect()
-        self.job.derive_tables(row.dataset for row in corpora)
+        self.job.derive_tables(self.job.stale_corpora())
