@@ -61,6 +61,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scan(spark, sf_dir).documents()
 
 
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scan(spark, sf_dir).documents(keyed=False)
+
+
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "labels").select(
         F.col("doc_id").alias("id"), "quality", "toxic"
@@ -70,7 +74,7 @@ def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _finished(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(dataset, id)`` of the documents that carry a label."""
     return (
-        _documents(spark, sf_dir)
+        _texts(spark, sf_dir)
         .select("dataset", "id")
         .join(_labelled(spark, sf_dir), "id", "left_semi")
     )
@@ -84,7 +88,7 @@ def _answers(documents: DataFrame, *kept: str) -> DataFrame:
 
 
 def _first_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _answers(_documents(spark, sf_dir), "dataset", "id").drop("again")
+    return _answers(_texts(spark, sf_dir), "dataset", "id").drop("again")
 
 
 def flat(annotations: DataFrame) -> DataFrame:
@@ -93,7 +97,6 @@ def flat(annotations: DataFrame) -> DataFrame:
         *[
             F.array_join(name, ",").alias(name) if name in LIST_FIELDS else F.col(name)
             for name in annotations.columns
-            if name != "model_slug"
         ]
     )
 
@@ -106,12 +109,12 @@ def _char_tokens() -> Callable[[Messages], int]:
 
 
 def scan_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _documents(spark, sf_dir).select("dataset", "id", "text")
+    return _texts(spark, sf_dir).select("dataset", "id", "text")
 
 
 def select_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     scan = _scan(spark, sf_dir).corpus("src3")
-    return scan.documents().select("dataset", "id", "text")
+    return scan.documents(keyed=False).select("dataset", "id", "text")
 
 
 def scan_corpora(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,7 +135,7 @@ def scan_corpora(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def list_corpora(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpora.list_corpora(_documents(spark, sf_dir))
+    return corpora.list_corpora(_texts(spark, sf_dir))
 
 
 def corpus_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,13 +173,13 @@ def output_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def truncate_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     content = prompts.truncate_content(F.col("text"), 1_000)
-    return _documents(spark, sf_dir).select("dataset", "id", content.alias("content"))
+    return _texts(spark, sf_dir).select("dataset", "id", content.alias("content"))
 
 
 def build_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = prompts.chat_messages(F.col("text"), 2_000)
     return (
-        _documents(spark, sf_dir)
+        _texts(spark, sf_dir)
         .select("dataset", "id", messages.alias("messages"))
         .select(
             "dataset", "id",
@@ -189,7 +192,7 @@ def build_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prompt_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _documents(spark, sf_dir).select(
+    return _texts(spark, sf_dir).select(
         "dataset", "id", CHARS.count(F.col("text")).alias("prompt_tokens")
     )
 
@@ -198,7 +201,7 @@ def prompt_tokens_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same counts from an injected counter."""
     ship_package(spark)
     counter = ModelCounter(_char_tokens)
-    return _documents(spark, sf_dir).select(
+    return _texts(spark, sf_dir).select(
         "dataset", "id", counter.count(F.col("text")).alias("prompt_tokens")
     )
 
@@ -213,7 +216,7 @@ def fits_context(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _bounds(spark: SparkSession, sf_dir: str, counter: Counter, settings: Settings) -> DataFrame:
-    return bounded_prompts(_documents(spark, sf_dir), counter, settings).select(
+    return bounded_prompts(_texts(spark, sf_dir), counter, settings).select(
         "dataset", "id", "char_limit", "prompt_tokens", "over_budget"
     )
 
@@ -239,7 +242,7 @@ def token_bounded_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def retry_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = bounded_prompts(_documents(spark, sf_dir), CHARS, SETTINGS)
+    first = bounded_prompts(_texts(spark, sf_dir), CHARS, SETTINGS)
     return retry_bounds(first, CHARS, SETTINGS).select(
         "dataset", "id", "char_limit", "prompt_tokens", "over_budget"
     )
@@ -278,7 +281,7 @@ def reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _both_attempts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Accepted by attempt 1, accepted by attempt 2, refused by both."""
-    parsed = parse_annotations(_answers(_documents(spark, sf_dir), "dataset", "id"))
+    parsed = parse_annotations(_answers(_texts(spark, sf_dir), "dataset", "id"))
     second = parse_annotations(
         parsed.filter(F.col("annotation").isNull()).select(
             "dataset", "id", F.col("again").alias("raw")
@@ -397,7 +400,7 @@ def _ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
-        _documents(spark, sf_dir)
+        _texts(spark, sf_dir)
         .join(
             _labelled(spark, sf_dir).select("id", F.lit(1).alias("done")), "id", "left"
         )
@@ -421,7 +424,7 @@ def batch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def merged_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two disjoint parts, labelled and unlabelled documents, as one output."""
-    documents = _documents(spark, sf_dir).select(
+    documents = _texts(spark, sf_dir).select(
         "dataset", "id", F.concat(F.lit("Size "), F.length("text")).alias("description")
     )
     labelled = _labelled(spark, sf_dir)
@@ -435,7 +438,7 @@ def skip_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Corpora whose output is not published; those with three good labels in four are."""
     path = paths.annotation_path(F.col("dataset"), F.lit(SETTINGS.model_name))
     published = (
-        _documents(spark, sf_dir).select("dataset", "id")
+        _texts(spark, sf_dir).select("dataset", "id")
         .join(_labelled(spark, sf_dir), "id")
         .groupBy("dataset")
         .agg(F.sum("quality").alias("good"), F.count(F.lit(1)).alias("n"))
@@ -453,7 +456,7 @@ def _states(spark: SparkSession, sf_dir: str) -> DataFrame:
     done twice, and unlabelled ones not at all.
     """
     documents = (
-        _documents(spark, sf_dir).select("id", F.length("text").alias("size"))
+        _texts(spark, sf_dir).select("id", F.length("text").alias("size"))
         .join(_labelled(spark, sf_dir), "id", "left")
         .join(
             _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "lang"), "id"
@@ -544,14 +547,14 @@ def taxonomy_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def length_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _documents(spark, sf_dir).select(
+    return _texts(spark, sf_dir).select(
         "dataset", "id", length_band(F.col("text")).alias("band")
     )
 
 
 def length_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Answered length band against the text's own."""
-    banded = _documents(spark, sf_dir).withColumn("computed", length_band(F.col("text")))
+    banded = _texts(spark, sf_dir).withColumn("computed", length_band(F.col("text")))
     parsed = parse_annotations(_answers(banded, "computed"))
     answered_band = F.col("annotation.content_length").alias("answered")
     return (

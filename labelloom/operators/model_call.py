@@ -7,6 +7,7 @@ JVM and are re-attached row by row, in order.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
@@ -14,6 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from labelloom.fixed_values import DOCUMENT_CLOSE, DOCUMENT_OPEN
 from labelloom.operators.token_budget import Messages, chat
 from labelloom.settings import Settings
 from labelloom.taxonomy import response_format
@@ -43,6 +45,25 @@ def chat_completions(make_client: Callable[[], object], model_name: str) -> Clie
     return build
 
 
+def text_annotator(make_annotator: Callable[[], object]) -> ClientFactory:
+    """Factory for annotators that offer ``annotate(text) -> record`` instead of a chat.
+
+    They get the document inside the bounded prompt; their records are checked like any
+    other answer.
+    """
+
+    def build() -> ModelCall:
+        annotator = make_annotator()
+
+        def call(messages: Messages, max_tokens: int, response_format: dict) -> str:
+            document = messages[1]["content"][len(DOCUMENT_OPEN):-len(DOCUMENT_CLOSE)]
+            return json.dumps(annotator.annotate(document))
+
+        return call
+
+    return build
+
+
 def model_response(
     user_content: Column, client_factory: ClientFactory, settings: Settings, attempt: int
 ) -> Column:

@@ -3,7 +3,7 @@
 Two tables live below one root:
 
 * ``responses``    every model answer, appended per attempt, with its row key;
-* ``annotations``  ``dataset, id, 18 labels``, partitioned by corpus and model.
+* ``annotations``  ``dataset, id, 18 labels``, partitioned by model and corpus.
 
 The response table is the only state. Each step works on what that table still lacks,
 so a run that dies anywhere, even halfway through a commit, is continued by running it
@@ -50,7 +50,6 @@ from labelloom.sources.tables import ensure_table
 from labelloom.taxonomy import ANNOTATION_TYPE
 
 
-PARTITION_KEYS = ("dataset", "model_slug")
 # Up to this many files, earlier answers are looked up by file name at the scan.
 FEW_PARTS = 1_000
 
@@ -88,7 +87,6 @@ def annotations_type(id_type: T.DataType) -> T.StructType:
             T.StructField("id", id_type),
             *ANNOTATION_TYPE.fields,
             T.StructField("dataset", T.StringType()),
-            T.StructField("model_slug", T.StringType()),
         ]
     )
 
@@ -101,12 +99,16 @@ def _of_parts(rows: DataFrame, parts: Sequence[str] | None) -> DataFrame:
     return rows if parts is None else rows.filter(F.col("part").isin(list(parts)))
 
 
-def replace_partitions(table: DataFrame, path: str, *keys: str) -> None:
-    """Overwrite exactly the partitions present in ``table``."""
+def annotations_path(root: str, settings: Settings) -> str:
+    return f"{root}/annotations/model_slug={settings.model_slug}"
+
+
+def replace_corpora(table: DataFrame, path: str) -> None:
+    """Overwrite exactly the corpora present in ``table``."""
     (
         table.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*keys)
+        .partitionBy("dataset")
         .parquet(path)
     )
 
@@ -122,7 +124,7 @@ class AnnotationJob:
 
     @property
     def annotations_path(self) -> str:
-        return f"{self.root}/annotations"
+        return annotations_path(self.root, self.settings)
 
     def _attempt_path(self, attempt: int) -> str:
         return f"{self.root}/responses/model_slug={self.settings.model_slug}/attempt={attempt}"
@@ -134,8 +136,7 @@ class AnnotationJob:
 
     def annotations(self) -> DataFrame:
         schema = annotations_type(self.id_type)
-        table = ensure_table(self.spark, self.annotations_path, schema, PARTITION_KEYS)
-        return table.filter(F.col("model_slug") == self.settings.model_slug)
+        return ensure_table(self.spark, self.annotations_path, schema, ["dataset"])
 
     def outcomes(self) -> DataFrame:
         """The last outcome of every answered row, with the attempts it took."""
@@ -274,13 +275,16 @@ class AnnotationJob:
         names = sorted(datasets)
         if not names:
             return
-        slug = F.lit(self.settings.model_slug).alias("model_slug")
-        accepted = records(self.outcomes().filter(F.col("dataset").isin(names)))
-        # Well-sized files per corpus: a large one is split, small ones are packed.
-        sized = accepted.select("*", slug).hint("rebalance", "dataset")
-        replace_partitions(
-            sized.sortWithinPartitions("dataset", "id"), self.annotations_path, *PARTITION_KEYS
+        outcomes = self.outcomes().filter(F.col("dataset").isin(names))
+        # Well-sized files per corpus: a large one is split, small ones are packed. Rows
+        # keep the order of their input, which also is the order the writer asks for.
+        in_order = (
+            outcomes.filter(F.col("outcome") == ACCEPTED)
+            .select("dataset", "part", "pos", "id", "annotation", "outcome")
+            .hint("rebalance", "dataset")
+            .sortWithinPartitions("dataset", "part", "pos")
         )
+        replace_corpora(records(in_order), self.annotations_path)
 
     # -- checks -----------------------------------------------------------------
 

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from labelloom.functions.paths import annotation_path, publish_message
 from labelloom.operators.resume import publishable, skip_published
-from labelloom.plans.annotate import PARTITION_KEYS, replace_partitions
+from labelloom.plans.annotate import annotations_path, replace_corpora
 from labelloom.settings import Settings
 from labelloom.sources.corpora import corpus_counts
 from labelloom.sources.tables import ensure_table
@@ -60,7 +60,7 @@ def publish(
     if not names:
         return []
     ready = annotations.filter(F.col("dataset").isin(names))
-    replace_partitions(ready, f"{target}/annotations", *PARTITION_KEYS)
+    replace_corpora(ready, annotations_path(target, settings))
     (
         corpus_counts(ready)
         .select(

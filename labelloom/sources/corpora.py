@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -125,34 +126,41 @@ class CorpusScan:
     text_column: str = "text"
     dataset: Column | None = None
     where: Column | None = None
+    schema: T.StructType | None = None
 
     def __post_init__(self) -> None:
         wanted = {self.id_column, self.text_column}
-        missing = wanted - set(self._table().columns) if self.paths else set()
+        missing = wanted - set(self._table.columns) if self.paths else set()
         if missing:
             raise ValueError(f"corpus lacks column(s) {sorted(missing)}")
 
+    @cached_property
     def _table(self) -> DataFrame:
-        table = self.spark.read.parquet(*self.paths)
+        """Listed once; a narrower scan inherits the schema instead of inferring it."""
+        reader = self.spark.read if self.schema is None else self.spark.read.schema(self.schema)
+        table = reader.parquet(*self.paths)
         return table if self.where is None else table.filter(self.where)
 
-    def documents(self) -> DataFrame:
-        """``dataset, id, text, part, pos``; nothing else is read from the files."""
+    def documents(self, keyed: bool = True) -> DataFrame:
+        """``dataset, id, text`` and, if ``keyed``, ``part, pos``; nothing else is read."""
         dataset = corpus_of_path(file_of_row()) if self.dataset is None else self.dataset
-        return self._table().select(
+        key = [file_of_row().alias("part"), F.col("_metadata.row_index").alias("pos")]
+        return self._table.select(
             dataset.alias("dataset"),
             F.col(self.id_column).alias("id"),
             F.col(self.text_column).alias("text"),
-            file_of_row().alias("part"),
-            F.col("_metadata.row_index").alias("pos"),
+            *(key if keyed else ()),
         )
 
     @property
     def id_type(self) -> T.DataType:
-        return self._table().schema[self.id_column].dataType
+        return self._table.schema[self.id_column].dataType
 
     def only(self, paths: Sequence[str]) -> CorpusScan:
-        return replace(self, paths=tuple(paths))
+        return replace(self, paths=tuple(paths), schema=self.schema or self._schema())
+
+    def _schema(self) -> T.StructType | None:
+        return self._table.schema if self.paths else None
 
     def corpus(self, name: str) -> CorpusScan:
         """The scan of one corpus.

@@ -240,3 +240,35 @@ def test_chat_completions_adapter():
 
     call = chat_completions(Client, "lab/annotator-1")()
     assert call([], 512, response_format()) == "{}"
+
+
+def test_text_annotator_adapter(spark, tmp_path):
+    from labelloom.operators.model_call import text_annotator
+
+    path = corpus(spark, tmp_path, "demo", [("a", "hej"), ("b", "bad")])
+    canonical = dict(CANONICAL_ANSWER)
+
+    class Annotator:
+        def annotate(self, text):
+            label = "fine" if text == "bad" else "good"
+            return {**canonical, "content_quality": label, "one_sentence_description": text}
+
+    job = job_of(spark, tmp_path, text_annotator(Annotator))
+    job.run(scan_of(spark, path))
+    assert annotated(job) == {("demo", "a"): "hej"}
+    assert [r.reasons for r in job.rejects().collect()] == [["label:content_quality"]]
+
+
+def test_files_keep_the_input_order(spark, tmp_path, log):
+    """Order of arrival does not matter: rows are written in the order of their corpus."""
+    import pyarrow.parquet as pq
+
+    path = f"{tmp_path}/data/demo/demo.parquet"
+    rows = [(f"id{i * 7 % 50}", f"text {i}") for i in range(50)]
+    spark.createDataFrame(rows, "id string, text string").coalesce(1).write.parquet(path)
+    job = job_of(spark, tmp_path, describing_client(log))
+    job.run(scan_of(spark, path))
+    (file,) = [r.path for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+               .load(job.annotations_path).select("path").collect() if r.path.endswith(".parquet")]
+    assert pq.read_table(file.removeprefix("file:"))["id"].to_pylist() == [i for i, _ in rows]
+
