@@ -23,10 +23,13 @@ def with_rank(
     with a third of ten billion rows costs fifty thousand rows there.
     Keep wide columns out of ``rows``; they would be shuffled along.
     """
-    group = list(group)
-    block_key = [*group, "part", "_block"]
-    blocked = rows.withColumn("_block", F.floor(F.col("pos") / block_rows))
-    earlier = Window.partitionBy(*group).orderBy("part", "_block").rowsBetween(
+    # As one struct the group is never null, so null keys join by plain equality, which
+    # keeps the partitioning of the row window for the join.
+    block_key = ["_group", "part", "_block"]
+    blocked = rows.withColumn("_group", F.struct(*group)).withColumn(
+        "_block", F.expr(f"pos DIV {block_rows}")
+    )
+    earlier = Window.partitionBy("_group").orderBy("part", "_block").rowsBetween(
         Window.unboundedPreceding, -1
     )
     offsets = (
@@ -37,14 +40,8 @@ def with_rank(
     )
     in_block = Window.partitionBy(*block_key).orderBy("pos")
     ranked = blocked.withColumn("_in_block", F.row_number().over(in_block) - 1)
-    left, right = ranked.alias("l"), offsets.alias("r")
-    same_block = None
-    for key in block_key:
-        match = F.col(f"l.{key}").eqNullSafe(F.col(f"r.{key}"))
-        same_block = match if same_block is None else same_block & match
-    return left.join(right, same_block).select(
-        *[F.col(f"l.{column}") for column in rows.columns],
-        (F.col("l._in_block") + F.col("r._offset")).alias(name),
+    return ranked.join(offsets, block_key).select(
+        *rows.columns, (F.col("_in_block") + F.col("_offset")).alias(name)
     )
 
 
@@ -87,7 +84,7 @@ def batch_plan(ranked: DataFrame, progress: DataFrame, settings: Settings) -> Da
         ranked.join(sizes, "dataset")
         .filter(F.col("rank") >= F.col("n_done"))
         .withColumn(
-            "batch_id", F.floor((F.col("rank") - F.col("n_done")) / F.col("_size"))
+            "batch_id", F.expr("(rank - n_done) DIV _size")
         )
         .drop("_size", "n_done")
     )

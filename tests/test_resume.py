@@ -53,6 +53,16 @@ def test_no_window_holds_a_corpus(spark, capsys):
     assert all("_block" in line for line in row_windows)
 
 
+def test_ranking_shuffles_each_row_once(spark, capsys):
+    _, df = documents(spark, random.Random(1))
+    with_rank(df.drop("text"), ["dataset"]).explain()
+    plan = capsys.readouterr().out
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(_group" in line]
+    # Rows by block; counts by block, by group, and by block again to meet the rows. The
+    # rows' own partitioning serves both their window and the join.
+    assert len(exchanges) == 4, plan
+
+
 def test_file_rank_needs_no_shuffle_of_rows(spark):
     rows, df = documents(spark, random.Random(2))
     single = df.withColumn("dataset", F.lit("d"))
@@ -61,8 +71,16 @@ def test_file_rank_needs_no_shuffle_of_rows(spark):
     assert {(r.part, r.pos): r["rank"] for r in got} == want
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_pending_ids_is_a_multiset_difference(spark, seed):
+@pytest.fixture(params=["10MB", "-1"])
+def join_limit(spark, request):
+    """With and without broadcast joins."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", request.param)
+    yield request.param
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_pending_ids_is_a_multiset_difference(spark, join_limit, seed):
     rng = random.Random(seed)
     rows, df = documents(spark, rng)
     done_rows = [row for row in rows if rng.random() < 0.5]
