@@ -290,9 +290,7 @@ class AnnotationJob:
 
     def states(self, scan: CorpusScan) -> DataFrame:
         """Completeness of each scanned corpus; raises when one is over-complete."""
-        states = completeness(
-            corpus_counts(scan.documents()), corpus_counts(self.annotations())
-        )
+        states = completeness(scan.counts(), corpus_counts(self.annotations()))
         excess = over_complete(states).limit(1).collect()
         if excess:
             raise OverComplete(f"more annotations than rows for {excess[0].dataset}")

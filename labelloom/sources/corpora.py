@@ -156,6 +156,17 @@ class CorpusScan:
     def id_type(self) -> T.DataType:
         return self._table.schema[self.id_column].dataType
 
+    def counts(self) -> DataFrame:
+        """``(dataset, n_rows)``; corpora named by their path are there even when empty."""
+        counts = corpus_counts(self.documents(keyed=False))
+        if self.dataset is not None:
+            return counts
+        listed = self.spark.createDataFrame([(path,) for path in self.paths], "path string")
+        names = listed.select(corpus_of_path(F.col("path")).alias("dataset")).distinct()
+        return names.join(counts, "dataset", "left").select(
+            "dataset", F.coalesce("n_rows", F.lit(0)).alias("n_rows")
+        )
+
     def only(self, paths: Sequence[str]) -> CorpusScan:
         return replace(self, paths=tuple(paths), schema=self.schema or self._schema())
 

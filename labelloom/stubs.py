@@ -10,24 +10,24 @@ import json
 from dataclasses import dataclass
 
 CANONICAL_ANSWER = {
-    "content_integrity": "complete",
-    "content_ratio": "complete_content",
-    "content_length": "minimal",
-    "one_sentence_description": "A short question and answer.",
-    "content_type": ["conversational"],
-    "business_sector": ["general_interest"],
-    "technical_content": ["non_technical"],
-    "information_density": "dense",
+    "content_integrity": "mostly_complete",
+    "content_ratio": "mostly_content",
+    "content_length": "brief",
+    "one_sentence_description": "A short note on a village library.",
+    "content_type": ["reference", "news_report"],
+    "business_sector": ["nonprofit_ngo"],
+    "technical_content": ["basic_technical"],
+    "information_density": "moderate",
     "content_quality": "good",
-    "audience_level": "general",
-    "commercial_bias": "none",
-    "time_sensitivity": "evergreen",
+    "audience_level": "beginner",
+    "commercial_bias": "minimal",
+    "time_sensitivity": "slowly_changing",
     "content_safety": "safe",
-    "educational_value": "none",
-    "reasoning_indicators": "none",
-    "pii_presence": "no_pii",
-    "regional_relevance": ["culturally_neutral"],
-    "country_relevance": ["none"],
+    "educational_value": "basic",
+    "reasoning_indicators": "explanatory",
+    "pii_presence": "contains_pii",
+    "regional_relevance": ["european", "global"],
+    "country_relevance": ["Denmark", "supranational"],
 }
 
 

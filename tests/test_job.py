@@ -90,7 +90,7 @@ def test_records_schema_and_order(spark, tmp_path, log):
     rows = table.orderBy("dataset", "id").collect()
     assert [r.id for r in rows] == ["row-1", "row-2"]
     assert rows[0].one_sentence_description == "About hej."
-    assert rows[1].content_type == ["conversational"]
+    assert rows[1].content_type == ["reference", "news_report"]
     assert [c[1] for c in calls(log)] == [512, 512]
 
 
@@ -188,8 +188,10 @@ def test_changed_rows_are_done_again_and_excess_is_refused(spark, tmp_path, log)
 def test_empty_corpus_makes_no_call_and_no_output(spark, tmp_path, log):
     path = corpus(spark, tmp_path, "demo", [])
     job = job_of(spark, tmp_path, describing_client(log))
-    job.run(scan_of(spark, path))
+    scan = scan_of(spark, path)
+    job.run(scan)
     assert calls(log) == [] and job.annotations().count() == 0 and job.progress().count() == 0
+    assert [tuple(r) for r in job.states(scan).collect()] == [("demo", 0, 0, "empty")]
 
 
 def test_adopting_records_known_by_position(spark, tmp_path, log):

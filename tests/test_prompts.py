@@ -116,25 +116,25 @@ def test_search_probes_like_a_closed_range_halving():
         probes.append(size)
         return 10 if size % 3 else 1
 
-    def reference(text, budget, cap):
-        def tokens(n):
-            body = text if len(text) <= n else text[:n] + TRUNCATION_MARK
-            return 10 if (39 + len(body)) % 3 else 1
-
-        top = min(len(text), cap)
-        if tokens(top) <= budget:
-            return top
-        best, low, high = 0, 0, top
-        while low <= high:
-            mid = (low + high) // 2
-            if tokens(mid) <= budget:
-                best, low = mid, mid + 1
-            else:
-                high = mid - 1
-        return best
+    def fits(size, n):
+        shown = size if size <= n else n + len(TRUNCATION_MARK)
+        return (39 + shown) % 3 == 0
+
+    def halved(size, closed_range, best):
+        if not closed_range:
+            return best
+        at = (len(closed_range) - 1) // 2
+        # The middle of the closed range, rounded down from its absolute bounds.
+        middle = (closed_range[0] + closed_range[-1]) // 2
+        assert closed_range[at] == middle
+        if fits(size, middle):
+            return halved(size, closed_range[at + 1:], middle)
+        return halved(size, closed_range[:at], best)
 
     for size in range(0, 60):
-        assert longest_fit("x" * size, 5, 50, count)[0] == reference("x" * size, 5, 50)
+        top = min(size, 50)
+        want = top if fits(size, top) else halved(size, range(top + 1), 0)
+        assert longest_fit("x" * size, 5, 50, count)[0] == want
     probes.clear()
     longest_fit("x" * 60_000, 0, 50_000, count)
     assert len(probes) <= 18

@@ -123,7 +123,7 @@ def test_accepts(spark):
     assert got["alias"]["time_sensitivity"] == "evergreen"
     assert got["duplicate, last wins"]["content_quality"] == "poor"
     assert got["duplicate, first bad"]["content_quality"] == "good"
-    assert got["escape"]["one_sentence_description"] == "é short question and answer."
+    assert got["escape"]["one_sentence_description"] == "é short note on a village library."
     assert got["repeated element"]["content_type"] == ["creative", "creative"]
 
 
@@ -204,7 +204,7 @@ def _mutate(rng, text):
         elif how < 0.8:
             text = text + rng.choice(pieces)
         else:
-            old = rng.choice(["good", "evergreen", "creative", "none", "general", "time_sensitivity"])
+            old = rng.choice(["good", "slowly_changing", "reference", "minimal", "safe", "time_sensitivity"])
             text = text.replace(old, rng.choice(["good", "creative", "none", "time_sensitive", ""]), 1)
     return text
 
