@@ -14,8 +14,12 @@ def word_count(text: Column) -> Column:
 
 
 def length_band(text: Column) -> Column:
+    """The band whose lower edges the word count reaches.
+
+    Every comparison is made, not a chain of cases: an expression that always runs is
+    computed once, while one under a condition is counted again in each branch.
+    """
     words = word_count(text)
-    band = F.when(words.isNotNull(), "minimal")
-    for name, least in reversed(LENGTH_BAND_EDGES):
-        band = F.when(words >= least, name).otherwise(band)
-    return band
+    names, edges = zip(*reversed(LENGTH_BAND_EDGES))
+    reached = sum(((words >= least).cast("int") for least in edges), F.lit(1))
+    return F.elt(reached, F.lit("minimal"), *map(F.lit, names))

@@ -218,9 +218,13 @@ class AnnotationJob:
     def call_retries(self, parts: Sequence[str] | None = None) -> None:
         """Second attempt for all rows the first one left, also by earlier runs."""
         retries = _of_parts(self.responses(1).filter(F.col("outcome") == RETRY), parts)
-        retries = spread(retries, self._slots(), "part", "pos")
         answered = _of_parts(self.responses(2), parts)
-        if not answered.isEmpty():
+        resumed = not answered.isEmpty()
+        open_rows = pending_rows(retries, answered) if resumed else retries
+        if open_rows.isEmpty():
+            return  # an empty append would leave an empty file behind
+        retries = spread(retries, self._slots(), "part", "pos")
+        if resumed:
             retries = pending_rows(retries, answered)
         self._append(
             second_attempt(retries, self.counter, self.client_factory, self.settings), 2

@@ -186,3 +186,14 @@ def test_taxonomy(spark):
     assert len(rows) == 131
     assert len({r.field for r in rows}) == 16
     assert "global" in {r.value for r in rows if r.field == "regional_relevance"}
+
+
+def test_length_bands_at_their_edges(spark):
+    from labelloom.functions.length_band import length_band
+
+    rows = [(n, " \t".join(["w"] * n) + "\n") for n in (0, 1, 99, 100, 499, 500, 1_999, 2_000)]
+    df = spark.createDataFrame([*rows, (None, None)], "n int, text string")
+    assert {r[0]: r[1] for r in df.select("n", length_band(F.col("text"))).collect()} == {
+        0: "minimal", 1: "minimal", 99: "minimal", 100: "brief", 499: "brief",
+        500: "moderate", 1_999: "moderate", 2_000: "substantial", None: None,
+    }
