@@ -32,7 +32,8 @@ def compare(spark, con, sf_dir, query, sql):
     want = rows_of(columns, cursor.fetchall())
     assert sorted(df.columns) == sorted(columns), (df.columns, columns)
     spark_kinds = dict(df.dtypes)
-    known = {"VARCHAR": "string", "BIGINT": "bigint", "INTEGER": "int", "BOOLEAN": "boolean"}
+    known = {"VARCHAR": "string", "BIGINT": "bigint", "INTEGER": "int", "BOOLEAN": "boolean",
+             "DOUBLE": "double"}
     for column in columns:
         assert known.get(kinds[column]) == spark_kinds[column], (column, kinds, spark_kinds)
     assert len(got) == len(want), (len(got), len(want))
