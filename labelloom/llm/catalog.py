@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from labelloom.llm.decontamination import OP3_SQL, op3_decontamination
 from labelloom.llm.mixing import OP10_SQL, op10_mixing
+from labelloom.llm.preferences import OP4_SQL, op4_preferences
 from labelloom.llm.sharding import op9_sharding
 
 QUERIES = {
+    "op3_decontamination": op3_decontamination,
+    "op4_preferences": op4_preferences,
     "op9_sharding": op9_sharding,
     "op10_mixing": op10_mixing,
 }
 
 ORACLES = {
+    "op3_decontamination": OP3_SQL,
+    "op4_preferences": OP4_SQL,
     "op10_mixing": OP10_SQL,
 }
