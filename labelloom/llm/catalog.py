@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 from labelloom.llm.decontamination import OP3_SQL, op3_decontamination
+from labelloom.llm.language import op1_language
 from labelloom.llm.mixing import OP10_SQL, op10_mixing
+from labelloom.llm.personal_data import op2_personal_data
 from labelloom.llm.preferences import OP4_SQL, op4_preferences
+from labelloom.llm.scoring import op5_scoring
 from labelloom.llm.sharding import op9_sharding
 
 QUERIES = {
+    "op1_language": op1_language,
+    "op2_personal_data": op2_personal_data,
     "op3_decontamination": op3_decontamination,
     "op4_preferences": op4_preferences,
+    "op5_scoring": op5_scoring,
     "op9_sharding": op9_sharding,
     "op10_mixing": op10_mixing,
 }

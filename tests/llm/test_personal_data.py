@@ -1,0 +1,94 @@
+import random
+import re
+import time
+from hashlib import sha256
+
+import pytest
+from pyspark.sql import functions as F
+
+from labelloom.llm.personal_data import (
+    KINDS,
+    added_spans,
+    base_spans,
+    find_personal_data,
+    luhn,
+    op2_personal_data,
+    train,
+)
+
+
+def plain(text):
+    """The contract's patterns as they stand."""
+    found = [(m.start(), 0, m.end()) for m in
+             re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(p) <= 255 for p in m[0].split(".")):
+            found.append((m.start(), 1, m.end()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        d = re.sub("[^0-9]", "", m[0])
+        if 12 <= len(d) <= 19 and luhn(d):
+            found.append((m.start(), 2, m.end()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 9 <= len(re.sub("[^0-9]", "", m[0])) <= 15:
+            found.append((m.start(), 3, m.end()))
+    return sorted(found)
+
+
+@pytest.mark.parametrize("seed", range(300))
+def test_base_spans_equal_the_plain_patterns(seed):
+    dice = random.Random(seed)
+    parts = ["a@b.c", "@", ".", "-", "+", " ", "x_y%z", "1", "25", "255", "256", "0001", "é", "\n",
+             "4111 1111 1111 1111", "4111-1111", "+1 (983) 555-9300", "1.2.3.4", "(", ")", "b.co"]
+    text = "".join(dice.choice(parts) for _ in range(dice.randint(1, 40)))
+    assert base_spans(text) == plain(text)
+
+
+def test_luhn():
+    assert luhn("4111111111111111") and not luhn("4111111111111112")
+
+
+def test_long_runs_take_linear_time():
+    began = time.time()
+    for text in ("a" * 300_000, "1" * 300_000, "1." * 100_000, "a@" * 100_000, "+" + "(" * 300_000):
+        base_spans(text)
+    assert time.time() - began < 20
+
+
+def test_repeated_mentions_are_made_to_agree():
+    dice = random.Random(1)
+
+    def phone():
+        return f"+1 ({dice.randint(200, 999)}) 555-{dice.randint(1000, 9999)}"
+
+    learned = train([f"call {phone()} or a{i}.bc@mail.example.com at 10.2.3.{i} now {i}"
+                     for i in range(200)])
+    text = "write me at jo.doe@mail.example.com now, yes jo.doe@mail I say, and 12 apples"
+    base = base_spans(text)
+    (new,) = added_spans([text], [base], learned)
+    assert [(KINDS[k], text[s:e]) for s, k, e in new] == [("email", "jo.doe@mail")]
+    assert added_spans(["about 12 apples, 1999"], [[]], learned) == [[]]
+
+
+def test_query_keeps_base_spans(spark, sf_dir):
+    rows = {r.doc_id: r for r in op2_personal_data(spark, sf_dir).collect()}
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    assert len(rows) == len(docs)
+    for d in docs:
+        base = plain(d.text or "")
+        names = [f"{KINDS[k]}:{s}:{e}" for s, k, e in base]
+        r = rows[d.doc_id]
+        assert r.base_sha256 == sha256(",".join(names).encode()).hexdigest()
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [
+            sum(k == i for _, k, _ in base) for i in range(4)]
+        spans = r.spans.split(",") if r.spans else []
+        assert set(names) <= set(spans) and len(spans) == len(names) + r.n_added
+
+
+def test_nulls_repeats_and_clashing_columns(documents):
+    docs = documents([(1, None), (1, ""), (None, "x a@b.cd"), (2, "é a@b.cd"), (2, "é a@b.cd"),
+                      (3, "9" * 200_000)])
+    docs = docs.withColumns({"spans": F.lit(1), "n_ip": F.lit("x")})
+    rows = find_personal_data(docs).collect()
+    assert sorted((r.doc_id or 0, r.spans) for r in rows) == [
+        (0, "email:2:8"), (1, ""), (1, ""), (2, "email:2:8"), (2, "email:2:8"), (3, "")]
+    assert find_personal_data(documents([])).count() == 0
