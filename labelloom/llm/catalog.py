@@ -9,6 +9,7 @@ from labelloom.llm.personal_data import op2_personal_data
 from labelloom.llm.preferences import OP4_SQL, op4_preferences
 from labelloom.llm.scoring import op5_scoring
 from labelloom.llm.sharding import op9_sharding
+from labelloom.llm.similar_texts import op6_similar_texts
 
 QUERIES = {
     "op1_language": op1_language,
@@ -16,6 +17,7 @@ QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op4_preferences": op4_preferences,
     "op5_scoring": op5_scoring,
+    "op6_similar_texts": op6_similar_texts,
     "op9_sharding": op9_sharding,
     "op10_mixing": op10_mixing,
 }
