@@ -5,6 +5,7 @@ from __future__ import annotations
 from labelloom.llm.decontamination import OP3_SQL, op3_decontamination
 from labelloom.llm.language import op1_language
 from labelloom.llm.mixing import OP10_SQL, op10_mixing
+from labelloom.llm.nearest import op7_nearest
 from labelloom.llm.personal_data import op2_personal_data
 from labelloom.llm.preferences import OP4_SQL, op4_preferences
 from labelloom.llm.scoring import op5_scoring
@@ -18,6 +19,7 @@ QUERIES = {
     "op4_preferences": op4_preferences,
     "op5_scoring": op5_scoring,
     "op6_similar_texts": op6_similar_texts,
+    "op7_nearest": op7_nearest,
     "op9_sharding": op9_sharding,
     "op10_mixing": op10_mixing,
 }
