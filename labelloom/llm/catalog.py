@@ -8,6 +8,7 @@ from labelloom.llm.mixing import OP10_SQL, op10_mixing
 from labelloom.llm.nearest import op7_nearest
 from labelloom.llm.personal_data import op2_personal_data
 from labelloom.llm.preferences import OP4_SQL, op4_preferences
+from labelloom.llm.repeated_text import op8_repeated_text
 from labelloom.llm.scoring import op5_scoring
 from labelloom.llm.sharding import op9_sharding
 from labelloom.llm.similar_texts import op6_similar_texts
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_scoring": op5_scoring,
     "op6_similar_texts": op6_similar_texts,
     "op7_nearest": op7_nearest,
+    "op8_repeated_text": op8_repeated_text,
     "op9_sharding": op9_sharding,
     "op10_mixing": op10_mixing,
 }
