@@ -43,7 +43,7 @@ PRIOR = 20.0  # M, the weight of the word's own probability
 SEGMENT_BITS = 1 << 19
 BITS_PER_ENTRY, PROBES = 12, 6
 TABLE_ENTRIES = 300_000
-CHUNK_TOKENS = 2_000_000
+CHUNK_TOKENS = 1_000_000
 
 END = xxhash.xxh3_64_intdigest(b"\n")  # no word holds a line feed
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -141,11 +141,11 @@ def _fill_segments(segments: int):
     return fill
 
 
-def build_filter(counts: DataFrame) -> FrequencyFilter:
-    """The filter of (hash, n) rows, at most a few times ``STORED`` of them."""
+def build_filter(counts: DataFrame, most_segments: int = 1 << 14) -> FrequencyFilter:
+    """The filter of (hash, n) rows; with more than fit its bound, it errs more often."""
     base = F.lit(float(np.log(LEVEL_BASE)))
     entries = counts.agg(F.sum(1 + F.floor(F.log("n") / base)).alias("n")).first().n or 0
-    segments = -(-entries * BITS_PER_ENTRY // SEGMENT_BITS)
+    segments = min(most_segments, -(-entries * BITS_PER_ENTRY // SEGMENT_BITS))
     bits = np.zeros((segments, SEGMENT_BITS // 8), dtype=np.uint8)
     if segments:
         @F.pandas_udf("long")
@@ -200,36 +200,55 @@ class Names(dict):
         return value
 
 
-def hashed_text(names: Names, text: bytes | None) -> np.ndarray:
-    words = words_in(text)
-    out = np.empty(len(words) + 1, np.uint64)
-    out[:-1] = np.fromiter(map(names.__getitem__, words), np.uint64, len(words))
-    out[-1] = END
-    return out
+class Lexicon(dict):
+    """Numbers of the words seen, and facts about each that are looked up once."""
 
+    def __init__(self, facts):
+        self.facts_of, self.hashes, self.known = facts, [END], 0
+        self.facts: tuple[np.ndarray, ...] = ()
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[np.ndarray]]]:
-    """Keys and hashed texts (the last column), some million tokens at a time."""
-    names, keys, texts, size = Names(), [], [], 0
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self.hashes)
+        self.hashes.append(xxhash.xxh3_64_intdigest(word))
+        return number
+
+    def update_facts(self) -> None:
+        """``facts`` has an array each, the hashes' first, with an entry per number."""
+        new = np.array(self.hashes[self.known :], np.uint64)
+        if len(new):
+            more = (new, *self.facts_of(new))
+            self.facts = tuple(map(np.concatenate, zip(self.facts, more))) if self.known else more
+            self.known = len(self.hashes)
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], facts):
+    """Keys, numbered texts (the last column), and the words' facts, in bounded portions."""
+    words, keys, texts, size = Lexicon(facts), [], [], 0
     for batch in batches:
         for *key, text in zip(*(c.to_pylist() for c in batch.columns[:-1]), batch.columns[-1],
                               strict=True):
-            texts.append(hashed_text(names, text.as_py()))
+            said = words_in(text.as_py())
+            numbers = np.zeros(len(said) + 1, np.int64)  # the end is number 0
+            numbers[:-1] = np.fromiter(map(words.__getitem__, said), np.int64, len(said))
+            texts.append(numbers)
             keys.append(key)
-            size += len(texts[-1])
+            size += len(numbers)
             if size > CHUNK_TOKENS:
-                yield keys, texts
+                words.update_facts()
+                yield keys, texts, words.facts
                 keys, texts, size = [], [], 0
+                if len(words) > TABLE_ENTRIES:
+                    words = Lexicon(facts)
     if texts:
-        yield keys, texts
+        words.update_facts()
+        yield keys, texts, words.facts
 
 
 def _before(tokens: np.ndarray, texts: list[np.ndarray]) -> np.ndarray:
     """The token before each one; before a text's first one there is an end."""
     before = np.empty_like(tokens)
     before[1:] = tokens[:-1]
-    starts = np.cumsum([0, *map(len, texts)])[:-1]
-    before[starts] = END
+    before[np.cumsum([0, *map(len, texts)])[:-1]] = 0
     return before
 
 
@@ -243,13 +262,13 @@ def find(table: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def _count_pairs(shared):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = shared.value[0]
-        for _, texts in _chunks(batches):
+        known_of = lambda hashes: (find(shared.value, hashes)[1],)
+        for _, texts, (hashes, known) in _chunks(batches, known_of):
             tokens = np.concatenate(texts)
-            known = find(frequent, tokens)[1]
             before = _before(tokens, texts)
-            both = known & np.r_[True, known[:-1]] | known & (before == np.uint64(END))
-            pairs, n = np.unique(pair_hash(before[both], tokens[both]), return_counts=True)
+            both = known[tokens] & known[before]
+            pairs, n = np.unique(
+                pair_hash(hashes[before[both]], hashes[tokens[both]]), return_counts=True)
             yield _counted(pairs, n)
 
     return count
@@ -266,14 +285,22 @@ class Model:
     tokens: int  # N
     types: int  # V
 
-    def log_probabilities(self, before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    def facts(self, hashes: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Per word: its count as probed, whether it is frequent, its exact count if so."""
+        probed = level_counts(self.stored.level(hashes))
+        at, frequent = find(self.frequent, hashes)
+        exact = np.zeros(len(hashes))
+        if frequent.any():
+            exact[frequent] = self.counts[at[frequent]]
+        return probed, frequent, exact
+
+    def log_probabilities(self, hashes, probed, before, tokens) -> np.ndarray:
         """log10 of p(token | before), by probes alone."""
-        single, back = np.unique(np.concatenate([before, tokens]), return_inverse=True)
-        counts = level_counts(self.stored.level(single))[back]
-        context, own = counts[: len(tokens)], counts[len(tokens) :]
+        context, own = probed[before], probed[tokens]
         pairs = np.zeros(len(tokens))
         likely = np.flatnonzero((context > 0) & (own > 0))
-        pairs[likely] = level_counts(self.stored.level(pair_hash(before[likely], tokens[likely])))
+        pairs[likely] = level_counts(
+            self.stored.level(pair_hash(hashes[before[likely]], hashes[tokens[likely]])))
         alone = np.minimum(1.0, (own + 1) / (self.tokens + self.types + 1))
         pairs = np.minimum(pairs, np.minimum(context, own))
         return np.log10((pairs + PRIOR * alone) / (context + PRIOR))
@@ -288,24 +315,18 @@ SCORED = (
 def _score_texts(shared, id_type: pa.DataType):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
-        for keys, texts in _chunks(batches):
+        for keys, texts, (hashes, probed, frequent, exact) in _chunks(batches, model.facts):
             tokens = np.concatenate(texts)
             owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-            logs = model.log_probabilities(_before(tokens, texts), tokens)
+            logs = model.log_probabilities(hashes, probed, _before(tokens, texts), tokens)
             total = lambda values: np.bincount(owner, values, len(texts))  # noqa: E731, B023
-            at, known = find(model.frequent, tokens)
-            exact = np.zeros(len(tokens))
-            if known.any():
-                exact[known] = np.log10(model.counts[at[known]] + 1.0)
+            known = frequent[tokens]
+            exact = np.where(frequent, np.log10(exact + 1), 0.0)[tokens]
             # Rare words: one entry for each text and word.
             places = np.flatnonzero(~known)
-            order = places[np.lexsort((tokens[places], owner[places]))]
-            new = np.ones(len(order), bool)
-            new[1:] = (tokens[order][1:] != tokens[order][:-1]) | (
-                owner[order][1:] != owner[order][:-1])
-            firsts = np.flatnonzero(new)
-            times = np.diff(np.r_[firsts, len(order)])
-            ends = np.searchsorted(owner[order][firsts], np.arange(len(texts) + 1))
+            both, times = np.unique(
+                owner[places] * len(hashes) + tokens[places], return_counts=True)
+            ends = np.searchsorted(both // len(hashes), np.arange(len(texts) + 1))
             offsets = pa.array(ends.astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -316,7 +337,7 @@ def _score_texts(shared, id_type: pa.DataType):
                     pa.array(total(exact)),
                     pa.array(total(logs)),
                     pa.ListArray.from_arrays(
-                        offsets, pa.array(tokens[order][firsts].view(np.int64))),
+                        offsets, pa.array(hashes[both % len(hashes)].view(np.int64))),
                     pa.ListArray.from_arrays(offsets, pa.array(times.astype(np.int32))),
                 ],
                 names=["doc_id", "held_out", "n_tokens", "n_known", "logs", "score", "rare",
@@ -344,7 +365,7 @@ def score_documents(docs: DataFrame, held_out: Column) -> DataFrame:
     hashes = top["hash"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(hashes)
     frequent, counts = hashes[order], top["n"].to_numpy(np.int64)[order]
-    names = spark.sparkContext.broadcast((frequent,))
+    names = spark.sparkContext.broadcast(frequent)
     pairs = (
         training.mapInArrow(_count_pairs(names), counted).groupBy("hash").agg(F.sum("n").alias("n"))
     )
