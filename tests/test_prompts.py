@@ -17,7 +17,7 @@ from labelloom.operators.token_budget import (
     ModelCounter,
     chat,
     chat_template_counter,
-    longest_fit,
+    longest_fits,
 )
 from labelloom.plans.attempts import bounded_prompts, retry_bounds
 from labelloom.settings import Settings
@@ -40,9 +40,9 @@ def test_budgets():
 
 
 def test_truncation(spark):
-    df = texts(spark, "abcdef", "abc", "", "😀😀😀😀", None)
-    got = [r[0] for r in df.orderBy("id").select(truncate_content(F.col("text"), 3)).collect()]
-    assert got == ["abc\n<truncated_content>", "abc", "", "😀😀😀\n<truncated_content>", None]
+    df = texts(spark, "sand dunes", "sand", "", "🌊🌊🌊🌊🌊", None)
+    got = [r[0] for r in df.orderBy("id").select(truncate_content(F.col("text"), 4)).collect()]
+    assert got == ["sand\n<truncated_content>", "sand", "", "🌊🌊🌊🌊\n<truncated_content>", None]
 
 
 @pytest.mark.parametrize("text", ["{content} {0} %s %d", "a\nb", "😀é", ""])
@@ -54,21 +54,21 @@ def test_prompt_holds_the_text_verbatim(spark, text):
 
 
 def test_fits_context_at_its_edges(spark):
-    df = spark.createDataFrame([(7000,), (7424,), (7425,), (7500,), (6912,), (6913,)], "n int")
+    df = spark.createDataFrame([(7100,), (7424,), (7425,), (9000,), (6912,), (6913,)], "n int")
     rows = df.select(
         "n", fits_context(F.col("n"), SETTINGS, 1), fits_context(F.col("n"), SETTINGS, 2)
     ).collect()
     assert {n: (first, second) for n, first, second in rows} == {
-        7000: (True, False), 7424: (True, False), 7425: (False, False), 7500: (False, False),
+        7100: (True, False), 7424: (True, False), 7425: (False, False), 9000: (False, False),
         6912: (True, True), 6913: (True, False),
     }
 
 
 def test_budget_of_a_long_text(spark):
-    bound = CharCounter().bound(F.col("text"), F.length("text"), EMPTY_PROMPT_CHARS + 100)
-    row = texts(spark, "a" * 500).select(bound.alias("b")).first()["b"]
+    bound = CharCounter().bound(F.col("text"), F.length("text"), EMPTY_PROMPT_CHARS + 333)
+    row = texts(spark, "tide " * 144).select(bound.alias("b")).first()["b"]
     assert row.asDict() == {
-        "char_limit": 80, "prompt_tokens": EMPTY_PROMPT_CHARS + 100, "over_budget": False,
+        "char_limit": 313, "prompt_tokens": EMPTY_PROMPT_CHARS + 333, "over_budget": False,
     }
 
 
@@ -89,7 +89,8 @@ def test_closed_form_equals_the_search(spark):
     for budget, cap in [(-20, 30), (0, 50), (15, 100), (20, 0), (21, 40), (60, 61), (200, 70)]:
         limit = char_budget_limit(F.length("text"), EMPTY_PROMPT_CHARS + budget, cap)
         for text, n in df.select("text", limit).collect():
-            assert n == longest_fit(text, EMPTY_PROMPT_CHARS + budget, cap, char_count)[0]
+            limits, _ = longest_fits([text], EMPTY_PROMPT_CHARS + budget, cap, char_count)
+            assert n == limits[0]
 
 
 def test_model_counter_equals_columns(spark, sf_dir):
@@ -107,37 +108,48 @@ def test_model_counter_equals_columns(spark, sf_dir):
     assert sorted(map(str, plain.collect())) == sorted(map(str, counted.collect()))
 
 
-def test_search_probes_like_a_closed_range_halving():
-    """With a counter that is not monotone, the probe order decides the result."""
-    probes = []
+# What fits of a text of ten characters, the lengths probed, the result.
+PROBES = [
+    ({10}, [10], 10),
+    ({0, 1, 2, 3, 4, 5, 6}, [10, 5, 8, 6, 7], 6),
+    ({2}, [10, 5, 2, 3], 2),
+    ({0, 9}, [10, 5, 2, 0, 1], 0),
+    ({5, 8, 9}, [10, 5, 8, 9, 10], 9),
+    (set(), [10, 5, 2, 0], 0),
+]
+
+
+@pytest.mark.parametrize(("fitting", "probes", "limit"), PROBES)
+def test_probes_decide_when_counts_are_not_monotone(fitting, probes, limit):
+    seen = []
 
     def count(messages):
-        size = len(messages[1]["content"])
-        probes.append(size)
-        return 10 if size % 3 else 1
-
-    def fits(size, n):
-        shown = size if size <= n else n + len(TRUNCATION_MARK)
-        return (39 + shown) % 3 == 0
-
-    def halved(size, closed_range, best):
-        if not closed_range:
-            return best
-        at = (len(closed_range) - 1) // 2
-        # The middle of the closed range, rounded down from its absolute bounds.
-        middle = (closed_range[0] + closed_range[-1]) // 2
-        assert closed_range[at] == middle
-        if fits(size, middle):
-            return halved(size, closed_range[at + 1:], middle)
-        return halved(size, closed_range[:at], best)
-
-    for size in range(0, 60):
-        top = min(size, 50)
-        want = top if fits(size, top) else halved(size, range(top + 1), 0)
-        assert longest_fit("x" * size, 5, 50, count)[0] == want
-    probes.clear()
-    longest_fit("x" * 60_000, 0, 50_000, count)
-    assert len(probes) <= 18
+        content = messages[1]["content"]
+        n = content.count("x")
+        assert (TRUNCATION_MARK in content) == (n < 10)
+        seen.append(n)
+        return 1 if n in fitting else 7
+
+    limits, tokens = longest_fits(["x" * 10], 3, 50, count)
+    assert (seen, limits.tolist()) == (probes, [limit])
+    assert tokens.tolist() == [1 if limit in fitting else 7]
+
+
+def test_texts_are_halved_in_step():
+    rounds = []
+
+    def count(messages):
+        raise AssertionError("counted one by one")
+
+    def count_many(chats):
+        rounds.append(len(chats))
+        return [char_count(chat) for chat in chats]
+
+    count.many = count_many
+    texts = ["y" * n for n in (0, 7, 300, 60_000, 49_000)]
+    limits, _ = longest_fits(texts, EMPTY_PROMPT_CHARS + 120, 50_000, count)
+    assert limits.tolist() == [0, 7, 100, 100, 100]
+    assert rounds[0] == 5 and rounds[1] == 3 and len(rounds) <= 18
 
 
 def test_chat_template_adapter():
