@@ -19,8 +19,10 @@ Copies, near copies and frequent passages:
 * a first round links every node to the first of its block, verified, which joins groups of
   near copies without looking at their pairs;
 * the second round looks in each block for pairs of different components only, and a block
-  of one component is dropped by its counts alone. Large blocks are dealt out as pairs of
-  pieces, so that no task holds one. No pair of different components is lost.
+  of one component is dropped by its counts alone. Trees of small points find the members
+  that may have a partner; these come with their texts to trees of finer points, and what is
+  left is verified. Large groups are dealt out as pairs of pieces, so that no task holds one.
+  No link between different components is lost.
 
 Defined results: a null text or one without words has an empty set, is linked with nothing
 and is its own component. Rows that repeat a ``doc_id`` are separate documents. A component
@@ -40,7 +42,7 @@ from pyspark.sql import functions as F
 from labelloom.deploy import ship_package
 from labelloom.llm.components import components
 from labelloom.llm.scoring import Names, find, mix, words_in
-from labelloom.llm.shared import read_table, small_enough, written
+from labelloom.llm.shared import fresh, read_table, small_enough, written
 
 WIDTH = 4
 PERCENT = 85
@@ -50,7 +52,7 @@ SAMPLE_TEXTS, FREQUENT_TIMES = 5_000, 3
 #: First shingles of a set that the first round compares.
 FIRST_ROUND = 12
 #: Members of a block that one task holds; larger blocks are dealt out.
-PIECE = 1_500
+PIECE = 500
 LEAF, FANOUT, LEAVES_AT_ONCE = 32, 8, 400
 CHUNK_TOKENS = 1_500_000
 BROADCAST_ROWS = 1_000_000
@@ -133,10 +135,22 @@ def frequent_shingles(texts: DataFrame, width: int) -> np.ndarray:
 
 SETS = (
     "doc_id {id}, text_key long, n_shingles long, print1 long, print2 long, "
-    "point array<int>, first array<bigint>"
+    "point array<int>, cells binary, first array<bigint>"
 )
 
 
+def _cells(owner: np.ndarray, hashes: np.ndarray, n: np.ndarray) -> pa.Array:
+    """Finer points, of about eight shingles a group: counts of two bytes, as one value."""
+    bits = np.clip(np.ceil(np.log2(np.maximum(n, 1) / 8)), 5, 16).astype(np.int64)
+    ends = np.cumsum(1 << bits)
+    start = ends - (1 << bits)
+    cell = start[owner] + (hashes >> (64 - bits)[owner].astype(np.uint64)).astype(np.int64)
+    counts = np.bincount(cell, minlength=int(ends[-1]) if len(ends) else 0).astype("<u2")
+    offsets = np.append(0, 2 * ends).astype(np.int32)
+    return pa.Array.from_buffers(
+        pa.binary(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(counts)])
+
+
 def _make_sets(shared, width: int, percent: int, id_type: pa.DataType):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, texts in _chunks(batches, width):
@@ -165,11 +179,13 @@ def _make_sets(shared, width: int, percent: int, id_type: pa.DataType):
                     pa.ListArray.from_arrays(
                         pa.array(np.arange(len(texts) + 1, dtype=np.int32) * GROUPS),
                         pa.array(points)),
+                    _cells(owner, hashes, n),
                     pa.ListArray.from_arrays(
                         pa.array(np.r_[0, np.cumsum(taken)].astype(np.int32)),
                         pa.array(first.view(np.int64))),
                 ],
-                names=["doc_id", "text_key", "n_shingles", "print1", "print2", "point", "first"],
+                names=["doc_id", "text_key", "n_shingles", "print1", "print2", "point", "cells",
+                       "first"],
             )
 
     return make
@@ -198,10 +214,10 @@ def _verify(width: int, percent: int):
     return verify
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, percent: int):
-    """Those (a, b) pairs of nodes whose shingles are similar enough."""
-    needed = pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct()
-    keys = nodes.join(needed, "row").select("row", F.col("doc_id").alias("id_"), "text_key")
+def texts_of(rows: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """``row`` and ``text`` of some nodes."""
+    keys = nodes.join(rows, "row", "left_semi").select(
+        "row", F.col("doc_id").alias("id_"), "text_key")
     keys = small_enough(written(keys, "needed-texts"), BROADCAST_ROWS)
     known = written(
         texts.join(keys, "text_key")
@@ -211,6 +227,13 @@ def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, p
     )
     if known.count() > keys.count():  # rows that occur more than once
         known = written(known.groupBy("row").agg(F.first("text").alias("text")), "texts")
+    return known
+
+
+def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, percent: int):
+    """Those (a, b) pairs of nodes whose shingles are similar enough."""
+    needed = pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct()
+    known = texts_of(needed, nodes, texts)
     return (
         pairs.join(known.select(F.col("row").alias("a"), F.col("text").alias("text_a")), "a")
         .join(known.select(F.col("row").alias("b"), F.col("text").alias("text_b")), "b")
@@ -278,44 +301,93 @@ class CountTree:
         return a[keep], b[keep]
 
 
-def _search_blocks(percent: int):
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows sorted by block to pairs of different components that the bound allows."""
-        held: list[tuple] = []
-        for batch in batches:
-            rows = (
-                np.stack([batch.column(i).to_numpy() for i in range(3)], axis=1),
-                *(batch.column(i).to_numpy() for i in (3, 4, 5)),
-                batch.column(6).flatten().to_numpy().reshape(-1, GROUPS).astype(np.int64),
-            )
-            held.append(rows)
-            block = rows[0]
-            new = np.flatnonzero((block[1:] != block[:-1]).any(axis=1)) + 1
-            joined = [np.concatenate(x) for x in zip(*held, strict=True)]
-            if not len(new) and (joined[0][0] == joined[0][-1]).all():
-                continue  # the block goes on
-            last = len(joined[0]) - (len(block) - (new[-1] if len(new) else 0))
-            yield _pairs([x[:last] for x in joined])
-            held = [tuple(x[last:] for x in joined)]
+def _groups(batches: Iterator[pa.RecordBatch], names: int) -> Iterator[pa.Table]:
+    """Whole groups of rows that are sorted by their first ``names`` columns."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = np.stack([batch.column(i).to_numpy() for i in range(names)], axis=1)
         if held:
-            yield _pairs([np.concatenate(x) for x in zip(*held, strict=True)])
-
-    def _pairs(rows) -> pa.RecordBatch:
-        block, row, part, size, point = rows
-        bounds = np.r_[0, np.flatnonzero((block[1:] != block[:-1]).any(axis=1)) + 1, len(block)]
-        out_a, out_b = [], []
-        for s, e in zip(bounds[:-1], bounds[1:], strict=True):
-            if e - s < 2 or (part[s:e] == part[s]).all():
-                continue
-            a, b = CountTree(point[s:e], size[s:e], percent).pairs()
-            other = part[s:e][a] != part[s:e][b]
-            out_a.append(row[s:e][a[other]])
-            out_b.append(row[s:e][b[other]])
-        a = np.concatenate([*out_a, np.empty(0, np.int64)])
-        b = np.concatenate([*out_b, np.empty(0, np.int64)])
-        both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+            last = held[-1].slice(held[-1].num_rows - 1)
+            if any(last.column(i)[0].as_py() != key[0, i] for i in range(names)):
+                yield pa.Table.from_batches(held)
+                held = []
+        edges = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1), len(key)]
+        for start, end in zip(edges[:-1], edges[1:], strict=True):
+            if start:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(start, end - start))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _survivors(percent: int):
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Members of a group that may be similar to one of another component."""
+        for group in _groups(batches, 3):
+            row, part, size = (group.column(i).to_numpy() for i in (3, 4, 5))
+            points = [np.frombuffer(c.as_py(), "<u2") for c in group.column(6)]
+            groups = np.array([len(p) for p in points])
+            near = np.zeros(len(row), bool)
+            # Sizes of similar sets differ little: their groups are as many, or twice so.
+            for some in np.unique(groups):
+                own = np.flatnonzero((groups == some) | (groups == 2 * some))
+                if (part[own] == part[own[0]]).all():
+                    continue
+                folded = np.stack([points[i].reshape(some, -1).sum(axis=1) for i in own])
+                a, b = CountTree(folded.astype(np.uint16), size[own], percent).pairs()
+                other = part[own[a]] != part[own[b]]
+                near[own[a[other]]] = near[own[b[other]]] = True
+            found = row[near]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(found), group.column(0)[0].as_py())), pa.array(found)],
+                names=["head", "row"])
+
+    return search
+
+
+def _points(sets: list[np.ndarray]) -> np.ndarray:
+    """Points of as many groups as there are shingles to keep apart, twice over."""
+    sizes = np.array([len(x) for x in sets])
+    bits = int(np.clip(int(2 * sizes.max()).bit_length(), 5, 13))
+    owner = np.repeat(np.arange(len(sets)), sizes) << bits
+    cells = owner + (np.concatenate(sets) >> np.uint64(64 - bits)).astype(np.int64)
+    return np.bincount(cells, minlength=len(sets) << bits).astype(np.uint16).reshape(
+        len(sets), 1 << bits)
+
+
+def _links_between_components(width: int, percent: int):
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Links of a group's members that join components, checked on whole sets."""
+        names = Names()
+        for group in _groups(batches, 3):
+            row, part = (group.column(i).to_numpy() for i in (3, 4))
+            sets = [np.unique(shingles_of(names, t.as_py(), width)) for t in group.column(5)]
+            sizes = np.array([len(x) for x in sets])
+            points = _points(sets)
+            a, b = CountTree(points, sizes, percent).pairs()
+            other = part[a] != part[b]
+            a, b = a[other], b[other]
+            joined: dict[int, int] = {}
+
+            def top(x: int) -> int:
+                while x in joined:  # noqa: B023
+                    x = joined[x]  # noqa: B023
+                return x
+
+            links = []
+            for i, j in zip(a.tolist(), b.tolist(), strict=True):
+                x, y = top(part[i]), top(part[j])
+                if x != y:
+                    shared = int(find(sets[i], sets[j])[1].sum())
+                    if 100 * shared >= percent * (sizes[i] + sizes[j] - shared):
+                        joined[max(x, y)] = min(x, y)
+                        links.append((row[i], row[j]))
+            found = np.array(links, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
 
     return search
 
@@ -325,16 +397,33 @@ def _search_blocks(percent: int):
 
 def _allowed(percent: int):
     """The bound for two nodes ``x`` and ``y``, as a condition."""
-    shared = F.aggregate(
-        F.zip_with("x.point", "y.point", lambda a, b: F.least(a, b)), F.lit(0).cast("bigint"), lambda s, v: s + v
-    )
+    lesser = F.zip_with("x.point", "y.point", lambda a, b: F.least(a, b))
+    shared = F.aggregate(lesser, F.lit(0).cast("bigint"), lambda s, v: s + v)
     return shared * (100 + percent) >= (F.col("x.n_shingles") + F.col("y.n_shingles")) * percent
 
 
-def similar_components(
-    docs: DataFrame, width: int = WIDTH, percent: int = PERCENT
-) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id`` of all documents."""
+def _dealt(met: DataFrame) -> DataFrame:
+    """(head, row) members as (head, low, high, row): groups, or pairs of pieces of large ones."""
+    sizes = met.groupBy("head").count().where(F.col("count") > PIECE).select(
+        "head", F.ceil(F.col("count") / PIECE).cast("int").alias("pieces"))
+    pieces = F.coalesce("pieces", F.lit(1))
+    return (
+        met.join(small_enough(written(sizes, "large-groups"), BROADCAST_ROWS), "head", "left")
+        .withColumn("piece", F.pmod(F.xxhash64("row"), pieces).cast("long"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), pieces.cast("long") - 1)))
+        .select("head", F.least("piece", "other").alias("low"),
+                F.greatest("piece", "other").alias("high"), "row")
+    )
+
+
+def _sorted_groups(rows: DataFrame) -> DataFrame:
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(tasks, "head", "low", "high").sortWithinPartitions(
+        "head", "low", "high")
+
+
+def component_roots(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """``doc_id``, ``text_key``, ``n_shingles``, ``root``: rows with their component's name."""
     spark = ship_package(docs.sparkSession)
     kind = "long" if dict(docs.dtypes)["doc_id"] in ("bigint", "int") else "string"
     texts = docs.select(
@@ -358,9 +447,6 @@ def similar_components(
         sets.join(classes.select(F.col("node").alias("row")), "row", "left_semi"), "nodes"
     )
 
-    def links_of(pairs: DataFrame, name: str) -> DataFrame:
-        return written(verified(pairs, nodes, texts, width, percent), name)
-
     # First round: each node with the first node of its blocks.
     few = nodes.select("row", F.explode(F.slice("first", 1, FIRST_ROUND)).alias("shingle"))
     heads = written(
@@ -369,7 +455,7 @@ def similar_components(
         "heads",
     )
     near = (
-        few.join(heads, "shingle").where("row != head")
+        few.join(small_enough(heads, BROADCAST_ROWS), "shingle").where("row != head")
         .select(F.col("head").alias("a"), F.col("row").alias("b")).distinct()
     )
     slim = nodes.select("row", "n_shingles", "point")
@@ -379,43 +465,44 @@ def similar_components(
         .where(_allowed(percent)).select("a", "b"),
         "first-pairs",
     )
-    links = links_of(first, "first-links")
+    links = written(verified(first, nodes, texts, width, percent), "first-links")
     parts = components(links)
 
-    # Second round: pairs of different components that share a block.
-    member = nodes.join(parts, F.col("row") == F.col("node"), "left").select(
-        "row", F.coalesce("root", "row").alias("part"), "n_shingles", "point", "first"
+    # Second round: different components that meet in a block. Blocks with the same first
+    # node are searched as one group, which holds each of its members once.
+    member = written(
+        nodes.join(parts, F.col("row") == F.col("node"), "left").select(
+            "row", F.coalesce("root", "row").alias("part"), "n_shingles", "cells", "first"),
+        "members",
     )
-    member = written(member, "members")
     placed = member.select("row", "part", F.explode("first").alias("shingle"))
     mixed = written(
         placed.groupBy("shingle")
-        .agg(F.min("part").alias("least"), F.max("part").alias("most"), F.count("*").alias("n"))
-        .where("least != most")
-        .select("shingle", F.ceil(F.col("n") / PIECE).cast("int").alias("pieces")),
+        .agg(F.min("part").alias("least"), F.max("part").alias("most"), F.min("row").alias("head"))
+        .where("least != most").select("shingle", "head"),
         "mixed-blocks",
     )
-    dealt = (
-        placed.drop("part").join(mixed, "shingle")
-        .withColumn("piece", F.pmod(F.xxhash64("row"), F.col("pieces")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
-        .select("shingle", F.least("piece", "other").alias("low"),
-                F.greatest("piece", "other").alias("high"), "row")
+    met = written(
+        placed.join(small_enough(mixed, BROADCAST_ROWS), "shingle").select("head", "row").distinct(),
+        "met",
     )
-    slim = member.select("row", "part", "n_shingles", "point")
-    dealt = dealt.join(slim, "row").select(
-        "shingle", F.col("low").cast("long"), F.col("high").cast("long"), "row", "part",
-        "n_shingles", "point",
+    slim = member.select("row", "part", "n_shingles", "cells")
+    searched = _dealt(met).join(slim, "row").select(
+        "head", "low", "high", "row", "part", "n_shingles", "cells")
+    left = written(
+        _sorted_groups(searched).mapInArrow(_survivors(percent), "head long, row long").distinct(),
+        "survivors",
     )
-    parallel = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = (
-        dealt.repartition(parallel, "shingle", "low", "high")
-        .sortWithinPartitions("shingle", "low", "high")
-        .mapInArrow(_search_blocks(percent), "a long, b long").distinct()
+    known = texts_of(left.select("row").distinct(), nodes, texts)
+    searched = (
+        _dealt(left).join(member.select("row", "part"), "row").join(known, "row")
+        .select("head", "low", "high", "row", "part", "text")
     )
-    tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    second = written(found.join(tried, ["a", "b"], "left_anti"), "second-pairs")
-    links = links.unionByName(links_of(second, "second-links"))
+    links = links.unionByName(written(
+        _sorted_groups(searched)
+        .mapInArrow(_links_between_components(width, percent), "a long, b long"),
+        "second-links",
+    ))
     parts = components(links)
 
     # Components of documents: the nodes', through the classes.
@@ -423,14 +510,43 @@ def similar_components(
         *same, F.coalesce("root", "node").alias("root")
     )
     owned = written(owned, "class-components")
-    rooted = written(
-        sets.select("doc_id", "row", *same).join(owned, same, "left")
-        .select("doc_id", "n_shingles", F.coalesce("root", F.lit(-1) - F.col("row")).alias("root")),
+    return written(
+        sets.select("doc_id", "text_key", "row", *same).join(owned, same, "left").select(
+            "doc_id", "text_key", "n_shingles",
+            F.coalesce("root", F.lit(-1) - F.col("row")).alias("root")),
         "rooted",
     )
+
+
+def similar_components(
+    docs: DataFrame, width: int = WIDTH, percent: int = PERCENT
+) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``component_id`` of all documents."""
+    rooted = component_roots(docs, width, percent)
     ids = written(rooted.groupBy("root").agg(F.min("doc_id").alias("component_id")), "ids")
     return rooted.join(ids, "root").select("doc_id", "n_shingles", "component_id")
 
 
+def one_of_each(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """``docs`` with one document of every component: the one with the least id, null last."""
+    rooted = component_roots(docs, width, percent)
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("least")
+    kept_id, kept_key = fresh(docs, "kept_id_"), fresh(docs, "kept_key_")
+    stays = written(
+        rooted.groupBy("root").agg(least).select(
+            F.col("least.doc_id").alias(kept_id), F.col("least.text_key").alias(kept_key)),
+        "kept",
+    )
+    key = F.xxhash64("text")
+    kept = docs.join(
+        small_enough(stays, BROADCAST_ROWS),
+        F.col("doc_id").eqNullSafe(F.col(kept_id)) & (key == F.col(kept_key)),
+        "left_semi",
+    )
+    if kept.select("doc_id").count() > stays.count():  # rows that are there more than once
+        kept = kept.dropDuplicates(["doc_id", "text"])
+    return kept
+
+
 def op6_similar_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_components(read_table(spark, sf_dir, "documents"))

@@ -63,7 +63,7 @@ def test_query_equals_brute_force(spark):
         rows)
 
 
-@pytest.mark.parametrize("piece", [1_500, 7])
+@pytest.mark.parametrize("piece", [500, 7])
 def test_chains_families_and_a_passage_that_many_share(documents, monkeypatch, piece):
     monkeypatch.setattr(similar_texts, "PIECE", piece)
     dice = random.Random(piece)
