@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelloom.functions.binding import bind
-from labelloom.llm.shared import read_table, small_enough, words_of, written
+from labelloom.llm.shared import fresh, read_table, small_enough, words_of, written
 
 WIDTH = 5
 PERCENT = 80
@@ -133,8 +133,10 @@ def find_items(
 
 def without_items(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` less those in which an item is found."""
-    leaks = find_items(docs, items).select(F.col("doc_id").alias("leak_id_")).distinct()
-    return docs.join(leaks, F.col("doc_id").eqNullSafe(F.col("leak_id_")), "left_anti")
+    leak = fresh(docs, "leak_id_")
+    leaks = find_items(docs, items).select(F.col("doc_id").alias(leak)).distinct()
+    leaks = small_enough(written(leaks, "leaks"), BROADCAST_ROWS)
+    return docs.join(leaks, F.col("doc_id").eqNullSafe(F.col(leak)), "left_anti")
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

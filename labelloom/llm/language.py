@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from labelloom.deploy import ship_package
-from labelloom.llm.shared import read_table
+from labelloom.llm.shared import fresh, read_table
 
 SIZES = (3, 4)
 MOST_GRAMS = 50_000
@@ -233,11 +233,10 @@ def in_known_language(docs: DataFrame) -> DataFrame:
     """``docs`` less texts without letters and those that no learned language explains."""
     learned = learn_languages(docs, ~held_out(5, 0))
     predicted = language_of(docs.sparkSession, learned)(F.col("text"))
-    return (
-        docs.withColumn("language_", predicted)
-        .where((F.col("language_.lang") != UNKNOWN) & (F.col("language_.score") >= LEAST_SCORE))
-        .drop("language_")
-    )
+    name = fresh(docs, "language_")
+    found = docs.withColumn(name, predicted)
+    known = (F.col(name)["lang"] != UNKNOWN) & (F.col(name)["score"] >= LEAST_SCORE)
+    return found.where(known).drop(name)
 
 
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ rows inside one range are ordered one by one.
 
 Defined results: a null text has size 0; null is a source of its own, ordered last; a source
 without words has target 0. Ties in time go to source, repeat and shuffled position. Rows
-that repeat a ``doc_id`` are separate documents, told apart by size. An empty table gives an
+that repeat a ``doc_id`` are separate documents, told apart by text. An empty table gives an
 empty result. The shuffle depends on ids alone, so reruns agree.
 """
 
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from labelloom.llm.shared import read_table, word_count, written
+from labelloom.llm.shared import fresh, read_table, small_enough, word_count, written
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -32,6 +32,7 @@ REPEATS = 2
 RANGE_DIGITS = 3
 #: Ranges of finish time up to the budget's end.
 TIME_RANGES = 4096
+BROADCAST_ROWS = 1_000_000
 
 
 def source_targets(
@@ -82,13 +83,18 @@ def fair_queue(
     share: float = SHARE,
     repeats: int = REPEATS,
 ) -> DataFrame:
-    """``doc_id``, ``source``, ``size``, ``source_size``, ``target``, ``copies``, ``taken``.
+    """``doc_id``, ``source``, ``size``, ``text_key``, ``source_size``, ``target``, ``copies``,
+    ``taken``.
 
     ``docs`` has doc_id, source and text. ``copies`` says how often the mix takes the
     document, ``taken`` how many of its words.
     """
     sizes = written(
-        docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix-sizes"
+        docs.select(
+            "doc_id", "source", word_count(F.col("text")).alias("size"),
+            F.xxhash64("text").alias("text_key"),
+        ),
+        "mix-sizes",
     )
     targets = written(source_targets(sizes, weights, share, repeats), "mix-targets")
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
@@ -96,6 +102,7 @@ def fair_queue(
         "doc_id",
         "source",
         "size",
+        "text_key",
         F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("repeat"),
     ).withColumn(
         "place",
@@ -116,7 +123,7 @@ def fair_queue(
     )
     inside = (
         W.partitionBy(*queue)
-        .orderBy("place", "doc_id", "size")
+        .orderBy("place", "doc_id", "size", "text_key")
         .rowsBetween(W.unboundedPreceding, W.currentRow)
     )
     running = queued.withColumn("run", F.sum("size").over(inside))
@@ -124,7 +131,7 @@ def fair_queue(
         F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("repeat", "range")
     ]
     timed = running.alias("a").join(starts.alias("b"), same).select(
-        "a.doc_id", "a.source", "a.size", "a.repeat", "a.place",
+        "a.doc_id", "a.source", "a.size", "a.text_key", "a.repeat", "a.place",
         (F.col("b.start") + F.col("a.run")).alias("words"),
     )
     timed = timed.alias("a").join(
@@ -159,14 +166,15 @@ def fair_queue(
     )
     line = (
         W.partitionBy("slice")
-        .orderBy("finish", F.col("source").asc_nulls_last(), "repeat", "place", "doc_id", "size")
+        .orderBy("finish", F.col("source").asc_nulls_last(), "repeat", "place", "doc_id", "size",
+                 "text_key")
         .rowsBetween(W.unboundedPreceding, W.currentRow)
     )
     cut = torn.withColumn("sum", F.col("before") + F.sum("size").over(line)).where(
         F.col("sum") <= F.col("budget")
     )
-    keys = ["doc_id", "source", "size"]
-    # A row that repeats id, source and size is the same document again: they share copies.
+    keys = ["doc_id", "source", "size", "text_key"]
+    # A row that repeats id, source and text is the same document again: they share copies.
     taken = (
         whole.select(*keys, "repeat")
         .unionByName(cut.select(*keys, "repeat"))
@@ -189,11 +197,41 @@ def fair_queue(
     return copies.alias("c").join(
         targets.alias("t"), F.col("c.source").eqNullSafe(F.col("t.source"))
     ).select(
-        "c.doc_id", "c.source", "c.size", "t.source_size", "t.target", "c.copies",
+        "c.doc_id", "c.source", "c.size", "c.text_key", "t.source_size", "t.target", "c.copies",
         (F.col("c.copies") * F.col("c.size")).cast("long").alias("taken"),
     )
 
 
+def mixed(docs: DataFrame) -> DataFrame:
+    """The mix: rows of ``docs`` as often as it takes them."""
+    keys = ["doc_id", "source", "text_key"]
+    counts = written(
+        fair_queue(docs).groupBy(*keys)
+        .agg(F.sum("copies").alias("copies_"), F.count("*").alias("rows_")),
+        "mix-copies",
+    )
+    copies, rows, row = (fresh(docs, c) for c in ("copies_", "rows_", "row_"))
+    found = docs.alias("d").join(
+        small_enough(counts, BROADCAST_ROWS).alias("n"),
+        F.col("d.doc_id").eqNullSafe(F.col("n.doc_id"))
+        & F.col("d.source").eqNullSafe(F.col("n.source"))
+        & (F.xxhash64("d.text") == F.col("n.text_key")),
+    ).select("d.*", F.col("n.copies_").alias(copies), F.col("n.rows_").alias(rows))
+    found = found.where(F.col(copies) > 0)
+    # Rows that are there more than once share the copies of all.
+    same = W.partitionBy("doc_id", "source", "text").orderBy(F.lit(1))
+    shared = found.where(F.col(rows) > 1).withColumn(row, F.row_number().over(same)).withColumn(
+        copies,
+        F.floor(F.col(copies) / F.col(rows))
+        + (F.col(row) <= F.col(copies) % F.col(rows)).cast("long"),
+    ).drop(row).where(F.col(copies) > 0)
+    return (
+        found.where(F.col(rows) == 1).unionByName(shared)
+        .withColumn(row, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))))
+        .drop(copies, rows, row)
+    )
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fair_queue(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
@@ -203,7 +241,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: The same in SQL, by plain windows over whole queues.
 OP10_SQL = """
 WITH sizes AS (
-  SELECT doc_id, source,
+  SELECT doc_id, source, text,
          coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size
   FROM documents
 ), named AS (
@@ -229,7 +267,7 @@ WITH sizes AS (
          coalesce(least(cap::DOUBLE, (SELECT reached FROM water) * weight), cap::DOUBLE) AS target
   FROM filled
 ), queued AS (
-  SELECT doc_id, source, size, repeat,
+  SELECT doc_id, source, text, size, repeat,
          md5(repeat::VARCHAR || ':' || coalesce(doc_id::VARCHAR, '')) AS place
   FROM sizes, (VALUES (0), (1)) AS r(repeat)
 ), timed AS (
@@ -247,5 +285,5 @@ WITH sizes AS (
 SELECT doc_id, size, source_size, target,
        sum(CASE WHEN spent <= (SELECT sum(target) FROM targets) THEN size ELSE 0 END)::BIGINT
          AS taken
-FROM merged GROUP BY doc_id, source, size, source_size, target
+FROM merged GROUP BY doc_id, source, text, size, source_size, target
 """
