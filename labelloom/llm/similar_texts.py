@@ -54,6 +54,7 @@ FIRST_ROUND = 12
 #: Members of a block that one task holds; larger blocks are dealt out.
 PIECE = 500
 LEAF, FANOUT, LEAVES_AT_ONCE = 32, 8, 400
+COUNTS_AT_ONCE = 1 << 22
 CHUNK_TOKENS = 1_500_000
 BROADCAST_ROWS = 1_000_000
 
@@ -288,8 +289,9 @@ class CountTree:
         """Whether a pair of boxes (left is not after right) may hold similar sets."""
         keep = top[left] * 100 >= low[right] * self.percent
         some = np.flatnonzero(keep)
-        bound = np.minimum(high[left[some]], high[right[some]]).sum(axis=1)
-        keep[some] = bound >= least_shared(low[left[some]], low[right[some]], self.percent)
+        for part in np.array_split(some, len(some) * high.shape[1] // COUNTS_AT_ONCE + 1):
+            bound = np.minimum(high[left[part]], high[right[part]]).sum(axis=1)
+            keep[part] = bound >= least_shared(low[left[part]], low[right[part]], self.percent)
         return keep
 
     @staticmethod
