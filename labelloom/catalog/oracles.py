@@ -211,6 +211,15 @@ accepted AS (SELECT dataset, id, seen FROM run WHERE at_once OR seen % {off_labe
 
 
 _RUN = _run(13)
+# The same after toxic documents were edited, under names of its own.
+_EDITED_DOCS = (
+    "SELECT source AS dataset, doc_id AS id, CASE WHEN toxic = 1 THEN text || ' Edited.' "
+    "ELSE text END AS text FROM documents LEFT JOIN labels USING (doc_id)"
+)
+_EDITED_RUN = re.sub(
+    r"\b(sized|first|counted|second|prompts|run|accepted)\b", r"\g<1>_2",
+    _RUN.replace(DOCS, _EDITED_DOCS).replace("WITH", "", 1),
+)
 _RUN_RECORDS = f"{_RUN} SELECT dataset, id, {_STUB_FIELDS} FROM accepted"
 
 # -- corpora at different degrees of completeness ---------------------------------
@@ -297,7 +306,7 @@ FROM ({_NAMED})""",
     "build_prompts": f"""
 SELECT dataset, id, 'system' AS first_role, {_quote(SYSTEM_PROMPT)} AS first_content,
   'user' AS second_role,
-  '<start_of_document>' || chr(10) || {_truncated(2000)} || chr(10) || '<end_of_document>'
+  '<start_of_document>' || chr(10) || {_truncated(50_000)} || chr(10) || '<end_of_document>'
     || chr(10) AS second_content
 FROM ({DOCS})""",
     "prompt_tokens": f"""
@@ -339,6 +348,25 @@ FROM run WHERE NOT at_once AND seen % 13 = 0""",
 SELECT dataset, concat('annotations/', dataset, '/{SLUG}.parquet') AS path,
   concat('Add ', dataset, ' annotations with {MODEL}') AS message, count(*) AS n_rows
 FROM run GROUP BY dataset HAVING bool_and(at_once OR seen % 251 <> 0)""",
+    "published_rows": f"""{_run(251)}
+SELECT dataset, id, {_STUB_FIELDS} FROM accepted WHERE dataset IN (
+  SELECT dataset FROM run GROUP BY dataset HAVING bool_and(at_once OR seen % 251 <> 0))""",
+    "changed_corpora": f"""{_RUN}, {_EDITED_RUN}
+SELECT n.dataset, n.id, concat('Prompt of ', n.seen, ' characters.') AS one_sentence_description,
+  o.seen IS NULL OR o.seen <> n.seen AS changed
+FROM accepted_2 n LEFT JOIN accepted o USING (id)""",
+    "annotator_records": f"""
+SELECT dataset, id, concat(length(text), ' characters') AS one_sentence_description
+FROM ({DOCS})""",
+    "route_sources": """
+SELECT DISTINCT source AS dataset, CASE
+  WHEN CAST(substring(source, 4) AS INTEGER) % 2 = 0 THEN 'local'
+  WHEN source = 'src5' THEN 'unavailable' ELSE 'fallback' END AS source
+FROM documents""",
+    "partial_records": f"""WITH {_FIRST}
+SELECT 'all' AS dataset, row_number() OVER (ORDER BY id % 4, id) - 1 AS rank, id,
+  {_text('one_sentence_description')} AS description
+FROM answers WHERE {_VALID} AND id % 4 < 3""",
     "resume_pending": _UNLABELLED,
     "resume_rows": _UNLABELLED,
     "resume_by_position": f"""WITH {_PROGRESS}

@@ -10,12 +10,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelloom.catalog.answers import FIRST_ANSWER, SECOND_ANSWER, WHOLE_ANSWER
 from labelloom.deploy import ship_package
+from labelloom.fixed_values import POINTER_FIRST_LINE
 from labelloom.functions import paths, prompts
 from labelloom.functions.length_band import length_band
 from labelloom.functions.validation import (
@@ -24,18 +26,19 @@ from labelloom.functions.validation import (
     with_reject_reasons,
 )
 from labelloom.operators import positions, resume
-from labelloom.operators.model_call import spread
+from labelloom.operators.model_call import TextAnnotator, spread
 from labelloom.operators.token_budget import CharCounter, Counter, Messages, ModelCounter
 from labelloom.plans.annotate import AnnotationJob
-from labelloom.plans.attempts import answered, bounded_prompts, records, retry_bounds
+from labelloom.plans.attempts import bounded_prompts, first_attempt, records, retry_bounds
 from labelloom.plans.publish import publish, published_manifest
+from labelloom.plans.publish import published_rows as read_published
 from labelloom.settings import Settings
 from labelloom.sources import corpora
 from labelloom.sources.corpora import CorpusScan
-from labelloom.sources.parts import merge_parts
+from labelloom.sources.parts import merge_parts, partial_outputs, read_parts
 from labelloom.sources.tables import scratch_root
 from labelloom.streaming.incremental import IncrementalAnnotation
-from labelloom.stubs import PromptSizeModel
+from labelloom.stubs import CANONICAL_ANSWER, PromptSizeModel
 from labelloom.taxonomy import LIST_FIELDS, FIELD_NAMES, taxonomy
 
 SETTINGS = Settings("lab/annotator-1")
@@ -177,7 +180,7 @@ def truncate_content(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def build_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = prompts.chat_messages(F.col("text"), 2_000)
+    messages = prompts.chat_messages(F.col("text"), SETTINGS.max_content_chars)
     return (
         _texts(spark, sf_dir)
         .select("dataset", "id", messages.alias("messages"))
@@ -279,29 +282,26 @@ def reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _both_attempts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Accepted by attempt 1, accepted by attempt 2, refused by both."""
-    parsed = parse_annotations(_answers(_texts(spark, sf_dir), "dataset", "id"))
+def _both_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's last answer, parsed, and the attempt it came from; texts read once."""
+    both = parse_annotations(_answers(_texts(spark, sf_dir), "dataset", "id"))
     second = parse_annotations(
-        parsed.filter(F.col("annotation").isNull()).select(
-            "dataset", "id", F.col("again").alias("raw")
-        )
+        both.select("dataset", "id", F.col("annotation").alias("first"), F.col("again").alias("raw"))
+    )
+    return second.select(
+        "dataset", "id", "raw",
+        F.when(F.col("first").isNotNull(), 1).otherwise(2).alias("attempt"),
+        F.coalesce("first", "annotation").alias("annotation"),
     )
-    accepted = F.col("annotation").isNotNull()
-    return parsed.filter(accepted).drop("again"), second.filter(accepted), second.filter(~accepted)
 
 
 def retry_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first, second, _ = _both_attempts(spark, sf_dir)
-    return flat(
-        first.withColumn("attempt", F.lit(1))
-        .unionByName(second.withColumn("attempt", F.lit(2)))
-        .select("dataset", "id", "attempt", "annotation.*")
-    )
+    merged = _both_attempts(spark, sf_dir).filter(F.col("annotation").isNotNull())
+    return flat(merged.select("dataset", "id", "attempt", "annotation.*"))
 
 
 def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    refused = _both_attempts(spark, sf_dir)[2]
+    refused = _both_attempts(spark, sf_dir).filter(F.col("annotation").isNull())
     return with_reject_reasons(refused).select(
         "dataset", "id", "raw", F.array_join("reasons", ",").alias("reasons"),
         F.lit(2).alias("attempts"),
@@ -316,15 +316,14 @@ def annotate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     slots = spark.sparkContext.defaultParallelism
     documents = spread(_documents(spark, sf_dir), slots, "part", "pos")
-    bounded = bounded_prompts(documents, CHARS, SETTINGS)
-    called = answered(bounded, PromptSizeModel(), SETTINGS, 1)
-    return flat(records(called.withColumn("outcome", F.lit("accepted"))))
+    return flat(records(first_attempt(documents, CHARS, PromptSizeModel(), SETTINGS)))
 
 
 def _job(spark: SparkSession, purpose: str, off_label_every: int = 13) -> AnnotationJob:
     ship_package(spark)
     model = PromptSizeModel(flaky=True, off_label_every=off_label_every)
-    return AnnotationJob(spark, scratch_root(spark, purpose), SETTINGS, model)
+    settings = replace(SETTINGS, slots=spark.sparkContext.defaultParallelism)
+    return AnnotationJob(spark, scratch_root(spark, purpose), settings, model)
 
 
 def annotate_corpora(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -371,7 +370,98 @@ def published_corpora(spark: SparkSession, sf_dir: str) -> DataFrame:
     job.run(scan)
     target = f"{job.root}/published"
     publish(spark, job.annotations(), job.states(scan), target, SETTINGS)
-    return published_manifest(spark, target)
+    return published_manifest(spark, target).drop("location")
+
+
+def published_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows read back from where the manifest says they are."""
+    job = _job(spark, "publish-rows", off_label_every=251)
+    scan = _scan(spark, sf_dir)
+    job.run(scan)
+    target = f"{job.root}/published"
+    publish(spark, job.annotations(), job.states(scan), target, SETTINGS)
+    return flat(read_published(spark, target))
+
+
+def changed_corpora(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that were annotated, then edited (the toxic ones), and annotated again.
+
+    A first model answers with other words than the second, so the table tells which rows
+    were called for anew.
+    """
+    job = _job(spark, "changed")
+    documents = _table(spark, sf_dir, "documents")
+    marked = documents.join(
+        _table(spark, sf_dir, "labels").filter("toxic = 1").select("doc_id", "toxic"),
+        "doc_id", "left",
+    )
+    edited = F.when(F.col("toxic") == 1, F.concat("text", F.lit(" Edited."))).otherwise(
+        F.col("text"))
+    path = f"{job.root}/corpora/all.parquet"
+
+    def write(text: Column) -> CorpusScan:
+        columns = ["doc_id", "source", text.alias("text")]
+        marked.select(*columns).coalesce(1).sortWithinPartitions("doc_id").write.mode(
+            "overwrite").parquet(path)
+        return CorpusScan(spark, (path,), "doc_id", "text", F.col("source"))
+
+    job.run(write(F.col("text")))
+    first = job.annotations().select("id", F.col("one_sentence_description").alias("was"))
+    before = written_rows(spark, first, f"{job.root}/before")
+    job.run(write(edited))
+    now = job.annotations().select("dataset", "id", "one_sentence_description")
+    return now.join(before, "id", "left").select(
+        "dataset", "id", "one_sentence_description",
+        F.coalesce(F.col("was") != F.col("one_sentence_description"), F.lit(True)).alias("changed"),
+    )
+
+
+def written_rows(spark: SparkSession, rows: DataFrame, path: str) -> DataFrame:
+    rows.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+class LengthAnnotator:
+    """Stands in for an annotator of whole texts: it tells the length of what it got."""
+
+    def annotate(self, text: str) -> dict:
+        return {**CANONICAL_ANSWER, "one_sentence_description": f"{len(text)} characters"}
+
+
+def annotator_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of an annotator that takes whole texts, taken as they are."""
+    ship_package(spark)
+    slots = spark.sparkContext.defaultParallelism
+    documents = spread(_documents(spark, sf_dir), slots, "part", "pos")
+    annotated = first_attempt(documents, CHARS, TextAnnotator(LengthAnnotator), SETTINGS)
+    return records(annotated).select("dataset", "id", "one_sentence_description")
+
+
+def route_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where corpora come from, when some are placeholders or missing.
+
+    The texts of each source are written as a corpus: even sources with a ready file in the
+    first place, odd ones with a pointer there and, but for ``src5``, a file in the second.
+    """
+    root = scratch_root(spark, "routing")
+    texts = _texts(spark, sf_dir).select("dataset", "id", "text")
+    number = F.regexp_extract("dataset", "([0-9]+)$", 1).cast("int")
+    pointer = spark.range(1).select(F.concat(
+        F.lit(f"{POINTER_FIRST_LINE}\n"), F.repeat(F.lit("more "), 400)).alias("value"))
+    named = sorted(r.dataset for r in list_corpora(spark, sf_dir).collect())
+    even = [n for n in named if int(n[3:]) % 2 == 0]
+    for place, rows in (("local", number % 2 == 0), ("spare", number % 2 == 1)):
+        texts.filter(rows & (F.col("dataset") != "src5")).write.partitionBy("dataset").parquet(
+            f"{root}/{place}")
+    pointer.coalesce(1).write.text(f"{root}/pointers")
+    folder = F.regexp_extract("path", "/dataset=([^/]+)/", 1)
+    local = corpora.corpus_files(spark, f"{root}/local", folder)
+    spare = corpora.corpus_files(spark, f"{root}/spare", folder)
+    held = corpora.corpus_files(spark, f"{root}/pointers", F.lit("held"), "*.txt")
+    odd = F.array(*[F.lit(name) for name in named if name not in even])
+    placeholders = held.select(F.explode(odd).alias("dataset"), "path", "length", "pointer")
+    routed = corpora.route_files(local.unionByName(placeholders), spare)
+    return routed.select("dataset", "source").distinct()
 
 
 # -- resume, counts and plans -----------------------------------------------------
@@ -422,6 +512,20 @@ def batch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("dataset", "id", "rank", "batch_id")
 
 
+def partial_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part files of an interrupted run, read back in order: the place as a column."""
+    root = scratch_root(spark, "parts")
+    answers = parse_annotations(_first_answers(spark, sf_dir)).filter("annotation IS NOT NULL")
+    parts = answers.select("id", "annotation.*")
+    for number, name in enumerate(("tmp", "part1", "part2", "part4")):
+        parts.filter(F.col("id") % 4 == number).coalesce(1).sortWithinPartitions("id").write.parquet(
+            f"{root}/all/{SETTINGS.model_slug}.{name}.parquet")
+    listed = partial_outputs(spark, root).select("path").collect()
+    ranked = positions.with_rank(read_parts(spark, [r.path for r in listed]), ["dataset"])
+    return ranked.select(
+        "dataset", "rank", "id", F.col("annotation.one_sentence_description").alias("description"))
+
+
 def merged_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two disjoint parts, labelled and unlabelled documents, as one output."""
     documents = _texts(spark, sf_dir).select(
@@ -455,29 +559,22 @@ def _states(spark: SparkSession, sf_dir: str) -> DataFrame:
     Good ones are whole, poor ones have only their long documents done, toxic ones were
     done twice, and unlabelled ones not at all.
     """
-    documents = (
-        _texts(spark, sf_dir).select("id", F.length("text").alias("size"))
-        .join(_labelled(spark, sf_dir), "id", "left")
-        .join(
-            _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "lang"), "id"
-        )
-        .withColumn(
-            "dataset",
-            F.concat_ws(
-                "-", "lang",
-                F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good")
-                .when(F.col("quality") == 0, "poor").otherwise("open"),
-            ),
-        )
+    kind = (
+        F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good")
+        .when(F.col("quality") == 0, "poor").otherwise("open")
     )
-    toxic = F.coalesce(F.col("toxic"), F.lit(0)) == 1
-    done = documents.filter(
-        toxic | (F.col("quality") == 1) | ((F.col("quality") == 0) & (F.col("size") >= 1_000))
+    times = (
+        F.when(F.col("toxic") == 1, 2).when(F.col("quality") == 1, 1)
+        .when((F.col("quality") == 0) & (F.col("size") >= 1_000), 1).otherwise(0)
     )
-    return resume.completeness(
-        corpora.corpus_counts(documents),
-        corpora.corpus_counts(merge_parts(done, done.filter(toxic))),
+    counted = (
+        _table(spark, sf_dir, "documents")
+        .select(F.col("doc_id").alias("id"), "lang", F.length("text").alias("size"))
+        .join(_labelled(spark, sf_dir), "id", "left")
+        .groupBy(F.concat_ws("-", "lang", kind).alias("dataset"))
+        .agg(F.count(F.lit(1)).alias("n_rows"), F.sum(times).alias("n_done"))
     )
+    return resume.with_state(counted)
 
 
 def completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -485,8 +582,7 @@ def completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def publishable(spark: SparkSession, sf_dir: str) -> DataFrame:
-    states = _states(spark, sf_dir)
-    return resume.publishable(states.select("dataset", "expected_rows"), states)
+    return resume.publishable(_states(spark, sf_dir)).select("dataset", "expected_rows")
 
 
 def overcomplete(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -573,7 +669,8 @@ QUERIES: dict[str, Query] = {
         token_bounded_tight, token_bounded_counted, retry_budget, parsed_responses,
         alias_field, response_states, reject_reasons, retry_merge, rejects,
         annotate_documents, annotate_corpora, rejected_documents, resumed_corpora,
-        incremental_annotate, published_corpora, resume_pending, resume_rows,
+        incremental_annotate, published_corpora, published_rows, changed_corpora,
+        annotator_records, route_sources, partial_records, resume_pending, resume_rows,
         resume_by_position, batch_plan, merged_parts, skip_published, completeness,
         publishable, overcomplete, orphans, progress, taxonomy_usage, length_bands,
         length_consistency,

@@ -110,8 +110,8 @@ BATCH_ROWS = 32
 IN_FLIGHT_REQUESTS = 8
 
 POINTER_FIRST_LINE = "version https://git-lfs.github.com/spec/v1"
-POINTER_MAX_BYTES = 1_024
 PSEUDO_CORPUS = "default"
+RESPONSE_NAME = "AnnotationResponse"
 
 # Lower edges, in words, of the content_length bands named in the prompt.
 LENGTH_BAND_EDGES = (("substantial", 2_000), ("moderate", 500), ("brief", 100))

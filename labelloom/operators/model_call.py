@@ -10,12 +10,12 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelloom.fixed_values import DOCUMENT_CLOSE, DOCUMENT_OPEN
 from labelloom.operators.token_budget import Messages, chat
 from labelloom.settings import Settings
 from labelloom.taxonomy import response_format
@@ -24,6 +24,8 @@ from labelloom.taxonomy import response_format
 ModelCall = Callable[[Messages, int, dict], str | None]
 ClientFactory = Callable[[], ModelCall]
 
+RESPONSE_TYPE = "struct<raw:string,error:string>"
+
 
 def chat_completions(make_client: Callable[[], object], model_name: str) -> ClientFactory:
     """Factory for clients with the common ``chat.completions.create`` interface."""
@@ -45,59 +47,78 @@ def chat_completions(make_client: Callable[[], object], model_name: str) -> Clie
     return build
 
 
-def text_annotator(make_annotator: Callable[[], object]) -> ClientFactory:
+@dataclass(frozen=True)
+class TextAnnotator:
     """Factory for annotators that offer ``annotate(text) -> record`` instead of a chat.
 
-    They get the document inside the bounded prompt; their records are checked like any
-    other answer.
+    They get whole texts: no prompt, no budget, no second attempt. Their records are taken
+    as they are.
     """
 
-    def build() -> ModelCall:
-        annotator = make_annotator()
+    make_annotator: Callable[[], object]
 
-        def call(messages: Messages, max_tokens: int, response_format: dict) -> str:
-            document = messages[1]["content"][len(DOCUMENT_OPEN):-len(DOCUMENT_CLOSE)]
-            return json.dumps(annotator.annotate(document))
 
-        return call
+def _answers(
+    contents: Column, build: Callable[[], Callable[[str], str | None]], settings: Settings
+) -> Column:
+    """``raw`` and ``error`` per row; null contents are not sent.
 
-    return build
+    Marked non-deterministic so that the optimizer neither duplicates nor reorders the
+    call. What goes wrong in one call is that row's error: it is never taken for an answer,
+    and takes no other row's answer with it.
+    """
+    in_flight = settings.requests_per_task
+
+    @F.pandas_udf(RESPONSE_TYPE)
+    def respond(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        call = build()
+
+        def one(content: str | None) -> tuple[str | None, str | None]:
+            if content is None:
+                return None, None
+            try:
+                return call(content), None
+            except Exception as error:  # noqa: BLE001 - whatever a client raises
+                return None, f"{type(error).__name__}: {error}"
+
+        with ThreadPoolExecutor(in_flight) as requests:
+            for batch in batches:
+                yield pd.DataFrame(
+                    list(requests.map(one, batch)), columns=["raw", "error"], dtype=object
+                )
+
+    return respond.asNondeterministic()(contents)
 
 
 def model_response(
     user_content: Column, client_factory: ClientFactory, settings: Settings, attempt: int
 ) -> Column:
-    """Response text per row; null prompts are not sent.
-
-    Marked non-deterministic so that the optimizer neither duplicates nor reorders the
-    call. An exception from the client fails the task: it is never taken for an answer.
-    """
+    """The model's response to each prompt."""
     max_tokens = settings.output_budget(attempt)
-    in_flight = settings.requests_per_task
     answer_format = response_format()
 
-    @F.pandas_udf("string")
-    def respond(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def build() -> Callable[[str], str | None]:
         call = client_factory()
+        return lambda content: call(chat(content), max_tokens, answer_format)
 
-        def one(content: str | None) -> str | None:
-            if content is None:
-                return None
-            return call(chat(content), max_tokens, answer_format)
+    return _answers(user_content, build, settings)
 
-        with ThreadPoolExecutor(in_flight) as requests:
-            for contents in batches:
-                yield pd.Series(list(requests.map(one, contents)), dtype=object)
 
-    return respond.asNondeterministic()(user_content)
+def text_record(text: Column, annotator: TextAnnotator, settings: Settings) -> Column:
+    """The annotator's record of each whole text, as JSON."""
+    make_annotator = annotator.make_annotator
+
+    def build() -> Callable[[str], str | None]:
+        own = make_annotator()
+        return lambda content: json.dumps(own.annotate(content))
+
+    return _answers(text, build, settings)
 
 
-def spread(documents: DataFrame, slots: int, *keys: str) -> DataFrame:
-    """At least ``slots`` tasks for the calls, moving rows only when the scan has fewer.
+def spread(documents: DataFrame, slots: int | None, *keys: str) -> DataFrame:
+    """Deal rows out to ``slots`` tasks for the calls; without a number, leave the scan's.
 
-    A scan of many splits is already wide and is left alone, so no text is shuffled at
-    scale. Apply it to a plain scan: an adaptive plan would have to run to be counted.
+    Set it for corpora whose files have few splits; a scan of many splits is wide already,
+    and moving its text would be a shuffle for nothing.
     """
-    if documents.rdd.getNumPartitions() >= slots:
-        return documents
-    return documents.repartition(slots, *keys)
+    return documents if slots is None else documents.repartition(slots, *keys)

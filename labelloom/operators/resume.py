@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from labelloom.operators.positions import with_rank
+from labelloom.operators.positions import BLOCK_ROWS
 
-ROW_KEY = ("dataset", "part", "pos", "digest")
+ROW_KEY = ("part", "version", "pos", "digest")
 
 
 def row_digest(id_column: Column, text: Column) -> Column:
@@ -17,18 +15,8 @@ def row_digest(id_column: Column, text: Column) -> Column:
     return F.xxhash64(id_column, text)
 
 
-def null_safe_anti(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``left`` without a partner; null keys match null keys."""
-    done = right.select(*[F.col(key).alias(f"_done_{key}") for key in keys])
-    same = None
-    for key in keys:
-        match = left[key].eqNullSafe(done[f"_done_{key}"])
-        same = match if same is None else same & match
-    return left.join(done, same, "left_anti")
-
-
 def pending_rows(documents: DataFrame, done: DataFrame) -> DataFrame:
-    """Documents whose ``(dataset, part, pos, digest)`` is not in ``done``.
+    """Documents whose ``(part, version, pos, digest)`` is not in ``done``.
 
     The key is unique and never null, so the join spreads evenly.
     """
@@ -38,41 +26,32 @@ def pending_rows(documents: DataFrame, done: DataFrame) -> DataFrame:
 def pending_ids(documents: DataFrame, done: DataFrame) -> DataFrame:
     """Documents left when ``done`` knows rows only by ``(dataset, id)``.
 
-    Ids may repeat and be null. An id done n times frees its first n rows, by position.
-    Only ids that are neither untouched nor finished need that ranking, and the ranking
-    itself never gathers an id in one task, so a hot id is safe.
+    Ids and names may repeat and be null. An id done n times frees its first n rows, by
+    position. Rows and their done ones are counted per id and block of positions, the
+    counts are added up, and only narrow rows are ranked inside their blocks: an id with any
+    share of the rows is never gathered. Texts are met once, by position.
     """
-    key = ["dataset", "id"]
-    n_done = done.groupBy(*key).agg(F.count(F.lit(1)).alias("n_done"))
-    n_rows = documents.groupBy(*key).agg(F.count(F.lit(1)).alias("n_rows"))
-    left, right = n_rows.alias("l"), n_done.alias("r")
-    state = left.join(
-        right,
-        F.col("l.dataset").eqNullSafe(F.col("r.dataset"))
-        & F.col("l.id").eqNullSafe(F.col("r.id")),
-    ).select("l.dataset", "l.id", "n_rows", "n_done")
-    partly = state.filter(F.col("n_done") < F.col("n_rows"))
-
-    def among(rows: DataFrame, ids: DataFrame, how: str, *more: str) -> DataFrame:
-        other = ids.select(
-            F.col("dataset").alias("_dataset"), F.col("id").alias("_id"), *more
-        )
-        return rows.join(
-            other,
-            rows["dataset"].eqNullSafe(other["_dataset"]) & rows["id"].eqNullSafe(other["_id"]),
-            how,
-        )
-
-    ranked = with_rank(
-        among(documents.select(*key, "part", "pos"), partly, "left_semi"), key, "_occurrence"
+    narrow = documents.select(F.struct("dataset", "id").alias("_key"), "part", "pos").withColumn(
+        "_block", F.expr(f"pos DIV {BLOCK_ROWS}")
     )
-    reopened = (
-        among(ranked, partly, "inner", "n_done")
-        .filter(F.col("_occurrence") >= F.col("n_done"))
-        .select("part", "pos")
+    n_done = done.groupBy(F.struct("dataset", "id").alias("_key")).agg(
+        F.count(F.lit(1)).alias("_done")
     )
-    untouched = null_safe_anti(documents, state, key)
-    return untouched.unionByName(documents.join(reopened, ["part", "pos"], "left_semi"))
+    blocks = (
+        narrow.groupBy("_key", "part", "_block").agg(F.count(F.lit(1)).alias("_rows"))
+        .join(n_done, "_key")
+        .withColumn("_before", F.coalesce(F.sum("_rows").over(
+            Window.partitionBy("_key").orderBy("part", "_block")
+            .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        .select("_key", "part", "_block", (F.col("_done") - F.col("_before")).alias("_free"))
+        .filter("_free > 0")
+    )
+    place = F.row_number().over(Window.partitionBy("_key", "part", "_block").orderBy("pos"))
+    freed = (
+        narrow.join(blocks, ["_key", "part", "_block"])
+        .withColumn("_place", place).filter("_place <= _free").select("part", "pos")
+    )
+    return documents.join(freed, ["part", "pos"], "left_anti")
 
 
 def skip_published(corpora: DataFrame, published: DataFrame) -> DataFrame:
@@ -82,8 +61,15 @@ def skip_published(corpora: DataFrame, published: DataFrame) -> DataFrame:
 
 def completeness(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """State of each corpus from its row count and its annotated row count."""
-    done = F.coalesce(actual["n_rows"], F.lit(0))
-    want = expected["n_rows"]
+    done = F.coalesce(actual["n_rows"], F.lit(0)).alias("n_done")
+    return with_state(
+        expected.join(actual, "dataset", "left").select("dataset", expected["n_rows"], done)
+    )
+
+
+def with_state(counted: DataFrame) -> DataFrame:
+    """States of corpora from ``(dataset, n_rows, n_done)``."""
+    want, done = F.col("n_rows"), F.col("n_done")
     state = (
         F.when(done > want, "over_complete")
         .when(want == 0, "empty")
@@ -91,11 +77,8 @@ def completeness(expected: DataFrame, actual: DataFrame) -> DataFrame:
         .when(done < want, "partial")
         .otherwise("complete")
     )
-    return expected.join(actual, "dataset", "left").select(
-        expected["dataset"],
-        want.alias("expected_rows"),
-        done.alias("actual_rows"),
-        state.alias("state"),
+    return counted.select(
+        "dataset", want.alias("expected_rows"), done.alias("actual_rows"), state.alias("state")
     )
 
 
@@ -103,15 +86,22 @@ def over_complete(states: DataFrame) -> DataFrame:
     return states.filter(F.col("state") == "over_complete")
 
 
+def folder_of(part: Column) -> Column:
+    return F.regexp_replace(part, "/[^/]*$", "")
+
+
 def orphans(done: DataFrame, documents: DataFrame) -> DataFrame:
-    """Annotated rows that no longer have a document of the same content."""
-    return done.join(documents.select(*ROW_KEY), list(ROW_KEY), "left_anti")
+    """Annotated rows whose folder of files no longer has a row of the same content."""
+    there = documents.select(folder_of(F.col("part")).alias("_folder"), F.col("digest"))
+    return (
+        done.withColumn("_folder", folder_of(F.col("part")))
+        .join(there, ["_folder", "digest"], "left_anti").drop("_folder")
+    )
 
 
-def publishable(corpora: DataFrame, states: DataFrame) -> DataFrame:
-    """Corpora whose annotation is whole."""
-    complete = states.filter(F.col("state") == "complete").select("dataset")
-    return corpora.join(complete, "dataset", "left_semi")
+def publishable(states: DataFrame) -> DataFrame:
+    """States of the corpora whose annotation is whole."""
+    return states.filter(F.col("state") == "complete")
 
 
 def progress(responses: DataFrame) -> DataFrame:

@@ -1,35 +1,45 @@
 """Annotating corpora: a resumable job over parquet tables.
 
-Two tables live below one root:
+Four tables live below one root:
 
 * ``responses``    every model answer, appended per attempt, with its row key;
-* ``annotations``  ``dataset, id, 18 labels``, partitioned by model and corpus.
+* ``files``        every version of a file that a run has seen, the last one being current;
+* ``annotations``  ``dataset, id, 18 labels``, partitioned by model and corpus;
+* ``derived``      what of the answers the annotations of a corpus were made from.
 
-The response table is the only state. Each step works on what that table still lacks,
-so a run that dies anywhere, even halfway through a commit, is continued by running it
-again: rows that were committed are skipped, all others are done once more.
-Annotations are derived from it and rewritten per corpus, so they are always whole.
-Rows that no attempt could annotate stay in it as rejects, with raw text and reasons.
+Answers belong to a version of their file. When a file changes, answers of rows whose
+content is still in it are carried over to the new version, all other rows are called for,
+and answers whose content is gone are orphans: they are neither counted nor published.
+
+The answers are the only state. Each step works on what they still lack, so a run that dies
+anywhere, even halfway through a commit, is continued by running it again. A call that goes
+wrong leaves its row open and takes no other row's answer with it; the run writes all it
+got and raises at its end. Rows that no attempt could annotate stay as rejects, with raw
+text and reasons.
 
 No text is shuffled on a fresh run. Prompts, calls and validation follow the scan, retry
 rows carry their text with them, and files are matched with earlier work by file, not by
-row; only files that were left half done are joined row by row.
+row; only files that changed or were left half done are joined row by row.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelloom.functions.validation import with_reject_reasons
-from labelloom.operators.model_call import ClientFactory, spread
+from labelloom.operators import resume
+from labelloom.operators.model_call import ClientFactory, TextAnnotator, spread
 from labelloom.operators.resume import (
-    ROW_KEY,
     completeness,
+    folder_of,
     over_complete,
     pending_rows,
     progress,
@@ -38,6 +48,7 @@ from labelloom.operators.resume import (
 from labelloom.operators.token_budget import CharCounter, Counter
 from labelloom.plans.attempts import (
     ACCEPTED,
+    ERROR,
     REFUSED,
     RETRY,
     first_attempt,
@@ -45,23 +56,41 @@ from labelloom.plans.attempts import (
     second_attempt,
 )
 from labelloom.settings import Settings
-from labelloom.sources.corpora import CorpusScan, corpus_counts
+from labelloom.sources.corpora import CorpusScan, corpus_counts, file_versions
 from labelloom.sources.tables import ensure_table
 from labelloom.taxonomy import ANNOTATION_TYPE
 
 
-# Up to this many files, earlier answers are looked up by file name at the scan.
-FEW_PARTS = 1_000
-
-
 class OverComplete(ValueError):
-    """More annotated rows than documents: the corpus changed under its annotations."""
+    """More answers than documents for the same version of a file."""
 
 
 class RefusedDocuments(ValueError):
     """Some documents could not be annotated; they are among the rejects."""
 
 
+class FailedCalls(RuntimeError):
+    """Some calls brought no answer; what others brought is kept. Run again."""
+
+
+FILES_TYPE = T.StructType(
+    [
+        T.StructField("part", T.StringType()),
+        T.StructField("version", T.LongType()),
+        T.StructField("n_rows", T.LongType()),
+        T.StructField("stamp", T.LongType()),
+    ]
+)
+DERIVED_TYPE = T.StructType(
+    [
+        T.StructField("dataset", T.StringType()),
+        T.StructField("mark", T.LongType()),
+        T.StructField("n_rows", T.LongType()),
+        T.StructField("stamp", T.LongType()),
+    ]
+)
+
+
 def _responses_type(id_type: T.DataType) -> T.StructType:
     return T.StructType(
         [
@@ -69,12 +98,14 @@ def _responses_type(id_type: T.DataType) -> T.StructType:
             T.StructField("id", id_type),
             T.StructField("text", T.StringType()),
             T.StructField("part", T.StringType()),
+            T.StructField("version", T.LongType()),
             T.StructField("pos", T.LongType()),
             T.StructField("digest", T.LongType()),
             T.StructField("char_limit", T.IntegerType()),
             T.StructField("prompt_tokens", T.IntegerType()),
             T.StructField("over_budget", T.BooleanType()),
             T.StructField("raw", T.StringType()),
+            T.StructField("error", T.StringType()),
             T.StructField("annotation", ANNOTATION_TYPE),
             T.StructField("outcome", T.StringType()),
         ]
@@ -91,14 +122,6 @@ def annotations_type(id_type: T.DataType) -> T.StructType:
     )
 
 
-def _rows_by_part(rows: DataFrame) -> list:
-    return rows.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()
-
-
-def _of_parts(rows: DataFrame, parts: Sequence[str] | None) -> DataFrame:
-    return rows if parts is None else rows.filter(F.col("part").isin(list(parts)))
-
-
 def annotations_path(root: str, settings: Settings) -> str:
     return f"{root}/annotations/model_slug={settings.model_slug}"
 
@@ -113,15 +136,21 @@ def replace_corpora(table: DataFrame, path: str) -> None:
     )
 
 
+def _now() -> int:
+    return time.time_ns()
+
+
 @dataclass
 class AnnotationJob:
     spark: SparkSession
     root: str
     settings: Settings
-    client_factory: ClientFactory
+    client_factory: ClientFactory | TextAnnotator
     counter: Counter = field(default_factory=CharCounter)
     id_type: T.DataType = field(default_factory=T.LongType)
 
+    # -- tables -----------------------------------------------------------------
+
     @property
     def annotations_path(self) -> str:
         return annotations_path(self.root, self.settings)
@@ -129,21 +158,51 @@ class AnnotationJob:
     def _attempt_path(self, attempt: int) -> str:
         return f"{self.root}/responses/model_slug={self.settings.model_slug}/attempt={attempt}"
 
+    @cached_property
+    def _tables(self) -> dict[str, tuple[str, T.StructType]]:
+        """Paths and schemas; the tables are made once for each job."""
+        responses = _responses_type(self.id_type)
+        slug = f"model_slug={self.settings.model_slug}"
+        tables = {
+            "1": (self._attempt_path(1), responses),
+            "2": (self._attempt_path(2), responses),
+            "annotations": (self.annotations_path, annotations_type(self.id_type)),
+            "files": (f"{self.root}/files/{slug}", FILES_TYPE),
+            "derived": (f"{self.root}/derived/{slug}", DERIVED_TYPE),
+        }
+        for name, (path, schema) in tables.items():
+            keys = ["dataset"] if name == "annotations" else []
+            ensure_table(self.spark, path, schema, keys)
+        return tables
+
+    def _table(self, name: str) -> DataFrame:
+        path, schema = self._tables[name]
+        return self.spark.read.schema(schema).parquet(path)
+
     def responses(self, attempt: int) -> DataFrame:
-        return ensure_table(
-            self.spark, self._attempt_path(attempt), _responses_type(self.id_type)
-        )
+        return self._table(str(attempt))
 
     def annotations(self) -> DataFrame:
-        schema = annotations_type(self.id_type)
-        return ensure_table(self.spark, self.annotations_path, schema, ["dataset"])
+        return self._table("annotations")
+
+    def files(self) -> DataFrame:
+        """``(part, version, n_rows)`` of the current version of every file seen."""
+        last = F.max_by(F.struct("version", "n_rows"), "stamp").alias("last")
+        return self._table("files").groupBy("part").agg(last).select("part", "last.*")
+
+    def _answers(self, attempt: int) -> DataFrame:
+        """Answers to the current versions of files."""
+        current = self.files().select("part", "version")
+        return self.responses(attempt).filter(F.col("outcome") != ERROR).join(
+            current, ["part", "version"], "left_semi"
+        )
 
     def outcomes(self) -> DataFrame:
         """The last outcome of every answered row, with the attempts it took."""
-        first = self.responses(1).filter(F.col("outcome") != RETRY)
+        first = self._answers(1).filter(F.col("outcome") != RETRY)
         return first.withColumn(
             "attempts", F.when(F.col("raw").isNotNull(), 1).otherwise(0)
-        ).unionByName(self.responses(2).withColumn("attempts", F.lit(2)))
+        ).unionByName(self._answers(2).withColumn("attempts", F.lit(2)))
 
     def rejects(self) -> DataFrame:
         """``dataset, id, raw, reasons, attempts`` of the rows no attempt could annotate."""
@@ -153,58 +212,140 @@ class AnnotationJob:
         )
         return refused.select("dataset", "id", "raw", reasons.alias("reasons"), "attempts")
 
+    def orphans(self) -> DataFrame:
+        """Answers to earlier versions of files whose content the current ones lack."""
+        old = self.responses(1).filter(F.col("outcome") != ERROR).join(
+            self.files().select("part", "version"), ["part", "version"], "left_anti"
+        )
+        gone = resume.orphans(old, self._answers(1))
+        return gone.dropDuplicates(["dataset", "id", "digest"])
+
     # -- steps ------------------------------------------------------------------
 
     def run(self, scan: CorpusScan) -> None:
         """Annotate what is left of the scanned corpora and bring all tables up to date."""
+        self.forget_lost_files(scan)
         self.call_open_parts(scan)
         self.call_retries()
         self.derive_tables(self.stale_corpora())
+        self.raise_failures()
         if self.settings.on_invalid == "fail":
             refused = self.outcomes().filter(F.col("outcome") == REFUSED)
             if not refused.isEmpty():
                 raise RefusedDocuments("some documents were refused; see rejects()")
 
+    def raise_failures(self) -> None:
+        """Raise if a call of the current versions went wrong and was not made up for."""
+        current = self.files().select("part", "version")
+        key = ["part", "version", "pos"]
+        for attempt in (1, 2):
+            failed = self.responses(attempt).filter(F.col("outcome") == ERROR).join(
+                current, ["part", "version"], "left_semi"
+            ).join(self._answers(attempt).select(*key), key, "left_anti")
+            first = failed.select("dataset", "id", "error").first()
+            if first:
+                raise FailedCalls(f"{first.dataset}, id {first.id}: {first.error}")
+
+    def forget_lost_files(self, scan: CorpusScan) -> None:
+        """Files seen earlier in the scanned folders that are not there any more.
+
+        Their answers count no longer, but rows of the same content in other files of the
+        folder take them over.
+        """
+        listed = file_versions(scan.documents()).select("part")
+        folders = listed.select(folder_of(F.col("part")).alias("folder")).distinct()
+        missed = self.files().filter("version <> 0").join(listed, "part", "left_anti")
+        missed = missed.withColumn("folder", folder_of(F.col("part"))).join(
+            folders, "folder", "left_semi"
+        )
+        places = [r.folder for r in missed.select("folder").distinct().collect()]
+        if not places:
+            return
+        there = self.spark.read.format("binaryFile").load(places).select(
+            F.col("path").alias("part"))
+        lost = missed.join(there, "part", "left_anti").select(
+            "part", F.lit(0).cast("long").alias("version"), F.lit(0).cast("long").alias("n_rows"))
+        self._append_rows("files", lost.withColumn("stamp", F.lit(_now())))
+
     def open_parts(self, scan: CorpusScan) -> tuple[list[str], list[str]]:
-        """Files with unanswered rows: untouched ones, and ones left half done.
+        """Files with unanswered rows: ones never seen, and ones changed or left half done.
 
-        Two small aggregates meet here, one row per file each: rows by file from the
-        footers, and answers by file from one narrow column. What reaches the driver is
-        of the size of the scan's own file listing.
+        Rows by file version from the footers meet answers by file version from narrow
+        columns, one row per file each. Only open files reach the driver, as the reader
+        takes their paths; a finished collection sends nothing.
         """
-        wanted = {row.part: row.n for row in _rows_by_part(scan.documents())}
-        answers = self.responses(1)
-        if len(wanted) <= FEW_PARTS:
-            answers = answers.filter(F.col("part").isin(list(wanted)))
-        done = {row.part: row.n for row in _rows_by_part(answers)}
-        excess = sorted(part for part, n in wanted.items() if done.get(part, 0) > n)
+        listed = file_versions(scan.documents())
+        answers = self.responses(1).filter(F.col("outcome") != ERROR)
+        done = file_versions(answers).withColumnRenamed("n_rows", "n_done")
+        seen = done.groupBy("part").agg(F.lit(True).alias("known"))
+        lost = self.files().filter("version = 0").select(
+            folder_of(F.col("part")).alias("folder")).distinct().withColumn("moved", F.lit(True))
+        states = (
+            listed.join(done, ["part", "version"], "left").join(seen, "part", "left")
+            .withColumn("folder", folder_of(F.col("part"))).join(lost, "folder", "left")
+            .withColumn("seen", F.coalesce("known", "moved"))
+            .withColumn("n_done", F.coalesce("n_done", F.lit(0)))
+            .filter("n_done != n_rows OR known IS NULL")
+        )
+        news = listed.join(self.files(), ["part", "version"], "left_anti")
+        self._append_rows("files", news.withColumn("stamp", F.lit(_now())))
+        rows = states.select("part", "n_rows", "n_done", "seen").collect()
+        excess = sorted(r.part for r in rows if r.n_done > r.n_rows)
         if excess:
             raise OverComplete(f"more answers than rows for {excess[:3]}")
-        untouched = sorted(part for part in wanted if part not in done)
-        half_done = sorted(part for part, n in wanted.items() if 0 < done.get(part, 0) < n)
-        return untouched, half_done
+        return (
+            sorted(r.part for r in rows if not r.seen and r.n_rows),
+            sorted(r.part for r in rows if r.seen),
+        )
 
     def call_open_parts(self, scan: CorpusScan) -> None:
         """First attempt for all rows without an answer."""
-        whole = self.settings.parts_per_commit is None
-        if whole and self.responses(1).isEmpty():
-            untouched, half_done = list(scan.paths), []
-        else:
-            untouched, half_done = self.open_parts(scan)
-        for paths in self._commits(untouched):
-            self._call(scan.only(paths), half_done=False)
-        for paths in self._commits(half_done):
-            self._call(scan.only(paths), half_done=True)
+        untouched, touched = self.open_parts(scan)
+        if touched:
+            self.carry_over(scan.only(touched))
+        commits = [(paths, False) for paths in self._commits(untouched)]
+        commits += [(paths, True) for paths in self._commits(touched)]
+        with ThreadPoolExecutor(self.settings.commits_at_once) as pool:
+            for done in [pool.submit(self._call, scan.only(p), known) for p, known in commits]:
+                done.result()
 
     def _commits(self, paths: list[str]) -> Iterable[list[str]]:
         """One job per ``parts_per_commit`` files; a finished job is never redone."""
-        size = self.settings.parts_per_commit or max(len(paths), 1)
+        size = self.settings.parts_per_commit
         return (paths[start:start + size] for start in range(0, len(paths), size))
 
-    def _call(self, scan: CorpusScan, half_done: bool) -> None:
-        documents = spread(scan.documents(), self._slots(), "part", "pos")
-        earlier = _of_parts(self.responses(1), scan.paths) if half_done else None
-        self.call_documents(documents, earlier)
+    def _call(self, scan: CorpusScan, known: bool) -> None:
+        documents = spread(scan.documents(), self.settings.slots, "part", "pos")
+        self.call_documents(documents, self._known(1) if known else None)
+
+    def _known(self, attempt: int) -> DataFrame:
+        return self.responses(attempt).filter(F.col("outcome") != ERROR)
+
+    def carry_over(self, scan: CorpusScan) -> None:
+        """Give rows of changed files the answers that their content had before."""
+        rows = scan.documents().select(
+            "part", "version", "pos", row_digest(F.col("id"), F.col("text")).alias("digest"),
+            folder_of(F.col("part")).alias("folder"),
+        )
+        columns = _responses_type(self.id_type).fieldNames()
+        content = ["folder", "digest"]
+        kept = [c for c in columns if c not in ("part", "version", "pos", "digest")]
+        for attempt in (1, 2):
+            answers = self._known(attempt)
+            if attempt == 2:  # only rows that their first answer left to retry
+                rows = rows.join(
+                    self._answers(1).filter(F.col("outcome") == RETRY)
+                    .select("part", "version", "pos"),
+                    ["part", "version", "pos"], "left_semi",
+                )
+            earlier = (
+                answers.withColumn("folder", folder_of(F.col("part")))
+                .groupBy(*content).agg(F.first(F.struct(*kept)).alias("had"))
+            )
+            carried = pending_rows(rows, answers).join(earlier, content).select(
+                "part", "digest", "version", "pos", "had.*"
+            )
+            self._append(carried, attempt)
 
     def call_documents(self, documents: DataFrame, earlier: DataFrame | None = None) -> None:
         """First attempt for the documents that have no answer in ``earlier``."""
@@ -217,22 +358,28 @@ class AnnotationJob:
 
     def call_retries(self, parts: Sequence[str] | None = None) -> None:
         """Second attempt for all rows the first one left, also by earlier runs."""
-        retries = _of_parts(self.responses(1).filter(F.col("outcome") == RETRY), parts)
-        answered = _of_parts(self.responses(2), parts)
-        resumed = not answered.isEmpty()
-        open_rows = pending_rows(retries, answered) if resumed else retries
-        if open_rows.isEmpty():
+        if isinstance(self.client_factory, TextAnnotator):
+            return
+        retries = self._answers(1).filter(F.col("outcome") == RETRY)
+        if parts is not None:
+            retries = retries.filter(F.col("part").isin(list(parts)))
+        retries = pending_rows(retries, self._known(2))
+        if retries.isEmpty():
             return  # an empty append would leave an empty file behind
-        retries = spread(retries, self._slots(), "part", "pos")
-        if resumed:
-            retries = pending_rows(retries, answered)
         self._append(
-            second_attempt(retries, self.counter, self.client_factory, self.settings), 2
+            second_attempt(
+                spread(retries, self.settings.slots, "part", "pos"),
+                self.counter, self.client_factory, self.settings,
+            ),
+            2,
         )
 
     def _append(self, outcomes: DataFrame, attempt: int) -> None:
-        columns = _responses_type(self.id_type).fieldNames()
-        outcomes.select(*columns).write.mode("append").parquet(self._attempt_path(attempt))
+        self._append_rows(str(attempt), outcomes)
+
+    def _append_rows(self, name: str, rows: DataFrame) -> None:
+        path, schema = self._tables[name]
+        rows.select(*schema.fieldNames()).write.mode("append").parquet(path)
 
     def adopt(self, ranked_records: DataFrame, ranked_documents: DataFrame) -> None:
         """Take over records of an earlier run that are known by position only.
@@ -244,14 +391,15 @@ class AnnotationJob:
             "dataset", "rank", F.col("id").alias("_id"), "annotation"
         )
         joined = ranked_documents.join(there, ["dataset", "rank"])
-        answered = self.responses(1)
+        answered = self._known(1)
         rows = joined.filter(F.col("id").eqNullSafe(F.col("_id"))).select(
-            "dataset", "id", F.lit(None).cast("string").alias("text"), "part", "pos",
+            "dataset", "id", F.lit(None).cast("string").alias("text"), "part", "version", "pos",
             row_digest(F.col("id"), F.col("text")).alias("digest"),
             *[
                 F.lit(None).cast(kind).alias(name)
                 for name, kind in (
-                    ("char_limit", "int"), ("prompt_tokens", "int"), ("over_budget", "boolean")
+                    ("char_limit", "int"), ("prompt_tokens", "int"), ("over_budget", "boolean"),
+                    ("error", "string"),
                 )
             ],
             F.to_json("annotation").alias("raw"), "annotation",
@@ -259,23 +407,29 @@ class AnnotationJob:
         )
         self._append(pending_rows(rows, answered), 1)
 
-    def _slots(self) -> int:
-        return self.settings.slots or self.spark.sparkContext.defaultParallelism
+    def _marks(self) -> DataFrame:
+        """Per corpus: how many rows are accepted, and a fingerprint of which."""
+        return self.outcomes().filter(F.col("outcome") == ACCEPTED).groupBy("dataset").agg(
+            F.bit_xor(F.xxhash64("part", "version", "pos", "attempts")).alias("mark"),
+            F.count(F.lit(1)).alias("n_rows"),
+        )
 
     def stale_corpora(self) -> list[str]:
-        """Corpora whose annotation table lacks rows that have been accepted.
+        """Corpora whose annotation table was not made from what is accepted now.
 
-        Counts per corpus of two narrow columns and of file footers; names to the driver.
+        Aggregates of narrow columns, one row per corpus; names to the driver.
         """
-        accepted = corpus_counts(self.outcomes().filter(F.col("outcome") == ACCEPTED))
-        written = corpus_counts(self.annotations()).withColumnRenamed("n_rows", "n_written")
-        stale = accepted.join(written, "dataset", "left").filter(
-            F.col("n_rows") != F.coalesce("n_written", F.lit(0))
-        )
+        made = self._table("derived").groupBy("dataset").agg(
+            F.max_by(F.struct("mark", "n_rows"), "stamp").alias("made")
+        ).select("dataset", F.col("made.mark").alias("was"), F.col("made.n_rows").alias("had"))
+        stale = self._marks().join(made, "dataset", "full").filter(
+            ~F.col("mark").eqNullSafe(F.col("was"))
+            | ~F.coalesce("n_rows", F.lit(0)).eqNullSafe(F.coalesce("had", F.lit(0)))
+        ).filter("n_rows IS NOT NULL OR had > 0")
         return sorted(row.dataset for row in stale.select("dataset").collect())
 
     def derive_tables(self, datasets: Iterable[str]) -> None:
-        """Rewrite the annotations of the given corpora from all answers."""
+        """Rewrite the annotations of the given corpora from the current answers."""
         names = sorted(datasets)
         if not names:
             return
@@ -288,13 +442,23 @@ class AnnotationJob:
             .hint("rebalance", "dataset")
             .sortWithinPartitions("dataset", "part", "pos")
         )
+        marks = self._marks().filter(F.col("dataset").isin(names))
         replace_corpora(records(in_order), self.annotations_path)
+        self._append_rows("derived", marks.withColumn("stamp", F.lit(_now())))
 
     # -- checks -----------------------------------------------------------------
 
     def states(self, scan: CorpusScan) -> DataFrame:
-        """Completeness of each scanned corpus; raises when one is over-complete."""
-        states = completeness(scan.counts(), corpus_counts(self.annotations()))
+        """Completeness of each scanned corpus, by answers to the files as they are now.
+
+        Raises when one is over-complete. With ``publish_refused``, refused rows count as
+        done: they are delivered as rejects.
+        """
+        listed = file_versions(scan.documents()).select("part", "version")
+        counted = self.outcomes().join(listed, ["part", "version"], "left_semi")
+        if not self.settings.publish_refused:
+            counted = counted.filter(F.col("outcome") == ACCEPTED)
+        states = completeness(scan.counts(), corpus_counts(counted))
         excess = over_complete(states).limit(1).collect()
         if excess:
             raise OverComplete(f"more annotations than rows for {excess[0].dataset}")

@@ -1,7 +1,7 @@
 """The two attempts of an annotation as DataFrame transformations.
 
-    documents -> first_attempt -> outcome: accepted | retry | refused
-    retry rows -> second_attempt -> outcome: accepted | refused
+    documents -> first_attempt -> outcome: accepted | retry | refused | error
+    retry rows -> second_attempt -> outcome: accepted | refused | error
 
 Neither runs anything. Outcomes of an attempt must be written before they are read
 again, or every reader would call the model anew.
@@ -14,11 +14,18 @@ from pyspark.sql import functions as F
 
 from labelloom.functions.prompts import fits_context, user_prompt
 from labelloom.functions.validation import parse_annotations
-from labelloom.operators.model_call import ClientFactory, model_response
+from labelloom.operators.model_call import (
+    ClientFactory,
+    TextAnnotator,
+    model_response,
+    text_record,
+)
 from labelloom.operators.token_budget import Counter
 from labelloom.settings import Settings
+from labelloom.taxonomy import ANNOTATION_TYPE
 
-ACCEPTED, RETRY, REFUSED = "accepted", "retry", "refused"
+# An error is a call that brought no answer: the row stays open.
+ACCEPTED, RETRY, REFUSED, ERROR = "accepted", "retry", "refused", "error"
 
 
 def bounded_prompts(
@@ -61,10 +68,34 @@ def retry_bounds(first: DataFrame, counter: Counter, settings: Settings) -> Data
 def answered(
     bounded: DataFrame, client_factory: ClientFactory, settings: Settings, attempt: int
 ) -> DataFrame:
-    """Add ``raw`` and ``annotation``. Texts are whole; only prompts are cut."""
+    """Add ``raw``, ``error`` and ``annotation``. Texts are whole; only prompts are cut."""
     prompt = user_prompt(F.col("text"), F.col("char_limit"))
+    response = model_response(prompt, client_factory, settings, attempt)
     return parse_annotations(
-        bounded.withColumn("raw", model_response(prompt, client_factory, settings, attempt))
+        bounded.withColumn("_response", response).select(*bounded.columns, "_response.*")
+    )
+
+
+def text_annotations(
+    documents: DataFrame, annotator: TextAnnotator, settings: Settings
+) -> DataFrame:
+    """Outcomes of an annotator of whole texts: its records, unchecked, in one attempt."""
+    record = text_record(F.col("text"), annotator, settings)
+    outcome = (
+        F.when(F.col("text").isNull(), REFUSED)
+        .when(F.col("error").isNotNull(), ERROR)
+        .otherwise(ACCEPTED)
+    )
+    return (
+        documents.withColumn("_response", record).select(*documents.columns, "_response.*")
+        .withColumns({
+            "annotation": F.from_json("raw", ANNOTATION_TYPE),
+            "outcome": outcome,
+            "text": F.lit(None).cast("string"),
+            "char_limit": F.lit(None).cast("int"),
+            "prompt_tokens": F.lit(None).cast("int"),
+            "over_budget": F.lit(None).cast("boolean"),
+        })
     )
 
 
@@ -73,11 +104,14 @@ def first_attempt(
 ) -> DataFrame:
     """Outcomes of attempt 1. ``text`` stays with rows to retry, so that the second
     attempt never goes back to the corpus; it is dropped everywhere else."""
+    if isinstance(client_factory, TextAnnotator):
+        return text_annotations(documents, client_factory, settings)
     called = answered(
         bounded_prompts(documents, counter, settings), client_factory, settings, 1
     )
     outcome = (
         F.when(F.col("text").isNull(), REFUSED)
+        .when(F.col("error").isNotNull(), ERROR)
         .when(F.col("annotation").isNotNull(), ACCEPTED)
         .otherwise(RETRY)
     )
@@ -91,10 +125,14 @@ def second_attempt(
 ) -> DataFrame:
     """Outcomes of attempt 2, for the rows attempt 1 left to retry."""
     called = answered(
-        retry_bounds(retries.drop("raw", "annotation", "outcome"), counter, settings),
+        retry_bounds(retries.drop("raw", "error", "annotation", "outcome"), counter, settings),
         client_factory, settings, 2,
     )
-    outcome = F.when(F.col("annotation").isNotNull(), ACCEPTED).otherwise(REFUSED)
+    outcome = (
+        F.when(F.col("error").isNotNull(), ERROR)
+        .when(F.col("annotation").isNotNull(), ACCEPTED)
+        .otherwise(REFUSED)
+    )
     return called.withColumn("outcome", outcome).withColumn(
         "text", F.lit(None).cast("string")
     )

@@ -17,6 +17,7 @@ MANIFEST_TYPE = T.StructType(
     [
         T.StructField("dataset", T.StringType()),
         T.StructField("path", T.StringType()),
+        T.StructField("location", T.StringType()),
         T.StructField("message", T.StringType()),
         T.StructField("n_rows", T.LongType()),
     ]
@@ -24,10 +25,24 @@ MANIFEST_TYPE = T.StructType(
 
 
 def published_manifest(spark: SparkSession, target: str) -> DataFrame:
-    """What the target holds: ``(dataset, path, message, n_rows)``."""
+    """What the target holds: ``(dataset, path, location, message, n_rows)``.
+
+    ``path`` is the name a corpus is known by, ``location`` the folder with its rows, below
+    the target.
+    """
     return ensure_table(spark, f"{target}/manifest", MANIFEST_TYPE)
 
 
+def published_rows(spark: SparkSession, target: str) -> DataFrame:
+    """All published annotations, read from where the manifest says they are."""
+    places = [
+        f"{target}/{row.location}"
+        for row in published_manifest(spark, target).select("location").distinct().collect()
+    ]
+    reader = spark.read.option("basePath", f"{target}/annotations")
+    return reader.parquet(*places).drop("model_slug")
+
+
 def published_paths(spark: SparkSession, target: str) -> DataFrame:
     return published_manifest(spark, target).select("path").distinct()
 
@@ -38,8 +53,8 @@ def output_path(settings: Settings) -> Column:
 
 def waiting_corpora(states: DataFrame, manifest: DataFrame, settings: Settings) -> DataFrame:
     """Complete corpora whose path is not published yet: ``(dataset, path)``."""
-    corpora = states.select("dataset").withColumn("path", output_path(settings))
-    return skip_published(publishable(corpora, states), manifest)
+    complete = publishable(states).select("dataset").withColumn("path", output_path(settings))
+    return skip_published(complete, manifest)
 
 
 def publish(
@@ -48,11 +63,13 @@ def publish(
     states: DataFrame,
     target: str,
     settings: Settings,
+    rejects: DataFrame | None = None,
 ) -> list[str]:
     """Copy complete, unpublished corpora to the target and record them.
 
     The copy replaces whole partitions and the record follows it, so a publish that dies
-    in between is repeated without harm. Returns the corpora published (names only).
+    in between is repeated without harm. ``rejects`` of these corpora are put beside them.
+    Returns the corpora published (names only).
     """
     manifest = published_manifest(spark, target)
     waiting = waiting_corpora(states, manifest, settings)
@@ -61,11 +78,20 @@ def publish(
         return []
     ready = annotations.filter(F.col("dataset").isin(names))
     replace_corpora(ready, annotations_path(target, settings))
+    if rejects is not None:
+        replace_corpora(
+            rejects.filter(F.col("dataset").isin(names)),
+            f"{target}/rejects/model_slug={settings.model_slug}",
+        )
+    location = F.format_string(
+        f"annotations/model_slug={settings.model_slug.replace('%', '%%')}/dataset=%s", "dataset"
+    )
     (
         corpus_counts(ready)
         .select(
             "dataset",
             output_path(settings).alias("path"),
+            location.alias("location"),
             publish_message(F.col("dataset"), F.lit(settings.model_name)).alias("message"),
             "n_rows",
         )

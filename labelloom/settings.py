@@ -11,10 +11,13 @@ from labelloom import fixed_values as fixed
 class Settings:
     """How documents are prompted, called and committed.
 
-    ``slots`` is the least number of tasks the model-call stage should have; a scan
-    with fewer input splits is spread over that many tasks, a larger one is left as
-    it is. ``None`` means the session's default parallelism. In-flight requests on
-    the whole cluster are running tasks x ``requests_per_task``.
+    ``slots`` deals rows out to that many tasks for the model call; ``None`` leaves them
+    where the scan has them. In-flight requests on the whole cluster are running tasks x
+    ``requests_per_task``. ``parts_per_commit`` files make a commit, and
+    ``commits_at_once`` commits run side by side, so that none waits for another's slowest
+    task. ``batch_rows`` is the batch of ``batch_plan``; calls have batches of their own.
+
+    A corpus with refused rows is not complete, unless ``publish_refused`` is set.
     """
 
     model_name: str
@@ -25,7 +28,9 @@ class Settings:
     batch_rows: int = fixed.BATCH_ROWS
     requests_per_task: int = fixed.IN_FLIGHT_REQUESTS
     slots: int | None = None
-    parts_per_commit: int | None = None
+    parts_per_commit: int = 64
+    commits_at_once: int = 4
+    publish_refused: bool = False
     on_invalid: str = "quarantine"
 
     def __post_init__(self) -> None:

@@ -3,32 +3,36 @@
 A collection keeps each corpus under ``<root>/<name>/<name>.parquet`` (a file, or a
 folder of part files). All corpora are scanned together as one DataFrame of documents
 
-    dataset, id, text, part, pos
+    dataset, id, text, part, version, pos
 
-where ``part`` is the file a row came from and ``pos`` its position in it. ``(part,
-pos)`` names a row uniquely without any shuffle, whatever its id is: null and repeated
-ids stay apart, and no key is ever hot.
+where ``part`` is the file a row came from, ``version`` a fingerprint of that file's size
+and time of change, and ``pos`` the row's position in it. ``(part, version, pos)`` names a
+row uniquely without any shuffle, whatever its id is: null and repeated ids stay apart, and
+no key is ever hot.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, replace
 from functools import cached_property
 
+import pandas as pd
+from pyarrow.fs import FileSystem, LocalFileSystem
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelloom.fixed_values import POINTER_FIRST_LINE, POINTER_MAX_BYTES, PSEUDO_CORPUS
+from labelloom.deploy import ship_package
+from labelloom.fixed_values import POINTER_FIRST_LINE, PSEUDO_CORPUS
 
 FILE_TYPE = T.StructType(
     [T.StructField("dataset", T.StringType()), T.StructField("path", T.StringType())]
 )
 READY, PLACEHOLDER, MISSING = "ready", "placeholder", "missing"
 
-# bytes.strip() characters; the decoded first line holds no newline.
-_OUTER_BLANKS = r"^[ \t\r\x0B\f]+|[ \t\r\x0B\f]+$"
+# What is not part of a line at its ends.
+BLANKS = b" \t\r\x0b\x0c"
 _CORPUS_PATH = r"/([^/]+)/\1\.parquet(?:/[^/]+)?$"
 
 
@@ -43,10 +47,36 @@ def file_of_row() -> Column:
     return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
 
 
-def is_pointer(content: Column) -> Column:
-    """Whether a file's first line is the marker of an unmaterialised corpus."""
-    first_line = F.regexp_extract(F.decode(content, "ISO-8859-1"), r"^[^\n]*", 0)
-    return F.regexp_replace(first_line, _OUTER_BLANKS, "") == POINTER_FIRST_LINE
+def starts_with_marker(read: Callable[[int], bytes]) -> bool:
+    """Whether the first line of what ``read`` gives is the marker, blanks around it aside.
+
+    Reads on only while the line can still be the marker: a file of any other kind is put
+    away after its first bytes, however large it is.
+    """
+    marker, line = POINTER_FIRST_LINE.encode(), b""
+    while True:
+        more = read(256)
+        line = (line + more).lstrip(BLANKS)
+        head, end, _ = line.partition(b"\n")
+        if end or not more:
+            return head.rstrip(BLANKS) == marker
+        if not marker.startswith(head[: len(marker)]) or head[len(marker):].strip(BLANKS):
+            return False
+        line = head[: len(marker)] + head[len(marker) : len(marker) + 1]
+
+
+def probe_pointers(paths: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Whether each file is a pointer, by opening it."""
+    for part in paths:
+        found = []
+        for path in part:
+            if path.startswith("file:"):
+                system, local = LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+            else:
+                system, local = FileSystem.from_uri(path)
+            with system.open_input_stream(local) as stream:
+                found.append(starts_with_marker(stream.read))
+        yield pd.Series(found, dtype=bool)
 
 
 def corpus_files(
@@ -54,22 +84,19 @@ def corpus_files(
 ) -> DataFrame:
     """``(dataset, path, length, pointer)`` per file below ``root``.
 
-    Pointer files are tiny by definition, so only tiny files have their content read:
-    the size test is pushed into the listing, and larger files are never opened.
+    The listing reads no file. Each file is then opened by a task and read as far as its
+    first line may be a pointer's: the test depends on content, not on size.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    ship_package(spark)
+    files = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", glob).load(root)
+    )
     dataset = corpus_of_path(F.col("path")) if name is None else name
-    listed = files.select(dataset.alias("dataset"), "path", "length").filter(
+    probe = F.pandas_udf(probe_pointers, "boolean")
+    return files.select(dataset.alias("dataset"), "path", "length").filter(
         F.col("dataset") != ""
-    )
-    pointers = (
-        files.filter(F.col("length") <= POINTER_MAX_BYTES)
-        .filter(is_pointer(F.col("content")))
-        .select("path", F.lit(True).alias("pointer"))
-    )
-    return listed.join(pointers, "path", "left").select(
-        "dataset", "path", "length", F.coalesce("pointer", F.lit(False)).alias("pointer")
-    )
+    ).withColumn("pointer", probe("path"))
 
 
 def corpus_manifest(files: DataFrame, names: DataFrame | None = None) -> DataFrame:
@@ -90,21 +117,42 @@ def corpus_manifest(files: DataFrame, names: DataFrame | None = None) -> DataFra
     )
 
 
+class UnavailableCorpora(ValueError):
+    """Corpora that have no ready files anywhere."""
+
+
 def route_files(local: DataFrame, fallback: DataFrame) -> DataFrame:
-    """Files to scan ``(dataset, path)``: local ones of ready corpora, else the fallback's.
+    """``(dataset, path, source)``: files to scan, from one place for each corpus.
 
-    Both inputs are file listings; routing decides per corpus, never per file.
+    A corpus is ready where all its files are. Ready local corpora come from there, others
+    from the fallback if they are ready there. For a corpus ready nowhere there is one row
+    with a null path and the source ``unavailable``; ``require_available`` refuses it.
     """
-    ready = corpus_manifest(local).filter(F.col("status") == READY).select("dataset")
-    return (
-        local.join(ready, "dataset", "left_semi")
-        .select("dataset", "path")
-        .unionByName(
-            fallback.filter(~F.col("pointer"))
-            .join(ready, "dataset", "left_anti")
-            .select("dataset", "path")
+    states = (
+        corpus_manifest(local).select("dataset", F.col("status").alias("here"))
+        .join(
+            corpus_manifest(fallback).select("dataset", F.col("status").alias("there")),
+            "dataset", "full",
         )
+        .select("dataset", F.when(F.col("here") == READY, "local")
+                .when(F.col("there") == READY, "fallback")
+                .otherwise("unavailable").alias("source"))
+    )
+    files = (
+        local.select("dataset", "path", F.lit("local").alias("source"))
+        .unionByName(fallback.select("dataset", "path", F.lit("fallback").alias("source")))
     )
+    return states.join(files, ["dataset", "source"], "left").select("dataset", "path", "source")
+
+
+def require_available(routed: DataFrame, wanted: str | None = None) -> DataFrame:
+    """``routed``, if every corpus in it has files, and ``wanted`` is among them."""
+    lost = [r.dataset for r in routed.filter("path IS NULL").select("dataset").limit(20).collect()]
+    if not lost and wanted is not None and routed.limit(1).count() == 0:
+        lost = [wanted]
+    if lost:
+        raise UnavailableCorpora(f"no ready files for {', '.join(sorted(lost))}")
+    return routed
 
 
 def list_corpora(datasets: DataFrame) -> DataFrame:
@@ -129,10 +177,36 @@ class CorpusScan:
     schema: T.StructType | None = None
 
     def __post_init__(self) -> None:
-        wanted = {self.id_column, self.text_column}
-        missing = wanted - set(self._table.columns) if self.paths else set()
+        if self.paths:
+            self._require_columns(self._table.columns, "corpus")
+
+    def _require_columns(self, columns: Sequence[str], what: str) -> None:
+        missing = {self.id_column, self.text_column} - set(columns)
         if missing:
-            raise ValueError(f"corpus lacks column(s) {sorted(missing)}")
+            raise ValueError(f"{what} lacks column(s) {sorted(missing)}")
+
+    def by_id_type(self) -> dict[str, CorpusScan]:
+        """Scans of corpora whose ids have one type each, after a look at every corpus.
+
+        Every file's schema is read from its footer; a corpus whose files' ids differ in
+        type, or that lacks a column, is refused by name.
+        """
+        paths: dict[str, list[str]] = {}
+        for path in self.paths:
+            folder = path.rsplit("/", 1)
+            corpus = path if not folder[0].endswith(".parquet") else folder[0]
+            paths.setdefault(corpus, []).append(path)
+        kinds: dict[str, list[str]] = {}
+        for corpus, own in paths.items():
+            for one in own:
+                schema = self.spark.read.parquet(one).schema
+                self._require_columns(schema.names, corpus)
+                kinds.setdefault(schema[self.id_column].dataType.simpleString(), []).append(one)
+            if sum(bool(set(own) & set(k)) for k in kinds.values()) > 1:
+                raise ValueError(f"{corpus} has ids of several types")
+        return {
+            kind: replace(self, paths=tuple(own), schema=None) for kind, own in kinds.items()
+        }
 
     @cached_property
     def _table(self) -> DataFrame:
@@ -142,9 +216,13 @@ class CorpusScan:
         return table if self.where is None else table.filter(self.where)
 
     def documents(self, keyed: bool = True) -> DataFrame:
-        """``dataset, id, text`` and, if ``keyed``, ``part, pos``; nothing else is read."""
+        """``dataset, id, text`` and, if ``keyed``, ``part, version, pos``; no more is read."""
         dataset = corpus_of_path(file_of_row()) if self.dataset is None else self.dataset
-        key = [file_of_row().alias("part"), F.col("_metadata.row_index").alias("pos")]
+        key = [
+            file_of_row().alias("part"),
+            F.xxhash64("_metadata.file_modification_time", "_metadata.file_size").alias("version"),
+            F.col("_metadata.row_index").alias("pos"),
+        ]
         return self._table.select(
             dataset.alias("dataset"),
             F.col(self.id_column).alias("id"),
@@ -192,6 +270,11 @@ def part_counts(documents: DataFrame) -> DataFrame:
     return documents.groupBy("dataset", "part").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def file_versions(documents: DataFrame) -> DataFrame:
+    """``(part, version, n_rows)`` of the files read."""
+    return documents.groupBy("part", "version").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def corpus_counts(documents: DataFrame) -> DataFrame:
     return documents.groupBy("dataset").agg(F.count(F.lit(1)).alias("n_rows"))
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from labelloom.sources.corpora import file_of_row
 from labelloom.taxonomy import FIELD_NAMES
 
-_PART = r"/([^/]+)/([^/]+?)\.(tmp|part[1-9][0-9]*)\.parquet$"
+_PART = r"/([^/]+)/([^/]+?)\.(tmp|part[1-9][0-9]*)\.parquet(?:/[^/]+)?$"
 
 
 def part_index(path: Column) -> Column:
@@ -43,7 +43,7 @@ def partial_outputs(spark: SparkSession, root: str) -> DataFrame:
     numbered = listed.filter(F.col("part_index") > 0)
     in_order = Window.partitionBy("dataset", "model_slug").orderBy("part_index")
     unbroken = (
-        numbered.withColumn("_place", F.row_number().over(in_order))
+        numbered.withColumn("_place", F.dense_rank().over(in_order))
         .filter(F.col("_place") == F.col("part_index"))
         .drop("_place")
     )

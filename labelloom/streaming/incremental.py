@@ -46,6 +46,8 @@ class IncrementalAnnotation:
         if parts:
             self.job.call_open_parts(self.scan.only(parts))
             self.job.call_retries(parts)
+            self.job.derive_tables(self.job.stale_corpora())
+            self.job.raise_failures()
 
     def start(self, **trigger) -> StreamingQuery:
         return (
@@ -57,6 +59,5 @@ class IncrementalAnnotation:
         )
 
     def catch_up(self) -> None:
-        """Process everything that has arrived, then bring the derived tables up to date."""
+        """Process everything that has arrived; each batch brings its corpora up to date."""
         self.start(availableNow=True).awaitTermination()
-        self.job.derive_tables(self.job.stale_corpora())

@@ -10,6 +10,7 @@ from labelloom.fixed_values import (
     DESCRIPTION_FIELD,
     DESCRIPTION_MAX_CHARS,
     LIST_FIELDS,
+    RESPONSE_NAME,
 )
 
 FIELD_NAMES = tuple(ANSWER_FIELDS)
@@ -78,12 +79,12 @@ def response_format() -> dict:
     return {
         "type": "json_schema",
         "json_schema": {
-            "name": "AnnotationResponse",
+            "name": RESPONSE_NAME,
             "schema": {
                 "additionalProperties": False,
                 "properties": {name: property_of(name) for name in FIELD_NAMES},
                 "required": list(FIELD_NAMES),
-                "title": "AnnotationResponse",
+                "title": RESPONSE_NAME,
                 "type": "object",
                 "x-guidance": {"whitespace_flexible": False},
             },

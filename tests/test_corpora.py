@@ -1,20 +1,24 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from labelloom.functions import paths
 from labelloom.sources.corpora import (
     CorpusScan,
     corpus_files,
     corpus_manifest,
+    UnavailableCorpora,
     list_corpora,
     part_counts,
+    require_available,
     route_files,
+    starts_with_marker,
 )
 from labelloom.sources.parts import merge_parts, part_index, partial_outputs, read_parts
 from labelloom.stubs import CANONICAL_ANSWER
 from labelloom.taxonomy import ANNOTATION_TYPE, taxonomy
 
-POINTER = "version https://git-lfs.github.com/spec/v1\noid sha256:deadbeef\nsize 123\n"
+POINTER = "version https://git-lfs.github.com/spec/v1\nobject 7f3a90\nbytes 88\n"
 
 
 def write_corpus(spark, root, name, rows, files=1):
@@ -30,13 +34,13 @@ def write_text(path, content):
 @pytest.fixture
 def tree(spark, tmp_path):
     local, fallback = tmp_path / "local", tmp_path / "fallback"
-    write_corpus(spark, local, "alpha", [("a1", "hej", 1), ("a2", "verden", 2)])
+    write_corpus(spark, local, "alpha", [("k1", "rain", 1), ("k2", "snow", 2)])
     write_text(local / "beta" / "beta.parquet", POINTER)
     write_text(local / "notes" / "other.parquet", "unrelated")
     write_corpus(spark, local, "default", [("d", "x", 0)])
-    write_corpus(spark, fallback, "alpha", [("no", "no", 0)])
-    write_corpus(spark, fallback, "beta", [("b1", "fra reserven", 1)])
-    write_corpus(spark, fallback, "gamma", [("g1", "tre", 1)])
+    write_corpus(spark, fallback, "alpha", [("zz", "unused", 0)])
+    write_corpus(spark, fallback, "beta", [("m1", "from the spare", 1)])
+    write_corpus(spark, fallback, "gamma", [("p1", "hail", 1)])
     return str(local), str(fallback)
 
 
@@ -57,6 +61,10 @@ def test_manifest(spark, tree):
         (b"\nversion https://git-lfs.github.com/spec/v1\n", False),
         (b"version https://git-lfs.github.com/spec/v1x\n", False),
         (b"PAR1\xff\xfe\x00", False),
+        (POINTER.encode() + b"more\n" * 5_000, True),
+        (b" " * 3_000 + POINTER.encode(), True),
+        (b"version https://git-lfs.github.com/spec/v1" + b" " * 3_000 + b"x\n", False),
+        (b"version https://git-lfs" * 1_000, False),
     ],
 )
 def test_pointer_is_its_first_line(spark, tmp_path, content, pointer):
@@ -64,16 +72,44 @@ def test_pointer_is_its_first_line(spark, tmp_path, content, pointer):
     assert corpus_files(spark, str(tmp_path)).first().pointer is pointer
 
 
-def test_empty_files_hold_no_corpus(spark, tmp_path):
-    write_text(tmp_path / "c" / "c.parquet", b"")
-    assert corpus_files(spark, str(tmp_path)).count() == 0
+def test_probe_stops_at_the_first_foreign_byte():
+    asked = []
 
+    def read(n):
+        asked.append(n)
+        return b"P" * n
 
-def test_large_files_are_never_opened_for_the_pointer_test(spark, tree, capsys):
-    corpus_files(spark, tree[0]).explain("formatted")
-    plan = capsys.readouterr().out
-    assert "LessThanOrEqual(length,1024)" in plan
-    assert plan.count("content:binary") == 1
+    assert not starts_with_marker(read) and len(asked) == 1
+
+
+def test_fallback_is_taken_whole_or_not_at_all(spark, tree, tmp_path):
+    write_text(tmp_path / "spare2" / "beta" / "beta.parquet" / "a.parquet", POINTER)
+    write_corpus(spark, tmp_path / "more", "beta", [("m1", "x", 1)])
+    local = corpus_files(spark, tree[0])
+    torn = corpus_files(spark, f"{tmp_path}/spare2").unionByName(
+        corpus_files(spark, f"{tmp_path}/more"))
+    routed = route_files(local, torn)
+    states = {r.dataset: r.source for r in routed.select("dataset", "source").collect()}
+    assert states == {"alpha": "local", "default": "local", "beta": "unavailable"}
+    with pytest.raises(UnavailableCorpora, match="beta"):
+        require_available(routed)
+    with pytest.raises(UnavailableCorpora, match="nope"):
+        require_available(routed.filter("dataset = 'nope'"), "nope")
+
+
+def test_corpora_are_scanned_by_type_of_id_and_need_their_columns(spark, tmp_path):
+    write_corpus(spark, tmp_path, "alpha", [("k1", "rain", 1)])
+    spark.range(3).selectExpr("id", "'t' AS text").write.parquet(f"{tmp_path}/num/num.parquet")
+    paths = tuple(r.path for r in corpus_files(spark, str(tmp_path)).collect())
+    scans = CorpusScan(spark, tuple(p for p in paths if "alpha" in p)).by_id_type()
+    assert list(scans) == ["string"]
+    mixed = CorpusScan(spark, paths, schema=T.StructType.fromDDL("id string, text string"))
+    kinds = mixed.by_id_type()
+    assert {k: s.documents().count() for k, s in kinds.items()} == {"string": 1, "bigint": 3}
+    spark.range(3).write.parquet(f"{tmp_path}/bad/bad.parquet")
+    paths = tuple(r.path for r in corpus_files(spark, str(tmp_path)).collect())
+    with pytest.raises(ValueError, match="bad.parquet lacks"):
+        CorpusScan(spark, paths, schema=T.StructType.fromDDL("id string, text string")).by_id_type()
 
 
 def test_routing_and_listing(spark, tree):
@@ -84,8 +120,8 @@ def test_routing_and_listing(spark, tree):
     paths = [r.path for r in routed.filter("dataset <> 'default'").collect()]
     rows = CorpusScan(spark, tuple(paths)).documents().collect()
     assert {(r.dataset, r.id, r.text) for r in rows} == {
-        ("alpha", "a1", "hej"), ("alpha", "a2", "verden"), ("beta", "b1", "fra reserven"),
-        ("gamma", "g1", "tre"),
+        ("alpha", "k1", "rain"), ("alpha", "k2", "snow"), ("beta", "m1", "from the spare"),
+        ("gamma", "p1", "hail"),
     }
 
 
@@ -119,7 +155,7 @@ def test_one_corpus_is_pruned_before_reading(spark, tree):
     files = corpus_files(spark, tree[1])
     scan = CorpusScan(spark, tuple(r.path for r in files.collect())).corpus("beta")
     assert all("/beta.parquet" in path for path in scan.paths)
-    assert [r.id for r in scan.documents().collect()] == ["b1"]
+    assert [r.id for r in scan.documents().collect()] == ["m1"]
 
 
 def test_corpus_column_filter_reaches_the_reader(spark, sf_dir, capsys):
@@ -176,9 +212,9 @@ def test_part_index(spark):
 
 
 def test_merge_matches_columns_by_name(spark):
-    a = spark.createDataFrame([("row-1", "a")], "id string, d string")
-    b = spark.createDataFrame([("b", "row-2")], "d string, id string")
-    assert [r.id for r in merge_parts(a, b).collect()] == ["row-1", "row-2"]
+    a = spark.createDataFrame([("q-7", "a")], "id string, d string")
+    b = spark.createDataFrame([("b", "q-8")], "d string, id string")
+    assert [r.id for r in merge_parts(a, b).collect()] == ["q-7", "q-8"]
 
 
 def test_taxonomy(spark):

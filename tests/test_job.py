@@ -5,10 +5,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from labelloom.operators.model_call import chat_completions
+from labelloom.operators.model_call import TextAnnotator, chat_completions
 from labelloom.operators.positions import with_rank
 from labelloom.operators.resume import row_digest
-from labelloom.plans.annotate import AnnotationJob, OverComplete, RefusedDocuments
+from labelloom.plans.annotate import AnnotationJob, FailedCalls, OverComplete, RefusedDocuments
 from labelloom.settings import Settings
 from labelloom.sources.corpora import CorpusScan
 from labelloom.stubs import CANONICAL_ANSWER, PromptSizeModel
@@ -81,15 +81,15 @@ def annotated(job):
 
 
 def test_records_schema_and_order(spark, tmp_path, log):
-    path = corpus(spark, tmp_path, "demo", [("row-1", "hej"), ("row-2", "verden")])
+    path = corpus(spark, tmp_path, "demo", [("lake", "cold"), ("pond", "warm")])
     job = job_of(spark, tmp_path, describing_client(log))
     job.run(scan_of(spark, path))
     table = job.annotations()
     assert table.columns[:19] == ["id", *FIELD_NAMES]
     assert [f.dataType for f in table.schema.fields[1:19]] == [f.dataType for f in ANNOTATION_TYPE]
     rows = table.orderBy("dataset", "id").collect()
-    assert [r.id for r in rows] == ["row-1", "row-2"]
-    assert rows[0].one_sentence_description == "About hej."
+    assert [r.id for r in rows] == ["lake", "pond"]
+    assert rows[0].one_sentence_description == "About cold."
     assert rows[1].content_type == ["reference", "news_report"]
     assert [c[1] for c in calls(log)] == [512, 512]
 
@@ -132,20 +132,46 @@ def test_fail_on_invalid_raises_after_writing(spark, tmp_path, log):
     assert job.rejects().count() == 1
 
 
-def test_transport_errors_are_not_answers_and_commits_survive(spark, tmp_path, log):
-    """A run dies in its second commit; the next one calls only for the missing rows."""
-    first = corpus(spark, tmp_path, "alpha", [(f"a{i}", f"text a{i}") for i in range(5)])
-    second = corpus(spark, tmp_path, "beta", [(f"b{i}", f"text b{i}") for i in range(5)])
+def test_a_failed_call_costs_no_other_answer(spark, tmp_path, log):
+    """With default settings: the run raises at its end, the next one makes one call."""
+    first = corpus(spark, tmp_path, "alpha", [(f"u{i}", f"note u{i}") for i in range(40)])
+    second = corpus(spark, tmp_path, "beta", [(f"v{i}", f"note v{i}") for i in range(5)])
     scan = scan_of(spark, first, second)
-    with pytest.raises(Exception, match="transport"):
-        job_of(spark, tmp_path, describing_client(log, "b3"), parts_per_commit=1).run(scan)
-    done = job_of(spark, tmp_path, None).responses(1).count()
-    assert done == 5
+    job = job_of(spark, tmp_path, describing_client(log, "u33"))
+    with pytest.raises(FailedCalls, match="u33.*transport"):
+        job.run(scan)
+    assert len(annotated(job)) == 44 and len(calls(log)) == 45
+    states = {r.dataset: r.state for r in job.states(scan).collect()}
+    assert states == {"alpha": "partial", "beta": "complete"}
     os.makedirs(f"{tmp_path}/log2")
-    job = job_of(spark, tmp_path, describing_client(f"{tmp_path}/log2"), parts_per_commit=1)
+    job = job_of(spark, tmp_path, describing_client(f"{tmp_path}/log2"))
     job.run(scan)
-    assert [text for text, _, _ in calls(f"{tmp_path}/log2")] == [f"text b{i}" for i in range(5)]
-    assert len(annotated(job)) == job.annotations().count() == 10
+    assert [text for text, _, _ in calls(f"{tmp_path}/log2")] == ["note u33"]
+    assert len(annotated(job)) == job.annotations().count() == 45
+
+
+def test_a_call_that_fails_in_the_second_attempt_is_made_again(spark, tmp_path, log):
+    path = corpus(spark, tmp_path, "demo", [("a", "silent"), ("b", "fine")])
+
+    make = describing_client(log)
+
+    def factory():
+        call = make()
+
+        def failing(messages, max_tokens, answer_format):
+            if max_tokens != 512:
+                raise TimeoutError("slow")
+            return call(messages, max_tokens, answer_format)
+
+        return failing
+
+    with pytest.raises(FailedCalls, match="TimeoutError: slow"):
+        job_of(spark, tmp_path, factory).run(scan_of(spark, path))
+    job = job_of(spark, tmp_path, describing_client(log))
+    job.run(scan_of(spark, path))
+    assert set(annotated(job)) == {("demo", "a"), ("demo", "b")}
+    assert [(text, budget) for text, budget, _ in calls(log)] == [
+        ("fine", 512), ("silent", 512), ("silent", 1024)]
 
 
 @pytest.mark.parametrize("seed", range(2))
@@ -170,17 +196,65 @@ def test_any_committed_subset_resumes_to_a_single_run(spark, tmp_path, log, seed
     assert len(made) == len(set(made)) == len(rows) + sum(not t.startswith("ok") for _, t in rows)
 
 
-def test_changed_rows_are_done_again_and_excess_is_refused(spark, tmp_path, log):
+def replace_file(spark, path, rows):
+    spark.createDataFrame(rows, "id string, text string").coalesce(1).write.parquet(path + ".new")
+    (new,) = [f for f in os.listdir(path + ".new") if f.endswith(".parquet")]
+    (old,) = [f for f in os.listdir(path) if f.endswith(".parquet")]
+    for crc in (f".{old}.crc",):
+        if os.path.exists(f"{path}/{crc}"):
+            os.remove(f"{path}/{crc}")
+    os.replace(f"{path}.new/{new}", f"{path}/{old}")
+
+
+@pytest.mark.parametrize(
+    ("rows", "called"),
+    [
+        ([("a", "sun"), ("b", "wind"), ("c", "cut fog")], ["sun", "wind"]),  # replaced in place
+        ([("a", "one"), ("b", "wind"), ("c", "cut fog"), ("d", "ice")], ["ice", "wind"]),
+        ([("c", "cut fog")], []),  # shrunk
+        ([("z", "new"), ("a", "one"), ("b", "two"), ("c", "cut fog")], ["new"]),  # moved down
+    ],
+)
+def test_changed_files_are_called_for_their_changed_rows_only(spark, tmp_path, log, rows, called):
+    before = [("a", "one"), ("b", "two"), ("c", "cut fog")]
+    path = corpus(spark, tmp_path, "demo", before)
+    job = job_of(spark, tmp_path, describing_client(log))
+    job.run(scan_of(spark, path))
+    replace_file(spark, path, rows)
+    os.makedirs(f"{tmp_path}/log2")
+    job = job_of(spark, tmp_path, describing_client(f"{tmp_path}/log2"))
+    assert {r.state for r in job.states(scan_of(spark, path)).collect()} == {"none"}
+    job.run(scan_of(spark, path))
+    assert sorted(text for text, _, _ in calls(f"{tmp_path}/log2")) == called
+    assert annotated(job) == {("demo", i): f"About {t}." for i, t in rows}
+    gone = {i for i, t in before if (i, t) not in rows}
+    assert {r.id for r in job.orphans().collect()} == gone
+    assert {r.state for r in job.states(scan_of(spark, path)).collect()} == {"complete"}
+    made = calls(f"{tmp_path}/log2")
+    job.run(scan_of(spark, path))
+    assert calls(f"{tmp_path}/log2") == made
+
+
+def test_files_under_new_names_keep_the_answers_of_their_content(spark, tmp_path, log):
+    path = corpus(spark, tmp_path, "demo", [("a", "one"), ("b", "two")])
+    job_of(spark, tmp_path, describing_client(log)).run(scan_of(spark, path))
+    spark.createDataFrame([("a", "one"), ("b", "wind")], "id string, text string").coalesce(
+        1).write.mode("overwrite").parquet(path)
+    job = job_of(spark, tmp_path, describing_client(log))
+    job.run(scan_of(spark, path))
+    assert annotated(job) == {("demo", "a"): "About one.", ("demo", "b"): "About wind."}
+    assert sorted(text for text, _, _ in calls(log)) == ["one", "two", "wind"]
+    assert [r.id for r in job.orphans().collect()] == ["b"]
+
+
+def test_more_answers_than_rows_of_a_version_are_refused(spark, tmp_path, log):
     path = corpus(spark, tmp_path, "demo", [("a", "one"), ("b", "two")])
     scan = scan_of(spark, path)
     job = job_of(spark, tmp_path, describing_client(log))
     job.run(scan)
-    # Answers without documents: a third answer for a file of two rows.
-    extra = scan.documents().limit(1).withColumn("text", F.lit("changed"))
-    job.call_documents(extra)
+    job.call_documents(scan.documents().limit(1).withColumn("text", F.lit("changed")))
     with pytest.raises(OverComplete):
         job.run(scan)
-    job.derive_tables(["demo"])
     with pytest.raises(OverComplete):
         job.states(scan)
 
@@ -195,11 +269,11 @@ def test_empty_corpus_makes_no_call_and_no_output(spark, tmp_path, log):
 
 
 def test_adopting_records_known_by_position(spark, tmp_path, log):
-    path = corpus(spark, tmp_path, "demo", [("row-1", "hej"), ("row-2", "verden"), ("row-3", "igen")])
+    path = corpus(spark, tmp_path, "demo", [("s1", "north"), ("s2", "south"), ("s3", "east")])
     scan = scan_of(spark, path)
     job = job_of(spark, tmp_path, describing_client(log))
     records = spark.createDataFrame(
-        [("demo", 0, "row-1", CANONICAL_ANSWER), ("demo", 1, "moved", CANONICAL_ANSWER)],
+        [("demo", 0, "s1", CANONICAL_ANSWER), ("demo", 1, "moved", CANONICAL_ANSWER)],
         T.StructType([
             T.StructField("dataset", T.StringType()), T.StructField("rank", T.LongType()),
             T.StructField("id", T.StringType()), T.StructField("annotation", ANNOTATION_TYPE),
@@ -210,10 +284,10 @@ def test_adopting_records_known_by_position(spark, tmp_path, log):
     job.adopt(records, ranked)
     job.run(scan)
     assert annotated(job) == {
-        ("demo", "row-1"): CANONICAL_ANSWER["one_sentence_description"],
-        ("demo", "row-2"): "About verden.", ("demo", "row-3"): "About igen.",
+        ("demo", "s1"): CANONICAL_ANSWER["one_sentence_description"],
+        ("demo", "s2"): "About south.", ("demo", "s3"): "About east.",
     }
-    assert [text for text, _, _ in calls(log)] == ["igen", "verden"]
+    assert [text for text, _, _ in calls(log)] == ["east", "south"]
 
 
 def test_one_call_stage_and_no_shuffle_of_text(spark, sf_dir, capsys):
@@ -244,21 +318,22 @@ def test_chat_completions_adapter():
     assert call([], 512, response_format()) == "{}"
 
 
-def test_text_annotator_adapter(spark, tmp_path):
-    from labelloom.operators.model_call import text_annotator
-
-    path = corpus(spark, tmp_path, "demo", [("a", "hej"), ("b", "bad")])
+def test_annotators_get_whole_texts_once_and_are_taken_as_they_are(spark, tmp_path):
+    long = "brook " * 3_500
+    path = corpus(spark, tmp_path, "demo", [("a", long), ("b", "odd"), ("c", None)])
     canonical = dict(CANONICAL_ANSWER)
 
     class Annotator:
         def annotate(self, text):
-            label = "fine" if text == "bad" else "good"
+            label = "unheard_of" if text == "odd" else "good"
             return {**canonical, "content_quality": label, "one_sentence_description": text}
 
-    job = job_of(spark, tmp_path, text_annotator(Annotator))
+    job = job_of(spark, tmp_path, TextAnnotator(Annotator))
     job.run(scan_of(spark, path))
-    assert annotated(job) == {("demo", "a"): "hej"}
-    assert [r.reasons for r in job.rejects().collect()] == [["label:content_quality"]]
+    assert annotated(job) == {("demo", "a"): long, ("demo", "b"): "odd"}
+    assert {r.content_quality for r in job.annotations().collect()} == {"good", "unheard_of"}
+    assert [r.reasons for r in job.rejects().collect()] == [["null_text"]]
+    assert job.responses(2).count() == 0
 
 
 def test_files_keep_the_input_order(spark, tmp_path, log):

@@ -1,14 +1,31 @@
 import pytest
 
 from labelloom.plans.collection import Collection
-from labelloom.plans.publish import MANIFEST_TYPE, published_manifest, published_paths
+from labelloom.plans.publish import (
+    MANIFEST_TYPE,
+    published_manifest,
+    published_paths,
+    published_rows,
+)
 from labelloom.settings import Settings
+from labelloom.sources.corpora import UnavailableCorpora
+from labelloom.stubs import CANONICAL_ANSWER
+from labelloom.taxonomy import ANNOTATION_TYPE
 from labelloom.streaming.incremental import IncrementalAnnotation
 
 from test_corpora import POINTER, write_text
-from test_job import annotated, calls, corpus, describing_client, job_of, scan_of
+from test_job import (
+    annotated,
+    calls,
+    corpus,
+    describing_client,
+    job_of,
+    replace_file,
+    scan_of,
+)
 
 PATH = "annotations/{}/lab--annotator-1.parquet"
+PLACE = "annotations/model_slug=lab--annotator-1/dataset={}"
 
 
 @pytest.fixture
@@ -46,10 +63,12 @@ def test_collection_from_files_to_published_tables(spark, tmp_path, log):
     assert work.annotate() == ["gamma"]
     manifest = published_manifest(spark, work.target).orderBy("dataset").collect()
     assert [tuple(r) for r in manifest] == [
-        ("alpha", PATH.format("alpha"), "Add alpha annotations with lab/annotator-1", 2),
-        ("gamma", PATH.format("gamma"), "Add gamma annotations with lab/annotator-1", 1),
+        ("alpha", PATH.format("alpha"), PLACE.format("alpha"),
+         "Add alpha annotations with lab/annotator-1", 2),
+        ("gamma", PATH.format("gamma"), PLACE.format("gamma"),
+         "Add gamma annotations with lab/annotator-1", 1),
     ]
-    published = spark.read.parquet(f"{work.target}/annotations")
+    published = published_rows(spark, work.target)
     assert {(r.dataset, r.id) for r in published.collect()} == {
         ("alpha", "a1"), ("alpha", "a2"), ("gamma", "g1"),
     }
@@ -61,11 +80,11 @@ def test_collection_from_files_to_published_tables(spark, tmp_path, log):
 def test_existing_complete_annotations_are_published(spark, tmp_path, log):
     path = corpus(spark, tmp_path, "alpha", [("a1", "one")])
     other = corpus(spark, tmp_path, "beta", [("b1", "one"), ("b2", "two")])
-    job = job_of(spark, tmp_path, describing_client(log))
-    job.run(scan_of(spark, path))
-    job.call_documents(scan_of(spark, other).documents().filter("id = 'b1'"))
-    job.derive_tables(["beta"])
     work = collection(spark, tmp_path, log)
+    scan = scan_of(spark, path, other)
+    job = work.job("string", scan)
+    job.open_parts(scan)
+    job.call_documents(scan.documents().filter("id <> 'b2'"))
     assert work.publish_existing("beta") == []
     assert work.publish_existing() == ["alpha"]
 
@@ -91,3 +110,53 @@ def test_stream_of_arriving_files(spark, tmp_path, log):
     # A lost ledger replays every file; no row is called for again.
     arrive("other")
     assert calls(log) == made and job.annotations().count() == 4
+
+
+def test_ids_of_several_types_and_refused_rows(spark, tmp_path, log):
+    corpus(spark, tmp_path, "alpha", [("a1", "one"), ("a2", "never")])
+    spark.range(2).selectExpr("id", "'t' AS text").write.parquet(f"{tmp_path}/data/num/num.parquet")
+    assert collection(spark, tmp_path, log).annotate() == ["num"]
+    settings = Settings("lab/annotator-1", slots=2, publish_refused=True)
+    work = collection(spark, tmp_path, log, settings=settings)
+    assert work.annotate() == ["alpha"]
+    rows = {r.dataset: r.n_rows for r in published_manifest(spark, work.target).collect()}
+    assert rows == {"alpha": 1, "num": 2}
+    refused = spark.read.parquet(f"{work.target}/rejects").collect()
+    assert [(r.dataset, r.id) for r in refused] == [("alpha", "a2")]
+
+
+def test_unavailable_corpora_are_named(spark, tmp_path, log):
+    corpus(spark, tmp_path, "alpha", [("a1", "one")])
+    write_text(tmp_path / "data" / "gamma" / "gamma.parquet", POINTER)
+    work = collection(spark, tmp_path, log)
+    assert work.annotate("alpha") == ["alpha"]
+    for wanted in ("gamma", "nope"):
+        with pytest.raises(UnavailableCorpora, match=wanted):
+            work.annotate(wanted)
+    with pytest.raises(UnavailableCorpora, match="gamma"):
+        work.annotate()
+
+
+def test_replaced_files_are_not_published_with_old_labels(spark, tmp_path, log):
+    path = corpus(spark, tmp_path, "alpha", [("a1", "one"), ("a2", "two")])
+    work = collection(spark, tmp_path, log)
+    scan = scan_of(spark, path)
+    work.job("string", scan).run(scan)
+    replace_file(spark, path, [("a1", "other"), ("a2", "two")])
+    assert work.publish_existing() == []
+    assert work.annotate() == ["alpha"]
+    rows = {r.id: r.one_sentence_description for r in published_rows(spark, work.target).collect()}
+    assert rows == {"a1": "About other.", "a2": "About two."}
+
+
+def test_parts_of_an_interrupted_run_are_taken_over(spark, tmp_path, log):
+    corpus(spark, tmp_path, "alpha", [("a1", "one"), ("a2", "two"), ("a3", "three")])
+    for name, ids in (("tmp", ["a1"]), ("part1", ["a2"]), ("part3", ["a3"])):
+        rows = spark.createDataFrame(
+            [(i, CANONICAL_ANSWER) for i in ids], f"id string, a {ANNOTATION_TYPE.simpleString()}")
+        rows.select("id", "a.*").coalesce(1).write.parquet(
+            f"{tmp_path}/parts/alpha/lab--annotator-1.{name}.parquet")
+    work = collection(spark, tmp_path, log)
+    work.adopt_parts(f"{tmp_path}/parts")
+    assert work.annotate() == ["alpha"]
+    assert [text for text, _, _ in calls(log)] == ["three"]
