@@ -7,6 +7,7 @@ from labelloom.llm.language import op1_language
 from labelloom.llm.mixing import OP10_SQL, op10_mixing
 from labelloom.llm.nearest import op7_nearest
 from labelloom.llm.personal_data import op2_personal_data
+from labelloom.llm.plain_sql import OP6_SQL, OP8_SQL
 from labelloom.llm.preferences import OP4_SQL, op4_preferences
 from labelloom.llm.repeated_text import op8_repeated_text
 from labelloom.llm.scoring import op5_scoring
@@ -29,5 +30,7 @@ QUERIES = {
 ORACLES = {
     "op3_decontamination": OP3_SQL,
     "op4_preferences": OP4_SQL,
+    "op6_similar_texts": OP6_SQL,
+    "op8_repeated_text": OP8_SQL,
     "op10_mixing": OP10_SQL,
 }
