@@ -13,7 +13,9 @@ lowest: equal windows have equal anchors at the same place. So
    text pass to the next step and changes no result;
 3. runs of windows with the same repeated anchor go, with their text, to the shard of the
    anchor. Inside a task, equal runs are one, which makes hot passages small before they are
-   moved;
+   moved. Runs of very frequent anchors are split by the anchor's place in the window, and
+   dealt by the text that all windows of a piece have in common: different surroundings of
+   one passage go to different shards, and equal windows still meet;
 4. a shard sorts its suffixes by induction (see ``induced_sorting``), with queues on disk.
    Neighbours whose common prefix reaches ``LENGTH`` are equal windows, and all but the
    first are removed.
@@ -35,10 +37,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from xxhash import xxh3_64_intdigest
 
 from labelloom.deploy import ship_package
 from labelloom.llm.induced_sorting import SEPARATOR, sorted_suffixes
-from labelloom.llm.scoring import build_filter, mix
+from labelloom.llm.scoring import build_filter, find, mix
 from labelloom.llm.shared import read_table, small_enough, written
 
 LENGTH = 100
@@ -47,9 +50,13 @@ ANCHOR = 32
 PORTION = 1 << 22
 #: Bytes of runs that a shard gets, about.
 SHARD_BYTES = 3 << 20
-MOST_SEGMENTS = 1 << 13  # of the filter: 512 MB
-BROADCAST_ROWS = 500_000
+MOST_SEGMENTS = 1 << 11  # of the filter: 128 MB
+BROADCAST_ROWS = 300_000
 NO_ID = -(2**63)
+#: Anchors that occur so often, and make up one in ``HOT_SHARE`` of all, are split.
+HOT_TIMES, HOT_SHARE = 1_000, 1 << 20
+#: Places of the anchor in a window, first and last, that a piece of a hot run holds.
+PIECES = ((0, 22), (23, 45), (46, LENGTH - ANCHOR))
 
 
 # -- anchors ------------------------------------------------------------------------
@@ -79,13 +86,13 @@ def _lowest(key: np.ndarray, width: int) -> np.ndarray:
 def anchored_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
     """Runs of windows with one anchor, of the portions ``starts`` to ``ends`` of ``data``.
 
-    Gives each run's portion, first window, window after the last, and anchor's hash.
+    Gives each run's portion, first window, window after the last, anchor and its hash.
     """
     counts = np.maximum(0, ends - starts - LENGTH + 1)
     total = counts.sum()
     if not total:
         none = np.zeros(0, np.int64)
-        return none, none, none, np.zeros(0, np.uint64)
+        return none, none, none, none, np.zeros(0, np.uint64)
     owner = np.repeat(np.arange(len(starts)), counts)
     window = np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(total)
     hashes = _gram_hashes(data)
@@ -96,7 +103,24 @@ def anchored_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
     new[1:] = (anchor[1:] != anchor[:-1]) | (owner[1:] != owner[:-1])
     first = np.flatnonzero(new)
     last = np.append(first[1:], total) - 1
-    return owner[first], window[first], window[last] + 1, hashes[anchor[first].astype(np.int64)]
+    at = anchor[first].astype(np.int64)
+    return owner[first], window[first], window[last] + 1, at, hashes[at]
+
+
+def split_hot(run: tuple[np.ndarray, ...], hot: np.ndarray, raw: bytes):
+    """Portion, first window, window after the last, and shard key of runs; hot ones in pieces."""
+    owner, first, stop, at, hashes = run
+    parts = [(owner[~hot], first[~hot], stop[~hot], hashes[~hot])]
+    owner, first, stop, at, hashes = (x[hot] for x in run)
+    for low, high in PIECES:
+        begin, end = np.maximum(first, at - high), np.minimum(stop, at - low + 1)
+        some = np.flatnonzero(begin < end)
+        common = np.fromiter(
+            (xxh3_64_intdigest(raw[p - low : p - high + LENGTH]) for p in at[some].tolist()),
+            np.uint64, len(some))
+        key = mix(mix(hashes[some] + np.uint64(high)) + common)
+        parts.append((owner[some], begin[some], end[some], key))
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
 def _portions(batches: Iterator[pa.RecordBatch]):
@@ -129,7 +153,7 @@ def _portions(batches: Iterator[pa.RecordBatch]):
 
 def _count_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for _, data, _, starts, ends, _ in _portions(batches):
-        hashes, n = np.unique(anchored_runs(data, starts, ends)[3], return_counts=True)
+        hashes, n = np.unique(anchored_runs(data, starts, ends)[4], return_counts=True)
         yield pa.RecordBatch.from_arrays(
             [pa.array(hashes.view(np.int64)), pa.array(n)], names=["hash", "n"])
 
@@ -147,25 +171,26 @@ def _runs(anchor, ids, keys, start, stop, body) -> pa.RecordBatch:
 def _repeated_runs(shared):
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Runs whose anchor is repeated; rows without a body are found to be removed."""
+        repeated, frequent = shared.value
         for keys, data, number, starts, ends, base in _portions(batches):
-            owner, first, stop, hashes = anchored_runs(data, starts, ends)
-            some = np.flatnonzero(shared.value.level(hashes) > 0)
-            number_, stop = number[owner[some]], stop[some] + LENGTH - 1
-            offset = (base - starts)[owner[some]]
-            raw = data.tobytes()
+            run = anchored_runs(data, starts, ends)
+            some = np.flatnonzero(repeated.level(run[4]) > 0)
+            run, raw = tuple(x[some] for x in run), data.tobytes()
+            owner, first, stop, shard = split_hot(run, find(frequent, run[4])[1], raw)
+            number_, stop = number[owner], stop + LENGTH - 1
+            offset = (base - starts)[owner]
             names = np.array(keys, np.int64).reshape(-1, 2)[number_]
             earliest: dict[bytes, int] = {}
             bodies: list[bytes | None] = []
-            order = np.lexsort((first[some] + offset, names[:, 0]))
+            order = np.lexsort((first + offset, names[:, 0]))
             for i in order:
-                body = raw[first[some[i]] : stop[i]]
+                body = raw[first[i] : stop[i]]
                 j = earliest.setdefault(body, i)
                 again = j != i and (names[j, 0] != names[i, 0]
-                                    or first[some[j]] + offset[j] < first[some[i]] + offset[i])
+                                    or first[j] + offset[j] < first[i] + offset[i])
                 bodies.append(None if again else body)
-            some = some[order]
-            yield _runs(hashes[some].view(np.int64), names[order, 0], names[order, 1],
-                        first[some] + offset[order], stop[order] + offset[order], bodies)
+            yield _runs(shard[order].view(np.int64), names[order, 0], names[order, 1],
+                        (first + offset)[order], (stop + offset)[order], bodies)
 
     return runs
 
@@ -250,10 +275,21 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+SPAN_LIST = "array<struct<start:bigint,stop:bigint>>"
+
+
+def _merge(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for lists in parts:
+        yield pd.Series([
+            [{"start": s, "stop": e} for s, e in merged([(x["start"], x["stop"]) for x in spans])]
+            for spans in lists
+        ], dtype=object)
+
+
 def removed_spans(docs: DataFrame) -> DataFrame:
-    """``id_``, ``text_key``, ``text``, ``spans``: all documents, with what is removed.
+    """``doc_id``, ``text``, ``spans``: all documents, with what is removed of them.
 
-    ``text`` is bytes. Spans are not merged yet; null stands for the whole text.
+    ``text`` is bytes. Null spans stand for the whole text.
     """
     spark = ship_package(docs.sparkSession)
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
@@ -274,11 +310,17 @@ def removed_spans(docs: DataFrame) -> DataFrame:
 
     repeated = written(
         firsts.select("text").mapInArrow(_count_anchors, "hash long, n long")
-        .groupBy("hash").agg(F.sum("n").alias("n")).where("n > 1")
-        .select("hash", F.lit(1).cast("long").alias("n")),
+        .groupBy("hash").agg(F.sum("n").alias("n")).where("n > 1"),
         "repeated-anchors",
     )
-    shared = spark.sparkContext.broadcast(build_filter(repeated, MOST_SEGMENTS))
+    total = repeated.agg(F.sum("n").alias("n")).first().n or 0
+    hot = repeated.where((F.col("n") >= HOT_TIMES) & (F.col("n") * HOT_SHARE >= total))
+    hot = hot.select("hash").toPandas()["hash"]  # at most HOT_SHARE
+    once = repeated.select("hash", F.lit(1).cast("long").alias("n"))
+    shared = spark.sparkContext.broadcast((
+        build_filter(once, MOST_SEGMENTS),
+        np.sort(hot.to_numpy(np.int64).view(np.uint64)),
+    ))
     runs = written(
         firsts.select("id_", "text_key", "text").mapInArrow(_repeated_runs(shared), RUNS), "runs"
     )
@@ -292,10 +334,12 @@ def removed_spans(docs: DataFrame) -> DataFrame:
         .groupBy("id_", "text_key")
         .agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     )
-    spans = small_enough(written(spans, "spans"), BROADCAST_ROWS)
+    merge = pandas_udf(_merge, SPAN_LIST)
+    spans = written(spans.withColumn("spans", merge("spans")), "spans")
+    spans = small_enough(spans, BROADCAST_ROWS)
     return marked.join(spans, ["id_", "text_key"], "left").select(
-        "doc_id", "text", F.when(~F.col("copy"), F.coalesce(
-            "spans", F.array().cast("array<struct<start:bigint,stop:bigint>>"))).alias("spans"))
+        "doc_id", "text",
+        F.when(~F.col("copy"), F.coalesce("spans", F.array().cast(SPAN_LIST))).alias("spans"))
 
 
 DIGEST = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -309,7 +353,7 @@ def _digest(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFra
             if cut is None:
                 own = [(0, len(text))]
             else:
-                own = merged([(s["start"], s["stop"]) for s in cut])
+                own = [(s["start"], s["stop"]) for s in cut]
             kept, at = sha256(), 0
             for start, stop in own:
                 kept.update(text[at:start])

@@ -68,9 +68,10 @@ def test_query_equals_brute_force(spark, sf_dir):
     assert got(op8_repeated_text(spark, sf_dir)) == want and sum(r[2] for r in want) > 0
 
 
-@pytest.mark.parametrize("portion", [1 << 22, 300])
-def test_hard_texts(documents, monkeypatch, portion):
+@pytest.mark.parametrize(("portion", "hot"), [(1 << 22, 1_000), (1 << 22, 2), (300, 4)])
+def test_hard_texts(documents, monkeypatch, portion, hot):
     monkeypatch.setattr(repeated_text, "PORTION", portion)
+    monkeypatch.setattr(repeated_text, "HOT_TIMES", hot)
     dice = random.Random(portion)
     line = lambda n: "".join(dice.choice("abcé \n") for _ in range(n))
     passage, other = line(150), line(99)
