@@ -24,7 +24,6 @@ empty table gives an empty result. Columns other than id and vector are not read
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
