@@ -55,7 +55,7 @@ FIRST_ROUND = 12
 PIECE = 500
 LEAF, FANOUT, LEAVES_AT_ONCE = 32, 8, 400
 COUNTS_AT_ONCE = 1 << 22
-CHUNK_TOKENS = 1_500_000
+CHUNK_TOKENS = 500_000
 BROADCAST_ROWS = 1_000_000
 
 ONE = np.uint64(1)
