@@ -4,9 +4,10 @@ Patterns give the base spans. The field then labels every candidate token (one t
 digit or an at sign; all others are fixed to "none", which cuts the chain into short runs
 without changing the model). Neighbouring candidates share chain potentials; candidates that
 repeat each other's digits or mailbox name, however far apart, share skip potentials. Loopy
-sum-product messages run over all of a batch's documents at once, so evidence at one mention
-makes the others agree. Tokens labelled with enough certainty that no base span touches are
-added as spans; base spans always stay.
+sum-product messages run over many documents at once, so evidence at one mention makes the
+others agree. Every document with a candidate is in the field, with base spans or without.
+Tokens labelled with enough certainty that no base span touches are added as spans; base
+spans always stay.
 
 The weights are learned here, by pseudo-likelihood, from base spans of a sample of at most
 ``SAMPLE_DOCUMENTS`` documents that have any, chosen by a hash of their id. Weakened mentions
@@ -39,6 +40,7 @@ KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCUMENTS = 1500
 SAMPLE_TOKENS = 400  # candidates of a document in the sample, at most
 LEAST_CERTAIN = 0.9
+GRAPH_TOKENS = 20_000  # candidates of whole documents that are labelled at once, about
 ROUNDS, DAMPING = 12, 0.3
 STEPS, RATE, DECAY = 400, 0.5, 1e-4
 
@@ -269,13 +271,22 @@ def added_spans(
     texts: Sequence[str], base: Sequence[list[tuple[int, int, int]]], w: Weights | None
 ) -> list[list[tuple[int, int, int]]]:
     """What the field finds beside the base spans, for every text."""
-    graph = Graph()
-    for i, (text, spans) in enumerate(zip(texts, base, strict=True)):
-        if spans:  # without evidence in the document there is nothing to agree with
-            graph.add(i, text, spans)
     found: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-    if not graph.owner or w is None:
+    if w is None:
         return found
+    graph = Graph()
+    for i, (text, spans) in enumerate(zip(texts, base, strict=True)):
+        graph.add(i, text, spans)
+        if len(graph.owner) >= GRAPH_TOKENS:  # no edge leaves a document
+            _add_labelled(graph, texts, base, w, found)
+            graph = Graph()
+    if graph.owner:
+        _add_labelled(graph, texts, base, w, found)
+    return found
+
+
+def _add_labelled(graph: Graph, texts, base, w: Weights, found) -> None:
+    """Put what the field finds in the documents of ``graph`` into ``found``."""
     sure = marginals(graph, w)
     chained = {right for _, right in graph.chain}
     run = None  # (owner, kind, start, end)
@@ -295,7 +306,6 @@ def added_spans(
             close()
             run = (graph.owner[i], int(label), *graph.spans[i]) if new else None
     close()
-    return found
 
 
 # -- on Spark -----------------------------------------------------------------------

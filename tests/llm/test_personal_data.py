@@ -6,6 +6,7 @@ from hashlib import sha256
 import pytest
 from pyspark.sql import functions as F
 
+from labelloom.llm import personal_data
 from labelloom.llm.personal_data import (
     KINDS,
     added_spans,
@@ -92,3 +93,23 @@ def test_nulls_repeats_and_clashing_columns(documents):
     assert sorted((r.doc_id or 0, r.spans) for r in rows) == [
         (0, "email:2:8"), (1, ""), (1, ""), (2, "email:2:8"), (2, "email:2:8"), (3, "")]
     assert find_personal_data(documents([])).count() == 0
+
+
+def test_documents_without_base_spans_are_in_the_field():
+    learned = train([f"call +1 (212) 555-{1000 + i} or a{i}.bc@mail.example.com at 10.2.3.{i} now"
+                     for i in range(200)])
+    text = "write jo.doe@mail now, I say jo.doe@mail again, or jo.doe@mail"
+    assert base_spans(text) == []
+    (new,) = added_spans([text], [[]], learned)
+    assert [(KINDS[k], text[s:e]) for s, k, e in new] == [("email", "jo.doe@mail")] * 3
+
+
+def test_documents_are_labelled_alike_in_any_portion(monkeypatch):
+    learned = train([f"call +1 (212) 555-{1000 + i} or a{i}.bc@mail.example.com at 10.2.3.{i} now"
+                     for i in range(200)])
+    texts = [f"b{i}.cd@mail.example.com or b{i}.cd@mail it is" for i in range(20)]
+    texts += ["jo.doe@mail, jo.doe@mail", "", "12 apples"]
+    base = [base_spans(t) for t in texts]
+    whole = added_spans(texts, base, learned)
+    monkeypatch.setattr(personal_data, "GRAPH_TOKENS", 3)
+    assert added_spans(texts, base, learned) == whole and any(whole)
