@@ -39,8 +39,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    return without_items(docs, read_table(spark, sf_dir, "benchmark"))
+    """Rows whose own text holds no benchmark item, whatever rows share their id."""
+    return without_items(docs, read_table(spark, sf_dir, "benchmark"), by_row=True)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

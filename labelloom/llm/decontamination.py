@@ -14,7 +14,8 @@ was found is looked at again, and decided by comparing the shingles themselves.
 
 Defined results: null or empty texts have no shingles and neither find nor are found. Rows
 that repeat an id, null included, count as one document (or item) with the shingles of the
-best row. Repeated shingles count once. Empty tables give an empty result. Columns other
+best row; ``without_items`` can judge each row by its own text instead, as the pipeline
+does, so that clean rows stay. Repeated shingles count once. Empty tables give an empty result. Columns other
 than id and text are not read.
 """
 
@@ -85,27 +86,35 @@ def find_items(
     docs: DataFrame, items: DataFrame, width: int = WIDTH, percent: int = PERCENT
 ) -> DataFrame:
     """``doc_id``, ``item_id``, ``n_shingles``, ``n_shared``, ``containment`` of all finds."""
+    return _finds(docs.select("doc_id", "text"), items, ["doc_id"], width, percent)
+
+
+def _finds(
+    docs: DataFrame, items: DataFrame, keys: list[str], width: int = WIDTH, percent: int = PERCENT
+) -> DataFrame:
+    """``find_items`` of documents, which are rows with equal ``keys``."""
     signed = written(item_signatures(items, width, percent), "benchmark-items")
     widths = [r.width for r in signed.select("width").distinct().collect()]  # at most five
     if not widths:
-        schema = f"doc_id {dict(docs.dtypes)['doc_id']}, item_id {dict(items.dtypes)['item_id']}"
+        schema = ", ".join(f"{k} {dict(docs.dtypes)[k]}" for k in keys)
+        schema += f", item_id {dict(items.dtypes)['item_id']}"
         return docs.sparkSession.createDataFrame(
             [], f"{schema}, n_shingles int, n_shared int, containment double"
         )
     probes = small_enough(
         signed.select("item_id", F.explode("signature").alias("hash")), BROADCAST_ROWS
     )
-    worded = _with_words(docs, "doc_id", "doc_id")
+    worded = bind(docs.select(*keys, "text"), "words", words_of(F.lower("text"))).drop("text")
     hashed = worded.select(
-        "doc_id", F.explode(F.concat(*[_shingles("words", w, _hash) for w in widths])).alias("hash")
+        *keys, F.explode(F.concat(*[_shingles("words", w, _hash) for w in widths])).alias("hash")
     )
     found = written(
-        hashed.join(probes, "hash").select("doc_id", "item_id").distinct(), "benchmark-candidates"
+        hashed.join(probes, "hash").select(*keys, "item_id").distinct(), "benchmark-candidates"
     )
     found = small_enough(found, BROADCAST_ROWS)
-    both = docs.select("doc_id", "text").alias("d").join(
-        found.alias("f"), F.col("d.doc_id").eqNullSafe(F.col("f.doc_id"))
-    ).select("d.doc_id", "f.item_id", "text")
+    same = [F.col(f"d.{k}").eqNullSafe(F.col(f"f.{k}")) for k in keys]
+    both = docs.select(*keys, "text").alias("d").join(found.alias("f"), same).select(
+        *[f"d.{k}" for k in keys], "f.item_id", "text")
     texts = small_enough(
         signed.select("item_id", "width", "n_shingles", "shingles"), BROADCAST_ROWS // 50
     )
@@ -116,27 +125,34 @@ def find_items(
         *[F.when(F.col("width") == w, _shingles("words", w, _text)) for w in widths]
     )
     shared = pairs.select(
-        "doc_id", "d.item_id", "n_shingles",
+        *keys, "d.item_id", "n_shingles",
         F.size(F.array_intersect("shingles", own)).alias("n_shared"),
     )
     return (
         shared.where(F.col("n_shared") * 100 >= F.col("n_shingles") * percent)
-        .groupBy("doc_id", "item_id")
+        .groupBy(*keys, "item_id")
         .agg(F.max_by(F.struct("n_shingles", "n_shared"),
                       F.struct(F.col("n_shared") / F.col("n_shingles"), "n_shingles")).alias("best"))
         .select(
-            "doc_id", "item_id", "best.n_shingles", "best.n_shared",
+            *keys, "item_id", "best.n_shingles", "best.n_shared",
             (F.col("best.n_shared") / F.col("best.n_shingles")).alias("containment"),
         )
     )
 
 
-def without_items(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``docs`` less those in which an item is found."""
-    leak = fresh(docs, "leak_id_")
-    leaks = find_items(docs, items).select(F.col("doc_id").alias(leak)).distinct()
-    leaks = small_enough(written(leaks, "leaks"), BROADCAST_ROWS)
-    return docs.join(leaks, F.col("doc_id").eqNullSafe(F.col(leak)), "left_anti")
+def without_items(docs: DataFrame, items: DataFrame, by_row: bool = False) -> DataFrame:
+    """``docs`` less those in which an item is found; ``by_row``, each row by its own text."""
+    keys = ["doc_id", "text_key"] if by_row else ["doc_id"]
+    read = docs.select("doc_id", "text")
+    if by_row:
+        read = read.withColumn("text_key", F.xxhash64("text"))
+    names = [fresh(docs, f"leak_{k}_") for k in keys]
+    leaks = _finds(read, items, keys).select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
+    leaks = small_enough(written(leaks.distinct(), "leaks"), BROADCAST_ROWS)
+    same = [F.col("doc_id").eqNullSafe(F.col(names[0]))]
+    if by_row:
+        same.append(F.xxhash64("text") == F.col(names[1]))
+    return docs.join(leaks, same, "left_anti")
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

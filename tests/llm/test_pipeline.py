@@ -92,3 +92,16 @@ def test_empty(spark, documents):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf_dir)
     assert docs.count() == 0
+
+
+def test_clean_rows_stay_beside_contaminated_ones_of_their_id(spark, documents, tmp_path):
+    items = spark.createDataFrame([(1, "a b c d e f g")], "item_id long, text string")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    leak = "so a b c d e f g it is"
+    docs = documents([(1, leak), (1, "clean"), (None, leak), (None, "x y"), (None, None),
+                      (2, leak), (3, ""), (3, leak), (3, leak)])
+    docs = docs.withColumns({"text_key": F.lit(1), "leak_text_key_": F.lit(2)})
+    kept = corpus_pipeline.drop_benchmark_leaks(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == [
+        (0, ""), (0, "x y"), (1, "clean"), (3, "")]
