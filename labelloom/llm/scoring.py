@@ -6,10 +6,12 @@ A probe asks for number 1, 2, ... until one is missing; the last one found gives
 Probabilities are smoothed pair counts: ``(c(v w) + M p(w)) / (c(v) + M)`` with
 ``p(w) = (c(w) + 1) / (N + V + 1)``, all counts as probed.
 
-Bounds that hold for any corpus, since rates add up to one: pairs are made of words with at
-least one in ``FREQUENT`` of all tokens, and words and pairs enter the filter with at least
-one in ``STORED``. The filter is cut into segments; an n-gram's bits all lie in one, so
-segments are built where their n-grams were shuffled to, and only segments are collected.
+Every word and pair of the training texts is in the filter, which grows with them and is cut
+into segments; an n-gram's bits all lie in one. The head, n-grams with at least one in
+``STORED`` of all tokens, is bounded for any corpus, since rates add up to one, and is
+broadcast. All others are the tail: its segments are as many as it needs and are nowhere
+gathered. The distinct n-grams of each text that the head does not hold are shuffled to their
+segment, probed there, and their levels go back to the text.
 
 The base score needs exact counts of all words. Those of frequent words are broadcast; all
 others are joined by a shuffle, per document and word. Words are named by 64-bit hashes.
@@ -32,6 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from labelloom.deploy import ship_package
 from labelloom.llm.shared import read_table, written
@@ -112,6 +115,19 @@ class FrequencyFilter:
         return out
 
 
+def _put(bits: np.ndarray, hashes: np.ndarray, level: np.ndarray) -> None:
+    """Every n-gram into its segment's bits, as often as its level says."""
+    entry = np.repeat(np.arange(len(hashes)), level)
+    number = np.arange(len(entry)) - np.repeat(np.cumsum(level) - level, level) + 1
+    start, stride = _bits(hashes[entry], number)
+    for i in range(PROBES):
+        at = (start + np.uint64(i) * stride) & np.uint64(SEGMENT_BITS - 1)
+        np.bitwise_or.at(
+            bits, (at >> np.uint64(3)).astype(np.int64),
+            np.uint8(1) << (at & np.uint64(7)).astype(np.uint8),
+        )
+
+
 def _fill_segments(segments: int):
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(hash, n) rows, all of a segment in one task, to (segment, bits)."""
@@ -119,19 +135,11 @@ def _fill_segments(segments: int):
         for batch in batches:
             hashes = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             level = levels(batch.column(1).to_numpy(zero_copy_only=False))
-            entry = np.repeat(np.arange(len(hashes)), level)
-            number = np.arange(len(entry)) - np.repeat(np.cumsum(level) - level, level) + 1
-            start, stride = _bits(hashes[entry], number)
-            home = segment_of(hashes, segments)[entry]
+            home = segment_of(hashes, segments)
             for segment in np.unique(home):
                 own = home == segment
                 bits = made.setdefault(int(segment), np.zeros(SEGMENT_BITS // 8, np.uint8))
-                for i in range(PROBES):
-                    at = (start[own] + np.uint64(i) * stride[own]) & np.uint64(SEGMENT_BITS - 1)
-                    np.bitwise_or.at(
-                        bits, (at >> np.uint64(3)).astype(np.int64),
-                        np.uint8(1) << (at & np.uint64(7)).astype(np.uint8),
-                    )
+                _put(bits, hashes[own], level[own])
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(made), pa.int64()), pa.array([b.tobytes() for b in made.values()],
                                                         pa.binary())],
@@ -260,18 +268,12 @@ def find(table: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, table[at] == values
 
 
-def _count_pairs(shared):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known_of = lambda hashes: (find(shared.value, hashes)[1],)
-        for _, texts, (hashes, known) in _chunks(batches, known_of):
-            tokens = np.concatenate(texts)
-            before = _before(tokens, texts)
-            both = known[tokens] & known[before]
-            pairs, n = np.unique(
-                pair_hash(hashes[before[both]], hashes[tokens[both]]), return_counts=True)
-            yield _counted(pairs, n)
-
-    return count
+def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for _, texts, (hashes,) in _chunks(batches, lambda hashes: ()):
+        tokens = np.concatenate(texts)
+        before = _before(tokens, texts)
+        yield _counted(
+            *np.unique(pair_hash(hashes[before], hashes[tokens]), return_counts=True))
 
 
 # -- scoring ------------------------------------------------------------------------
@@ -286,48 +288,78 @@ class Model:
     types: int  # V
 
     def facts(self, hashes: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Per word: its count as probed, whether it is frequent, its exact count if so."""
-        probed = level_counts(self.stored.level(hashes))
+        """Per word: its level in the head, whether it is frequent, its exact count if so."""
+        level = self.stored.level(hashes)
         at, frequent = find(self.frequent, hashes)
         exact = np.zeros(len(hashes))
         if frequent.any():
             exact[frequent] = self.counts[at[frequent]]
-        return probed, frequent, exact
+        return level, frequent, exact
 
-    def log_probabilities(self, hashes, probed, before, tokens) -> np.ndarray:
-        """log10 of p(token | before), by probes alone."""
-        context, own = probed[before], probed[tokens]
-        pairs = np.zeros(len(tokens))
-        likely = np.flatnonzero((context > 0) & (own > 0))
-        pairs[likely] = level_counts(
-            self.stored.level(pair_hash(hashes[before[likely]], hashes[tokens[likely]])))
-        alone = np.minimum(1.0, (own + 1) / (self.tokens + self.types + 1))
-        pairs = np.minimum(pairs, np.minimum(context, own))
-        return np.log10((pairs + PRIOR * alone) / (context + PRIOR))
+
+def log_probabilities(context, own, pair, total: int) -> np.ndarray:
+    """log10 of p(own | context) by levels; ``total`` is N + V."""
+    context, own, pair = map(level_counts, (context, own, pair))
+    alone = np.minimum(1.0, (own + 1) / (total + 1))
+    pair = np.minimum(pair, np.minimum(context, own))
+    return np.log10((pair + PRIOR * alone) / (context + PRIOR))
 
 
 SCORED = (
     "doc_id {id}, held_out boolean, n_tokens long, n_known long, logs double, score double, "
-    "rare array<bigint>, times array<int>"
+    "rare array<bigint>, times array<int>, asked array<bigint>, context array<int>, "
+    "own array<int>, pair array<int>, pair_times array<int>"
 )
 
 
 def _score_texts(shared, id_type: pa.DataType):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What the head decides, and for each text what it asks of the tail.
+
+        ``context``, ``own`` and ``pair`` of the text's open pairs are places in ``asked``,
+        or -1 less the level if the head holds it.
+        """
         model: Model = shared.value
-        for keys, texts, (hashes, probed, frequent, exact) in _chunks(batches, model.facts):
+        for keys, texts, (hashes, level, frequent, exact) in _chunks(batches, model.facts):
             tokens = np.concatenate(texts)
+            before = _before(tokens, texts)
             owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-            logs = model.log_probabilities(hashes, probed, _before(tokens, texts), tokens)
+            words = len(hashes)
+            pairs, pair = np.unique(before * words + tokens, return_inverse=True)
+            grams = np.concatenate(
+                [hashes, pair_hash(hashes[pairs // words], hashes[pairs % words])])
+            level = np.concatenate([level, model.stored.level(grams[words:])])
+            pair += words
             total = lambda values: np.bincount(owner, values, len(texts))  # noqa: E731, B023
             known = frequent[tokens]
             exact = np.where(frequent, np.log10(exact + 1), 0.0)[tokens]
+            decided = (level[before] > 0) & (level[tokens] > 0) & (level[pair] > 0)
+            logs = np.zeros(len(tokens))
+            logs[decided] = log_probabilities(
+                *(level[x[decided]] for x in (before, tokens, pair)), model.tokens + model.types)
+
+            def lists(owners, *values):
+                ends = np.searchsorted(owners, np.arange(len(texts) + 1))  # noqa: B023
+                offsets = pa.array(ends.astype(np.int32))
+                return [pa.ListArray.from_arrays(offsets, pa.array(v)) for v in values]
+
+            # Open pairs, one entry for each text and pair.
+            left = np.flatnonzero(~decided)
+            _, place, pair_times = np.unique(
+                owner[left] * len(grams) + pair[left], return_index=True, return_counts=True)
+            left = left[place]
+            named = [owner[left] * len(grams) + x[left] for x in (before, tokens, pair)]
+            asked = np.unique(np.concatenate([x[level[x % len(grams)] == 0] for x in named]))
+            starts = np.searchsorted(asked, owner[left] * len(grams))
+            refs = []
+            for x in named:
+                own = level[x % len(grams)]
+                at = np.searchsorted(asked, x) - starts
+                refs.append(np.where(own == 0, at, -1 - own).astype(np.int32))
             # Rare words: one entry for each text and word.
             places = np.flatnonzero(~known)
             both, times = np.unique(
-                owner[places] * len(hashes) + tokens[places], return_counts=True)
-            ends = np.searchsorted(both // len(hashes), np.arange(len(texts) + 1))
-            offsets = pa.array(ends.astype(np.int32))
+                owner[places] * words + tokens[places], return_counts=True)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([k[0] for k in keys], id_type),
@@ -336,17 +368,81 @@ def _score_texts(shared, id_type: pa.DataType):
                     pa.array(total(known).astype(np.int64)),
                     pa.array(total(exact)),
                     pa.array(total(logs)),
-                    pa.ListArray.from_arrays(
-                        offsets, pa.array(hashes[both % len(hashes)].view(np.int64))),
-                    pa.ListArray.from_arrays(offsets, pa.array(times.astype(np.int32))),
+                    *lists(both // words, hashes[both % words].view(np.int64),
+                           times.astype(np.int32)),
+                    *lists(asked // len(grams), grams[asked % len(grams)].view(np.int64)),
+                    *lists(owner[left], *refs, pair_times.astype(np.int32)),
                 ],
                 names=["doc_id", "held_out", "n_tokens", "n_known", "logs", "score", "rare",
-                       "times"],
+                       "times", "asked", "context", "own", "pair", "pair_times"],
             )
 
     return score
 
 
+# -- the tail -----------------------------------------------------------------------
+
+
+def _probe_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(segment, row, pos, hash, n) rows in order, a segment's counts (row -1) before its
+    probes, to the (row, place and level) of the probes found."""
+    current, stored = None, FrequencyFilter(np.zeros((1, SEGMENT_BITS // 8), np.uint8))
+    for batch in batches:
+        segment, row, pos, hashes, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        hashes = hashes.view(np.uint64)
+        cuts = np.flatnonzero((segment[1:] != segment[:-1])) + 1
+        for low, high in zip([0, *cuts], [*cuts, len(segment)], strict=True):
+            if low == high:
+                continue
+            if segment[low] != current:
+                current = segment[low]
+                stored.bits[:] = 0
+            probes = low + int(np.searchsorted(row[low:high], 0))
+            if low < probes:
+                _put(stored.bits[0], hashes[low:probes], levels(n[low:probes]))
+            level = stored.level(hashes[probes:high])
+            some = np.flatnonzero(level)
+            if len(some):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(row[probes:high][some]),
+                     pa.array(pos[probes:high][some].astype(np.int64) << 8 | level[some])],
+                    names=["row", "found"])
+
+
+def tail_levels(tail: DataFrame, asked: DataFrame) -> DataFrame:
+    """(row, found): of each row's ``asked`` n-grams in ``tail``, the place << 8 | level."""
+    base = F.lit(float(np.log(LEVEL_BASE)))
+    entries = tail.agg(F.sum(1 + F.floor(F.log("n") / base)).alias("n")).first().n or 0
+    segments = max(1, -(-entries * BITS_PER_ENTRY // SEGMENT_BITS))
+    counts = tail.select(
+        F.lit(-1).cast("long").alias("row"), F.lit(0).alias("pos"), "hash", "n")
+    probes = asked.select("row", F.posexplode("asked").alias("pos", "hash")).withColumn(
+        "n", F.lit(0).cast("long"))
+    dealt = counts.unionByName(probes).select(
+        F.pmod(F.xxhash64("hash"), F.lit(segments)).alias("segment"), "row", "pos", "hash", "n")
+    found = (
+        dealt.repartition("segment").sortWithinPartitions("segment", "row")
+        .mapInArrow(_probe_segments, "row long, found long")
+    )
+    return found.groupBy("row").agg(F.collect_list("found").alias("found"))
+
+
+def _open_pairs(total: int):
+    def add(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        """The logs of a text's open pairs, by the levels found in the tail."""
+        for part in parts:
+            sums = []
+            for size, found, *refs, times in zip(*part, strict=True):
+                level = np.zeros(size + 1, np.int64)
+                if found is not None:
+                    level[found >> 8] = found & 255
+                known = [np.where(r >= 0, level[np.maximum(r, 0)], -1 - r) for r in refs]
+                sums.append(float(log_probabilities(*known, total) @ times))
+            yield pd.Series(sums, dtype=float)
+
+    return add
+
+
 def score_documents(docs: DataFrame, held_out: Column) -> DataFrame:
     """All documents scored by a model of those where ``held_out`` does not hold."""
     spark = ship_package(docs.sparkSession)
@@ -365,14 +461,10 @@ def score_documents(docs: DataFrame, held_out: Column) -> DataFrame:
     hashes = top["hash"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(hashes)
     frequent, counts = hashes[order], top["n"].to_numpy(np.int64)[order]
-    names = spark.sparkContext.broadcast(frequent)
-    pairs = (
-        training.mapInArrow(_count_pairs(names), counted).groupBy("hash").agg(F.sum("n").alias("n"))
-    )
-    stored = written(
-        vocabulary.unionByName(pairs).where(F.col("n") * STORED >= n), "stored-counts"
-    )
-    model = spark.sparkContext.broadcast(Model(frequent, counts, build_filter(stored), n, v))
+    pairs = training.mapInArrow(_count_pairs, counted).groupBy("hash").agg(F.sum("n").alias("n"))
+    stored = written(vocabulary.unionByName(pairs), "stored-counts")
+    head = build_filter(stored.where(F.col("n") * STORED >= n))
+    model = spark.sparkContext.broadcast(Model(frequent, counts, head, n, v))
 
     id_type = pa.int64() if dict(docs.dtypes)["doc_id"] == "bigint" else pa.string()
     kind = "long" if id_type == pa.int64() else "string"
@@ -390,7 +482,9 @@ def score_documents(docs: DataFrame, held_out: Column) -> DataFrame:
         F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("logs2")
     )
     none = F.log10(F.lit(float(n + v + 1)))
-    return scored.join(known, "row", "left").select(
+    found = tail_levels(stored.where(F.col("n") * STORED < n), scored)
+    more = pandas_udf(_open_pairs(n + v), "double")
+    return scored.join(found, "row", "left").join(known, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
@@ -398,7 +492,8 @@ def score_documents(docs: DataFrame, held_out: Column) -> DataFrame:
         F.lit(n).cast("long").alias("train_tokens"),
         (F.col("logs") + F.coalesce("logs2", F.lit(0.0)) - F.col("n_tokens") * none)
         .alias("base_score"),
-        "score",
+        (F.col("score")
+         + more(F.size("asked"), "found", "context", "own", "pair", "pair_times")).alias("score"),
     )
 
 

@@ -74,3 +74,29 @@ def test_nulls_repeats_and_clashing_columns(documents):
     assert score_documents(documents([]), F.lit(False)).count() == 0
     alone = score_documents(documents([(1, "a")]), F.lit(True)).first()
     assert (alone.base_score, alone.score, alone.train_tokens) == (0.0, 0.0, 0)
+
+
+@pytest.mark.parametrize("stored", [1 << 23, 300, 1])  # 1: all is in the tail
+def test_rare_words_and_pairs_count(spark, sf_dir, monkeypatch, stored):
+    monkeypatch.setattr(scoring, "STORED", stored)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    held = {d.doc_id: zlib.crc32(str(d.doc_id).encode()) % 7 == 2 for d in docs}
+    words, pairs = Counter(), Counter()
+    for d in docs:
+        if not held[d.doc_id]:
+            tokens = tokens_of(d.text)
+            words.update(tokens)
+            pairs.update(zip(["\n", *tokens], tokens))
+    n, v = sum(words.values()), len(words)
+    count = lambda c: float(level_counts(levels(np.array([c])))[0]) if c else 0.0
+    off = []
+    for r in op5_scoring(spark, sf_dir).collect():
+        tokens = tokens_of(next(d.text for d in docs if d.doc_id == r.doc_id))
+        want = 0.0
+        for a, b in zip(["\n", *tokens], tokens):
+            c, own = count(words[a]), count(words[b])
+            pair = min(count(pairs[a, b]), c, own)
+            alone = min(1.0, (own + 1) / (n + v + 1))
+            want += math.log10((pair + 20 * alone) / (c + 20))
+        off.append(abs(r.score - want) / abs(want))
+    assert max(off) < 0.05 and sum(off) / len(off) < 0.01
