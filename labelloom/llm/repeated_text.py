@@ -16,7 +16,8 @@ lowest: equal windows have equal anchors at the same place. So
    moved. Runs of very frequent anchors are split by the anchor's place in the window, and
    dealt by the text that all windows of a piece have in common: different surroundings of
    one passage go to different shards, and equal windows still meet;
-4. a shard sorts its suffixes by induction (see ``induced_sorting``), with queues on disk.
+4. a shard sorts its suffixes by induction (see ``induced_sorting``), with queues on disk. It
+   must fit in memory all the same: its text and its sorted suffixes are held whole.
    Neighbours whose common prefix reaches ``LENGTH`` are equal windows, and all but the
    first are removed.
 
