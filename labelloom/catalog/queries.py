@@ -401,8 +401,7 @@ def changed_corpora(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def write(text: Column) -> CorpusScan:
         columns = ["doc_id", "source", text.alias("text")]
-        marked.select(*columns).coalesce(1).sortWithinPartitions("doc_id").write.mode(
-            "overwrite").parquet(path)
+        by_range(marked.select(*columns), "doc_id").write.mode("overwrite").parquet(path)
         return CorpusScan(spark, (path,), "doc_id", "text", F.col("source"))
 
     job.run(write(F.col("text")))
@@ -416,6 +415,12 @@ def changed_corpora(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def by_range(rows: DataFrame, key: str) -> DataFrame:
+    """Rows in order of ``key`` over several partitions, equal keys in the same one."""
+    slots = max(2, rows.sparkSession.sparkContext.defaultParallelism)
+    return rows.repartitionByRange(slots, key).sortWithinPartitions(key)
+
+
 def written_rows(spark: SparkSession, rows: DataFrame, path: str) -> DataFrame:
     rows.write.parquet(path)
     return spark.read.parquet(path)
@@ -518,7 +523,7 @@ def partial_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     answers = parse_annotations(_first_answers(spark, sf_dir)).filter("annotation IS NOT NULL")
     parts = answers.select("id", "annotation.*")
     for number, name in enumerate(("tmp", "part1", "part2", "part4")):
-        parts.filter(F.col("id") % 4 == number).coalesce(1).sortWithinPartitions("id").write.parquet(
+        by_range(parts.filter(F.col("id") % 4 == number), "id").write.parquet(
             f"{root}/all/{SETTINGS.model_slug}.{name}.parquet")
     listed = partial_outputs(spark, root).select("path").collect()
     ranked = positions.with_rank(read_parts(spark, [r.path for r in listed]), ["dataset"])
