@@ -10,7 +10,9 @@ Tokens labelled with enough certainty that no base span touches are added as spa
 spans always stay.
 
 The weights are learned here, by pseudo-likelihood, from base spans of a sample of at most
-``SAMPLE_DOCUMENTS`` documents that have any, chosen by a hash of their id. Weakened mentions
+``SAMPLE_DOCUMENTS`` documents that have any, chosen by a hash of their id. Of a document,
+the sample holds the ``SAMPLE_TOKENS`` candidates nearest to base spans, each cut to
+``SAMPLE_CHARACTERS`` characters; this bounds learning alone, finding reads whole texts. Weakened mentions
 of the spans found (other separators, no plus sign, no domain ending) are added to the
 sample, so that the field learns what repeated mentions look like.
 
@@ -39,6 +41,7 @@ from labelloom.llm.shared import read_table
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCUMENTS = 1500
 SAMPLE_TOKENS = 400  # candidates of a document in the sample, at most
+SAMPLE_CHARACTERS = 200  # of a candidate in the sample, at most
 LEAST_CERTAIN = 0.9
 GRAPH_TOKENS = 20_000  # candidates of whole documents that are labelled at once, about
 ROUNDS, DAMPING = 12, 0.3
@@ -330,18 +333,33 @@ def learn_from(docs: DataFrame) -> Weights | None:
 
 
 def _condensed(text: str) -> str | None:
-    if not base_spans(text):
+    spans = base_spans(text)
+    if not spans:
         return None
     parts, end = [], 0
-    for n, m in enumerate(CANDIDATE.finditer(text)):
-        if n >= SAMPLE_TOKENS:
-            return None
+    for m in _around(spans, list(CANDIDATE.finditer(text))):
         gap = text[end : m.start()]
-        parts += [gap if len(gap) <= 1 else " so ", m[0][:200]]
+        parts += [gap if len(gap) <= 1 else " so ", m[0][:SAMPLE_CHARACTERS]]
         end = m.end()
     return "".join(parts)
 
 
+def _around(spans: list[tuple[int, int, int]], tokens: list[re.Match]) -> list[re.Match]:
+    """The ``SAMPLE_TOKENS`` candidates nearest to those that base spans touch, in order."""
+    if len(tokens) <= SAMPLE_TOKENS:
+        return tokens
+    starts = np.array([m.start() for m in tokens])
+    ends = np.array([m.end() for m in tokens])
+    touched = np.zeros(len(tokens), bool)
+    for start, _, end in spans:
+        touched[np.searchsorted(ends, start, "right") : np.searchsorted(starts, end)] = True
+    places, base = np.arange(len(tokens)), np.flatnonzero(touched)
+    after = np.searchsorted(base, places)
+    far = np.minimum(np.abs(places - base[np.maximum(after - 1, 0)]),
+                     np.abs(places - base[np.minimum(after, len(base) - 1)]))
+    return [tokens[i] for i in np.sort(np.argsort(far, kind="stable")[:SAMPLE_TOKENS])]
+
+
 def _named(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in sorted(spans))
 

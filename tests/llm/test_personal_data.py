@@ -113,3 +113,12 @@ def test_documents_are_labelled_alike_in_any_portion(monkeypatch):
     whole = added_spans(texts, base, learned)
     monkeypatch.setattr(personal_data, "GRAPH_TOKENS", 3)
     assert added_spans(texts, base, learned) == whole and any(whole)
+
+
+def test_long_documents_are_in_the_sample_around_their_base_spans():
+    numbers = " ".join(map(str, range(1000)))
+    text = personal_data._condensed(f"{numbers} a@b.cd {numbers} 10.2.3.4 {numbers}")
+    assert [text[s:e] for s, _, e in base_spans(text)] == ["a@b.cd", "10.2.3.4"]
+    assert len(text.split()) - text.split().count("so") == personal_data.SAMPLE_TOKENS
+    many = personal_data._condensed("a@b.cd " * 1000)
+    assert len(base_spans(many)) == personal_data.SAMPLE_TOKENS
