@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+#: The checksum of the text {0}, all ASCII, bit by bit.
+CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+    range(1, length({0}) + 1), lambda i: list_transform(range(8),
+    lambda j: ((ord(substring({0}, i::INT, 1)) >> j::INT) & 1)::BIGINT)))),
+    lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1))))"""
+
 OP6_SQL = """
 WITH RECURSIVE worded AS (
   SELECT doc_id, regexp_extract_all(
