@@ -276,8 +276,16 @@ def faulty_rows(conversations: DataFrame) -> DataFrame:
     )
 
 
-def pieces_of(rows: DataFrame) -> tuple[DataFrame, bool]:
-    """``conv_id, piece, rows, letters``, and whether any conversation has several pieces.
+def _held(rows: DataFrame) -> DataFrame:
+    held = rows.groupBy("conv_id", "piece").agg(
+        F.sort_array(F.collect_list(F.struct("turn", "role", "text", "copy", "letter")))
+        .alias("rows"))
+    letters = F.array_join(F.transform("rows", lambda r: r["letter"]), "")
+    return held.withColumn("letters", letters)
+
+
+def pieces_of(rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``conv_id, piece, rows, letters``: conversations of one piece, and pieces of others.
 
     Rows of long conversations are range-sorted over all tasks, and cut by count inside each.
     """
@@ -285,26 +293,21 @@ def pieces_of(rows: DataFrame) -> tuple[DataFrame, bool]:
     long = written(
         rows.groupBy("conv_id").agg(F.count("*").alias("n")).where(F.col("n") > PIECE_ROWS)
         .select("conv_id", F.lit(True).alias("long")), "long-conversations")
-    many = long.limit(1).count() > 0
-    if many:
-        marked = _same(rows, small_enough(long, BROADCAST_ROWS), ["conv_id"], "left")
-        order = ["conv_id", "turn", "role", "text", "copy"]
-        placed = (
-            marked.where("long").drop("long").repartitionByRange(*order)
-            .sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
-        )
-        within = F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
-        piece = F.col("at") - within % F.lit(PIECE_ROWS)
-        rows = marked.where("long IS NULL").drop("long").withColumn(
-            "piece", F.lit(0).cast("long")
-        ).unionByName(placed.withColumn("piece", piece).drop("at"))
-    else:
-        rows = rows.withColumn("piece", F.lit(0).cast("long"))
-    held = rows.groupBy("conv_id", "piece").agg(
-        F.sort_array(F.collect_list(F.struct("turn", "role", "text", "copy", "letter")))
-        .alias("rows"))
-    letters = F.array_join(F.transform("rows", lambda r: r["letter"]), "")
-    return held.withColumn("letters", letters), many
+    whole = F.lit(0).cast("long")
+    if long.limit(1).count() == 0:
+        return _held(rows.withColumn("piece", whole)), None
+    marked = _same(rows, small_enough(long, BROADCAST_ROWS), ["conv_id"], "left")
+    order = ["conv_id", "turn", "role", "text", "copy"]
+    placed = (
+        marked.where("long").drop("long").repartitionByRange(*order)
+        .sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
+    )
+    within = F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    piece = F.col("at") - within % F.lit(PIECE_ROWS)
+    return (
+        _held(marked.where("long IS NULL").drop("long").withColumn("piece", whole)),
+        _held(placed.withColumn("piece", piece).drop("at")),
+    )
 
 
 @F.pandas_udf(T.ArrayType(T.IntegerType()))
@@ -362,32 +365,36 @@ def _chain(id_type: str, column: str, backwards: bool):
     return chain, ", ".join(fields)
 
 
-def with_edits(pieces: DataFrame, many: bool) -> DataFrame:
-    """``pieces`` with ``edits`` and their ``cost``."""
-    if not many:
-        placed = pieces.withColumns(
-            {"first": F.lit(0), "after": F.lit(0), "last": F.lit(True)})
-    else:
-        pieces = written(pieces, "conversation-pieces")
-        keys = ["conv_id", "piece"]
-        kind = dict(pieces.dtypes)["conv_id"]
-        back, made = _chain(kind, "becomes", True)
-        after = written(
-            pieces.select(*keys, becomes("letters").alias("becomes")).groupBy("conv_id")
-            .applyInPandas(back, made), "what-follows")
-        onward, made = _chain(kind, "ends", False)
-        first = (
-            _same(pieces.select(*keys, "letters"), after, keys, "inner")
-            .select(*keys, ends("letters", "after").alias("ends")).groupBy("conv_id")
-            .applyInPandas(onward, made)
-        )
-        placed = _same(_same(pieces, after, keys, "inner"), first, keys, "inner")
-    edited = placed.withColumn("e", edits_of("letters", "first", "after", "last"))
+def _with_edits(pieces: DataFrame) -> DataFrame:
+    edited = pieces.withColumn("e", edits_of("letters", "first", "after", "last"))
     return edited.select(
         "conv_id", "piece", "rows", "letters", F.col("e.edits").alias("edits"),
         F.col("e.cost").alias("cost"))
 
 
+def with_edits(single: DataFrame, long: DataFrame | None) -> DataFrame:
+    """All pieces with ``edits`` and their ``cost``; only long conversations are chained."""
+    edited = _with_edits(
+        single.withColumns({"first": F.lit(0), "after": F.lit(0), "last": F.lit(True)}))
+    if long is None:
+        return edited
+    pieces = written(long, "conversation-pieces")
+    keys = ["conv_id", "piece"]
+    kind = dict(pieces.dtypes)["conv_id"]
+    back, made = _chain(kind, "becomes", True)
+    after = written(
+        pieces.select(*keys, becomes("letters").alias("becomes")).groupBy("conv_id")
+        .applyInPandas(back, made), "what-follows")
+    onward, made = _chain(kind, "ends", False)
+    first = (
+        _same(pieces.select(*keys, "letters"), after, keys, "inner")
+        .select(*keys, ends("letters", "after").alias("ends")).groupBy("conv_id")
+        .applyInPandas(onward, made)
+    )
+    placed = _same(_same(pieces, after, keys, "inner"), first, keys, "inner")
+    return edited.unionByName(_with_edits(placed))
+
+
 def edited_pieces(conversations: DataFrame) -> DataFrame:
     """``conv_id, piece, rows, letters, edits, cost, steps``; pieces in order of number.
 
