@@ -56,11 +56,31 @@ def lag_classes(n: int, words: int, periods: int) -> Iterator[tuple[int, int, in
         low *= 2
 
 
+class Numbers(dict):
+    """Words by number, in order of their first use."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 class Grams:
-    """Numbers of the k-grams of a document for growing k; equal ones have equal numbers."""
+    """Numbers of the k-grams of a document for growing k; 0 for those that occur once.
+
+    Equal grams have equal numbers. Only places whose gram occurs again are looked at when k
+    grows, as no gram around another occurs more often.
+    """
 
     def __init__(self, words: np.ndarray):
-        self.size, self.number = 1, np.unique(words, return_inverse=True)[1]
+        self.size, self.number = 1, self._numbered(words, np.arange(len(words)), len(words))
+
+    @staticmethod
+    def _numbered(keys: np.ndarray, places: np.ndarray, n: int) -> np.ndarray:
+        number = np.zeros(n, np.int64)
+        if len(keys):
+            _, own, times = np.unique(keys, return_inverse=True, return_counts=True)
+            number[places] = np.where(times > 1, np.arange(1, len(times) + 1), 0)[own]
+        return number
 
     def grow(self, size: int) -> np.ndarray:
         """By pairs of overlapping grams that cover a larger one, doubled till it is reached."""
@@ -68,8 +88,9 @@ class Grams:
             wider = min(size, 2 * self.size)
             step = wider - self.size
             front, back = self.number[:-step], self.number[step:]
-            both = front * (int(self.number.max(initial=0)) + 1) + back
-            self.number = np.unique(both, return_inverse=True)[1]
+            places = np.flatnonzero((front > 0) & (back > 0))
+            both = front[places] * (int(self.number.max(initial=0)) + 1) + back[places]
+            self.number = self._numbered(both, places, len(front))
             self.size = wider
         return self.number
 
@@ -103,10 +124,11 @@ def runs_of(
         if size > len(words):
             break
         number = grams.grow(size)
-        order = np.argsort(number, kind="stable")
-        again = number[order[1:]] == number[order[:-1]]
-        if not again.any():
+        order = np.flatnonzero(number)
+        if not len(order):
             break  # nor does any longer gram occur twice
+        order = order[np.argsort(number[order], kind="stable")]
+        again = number[order[1:]] == number[order[:-1]]
         place, lag = order[:-1][again], (order[1:] - order[:-1])[again]
         own = (lag >= low) & (lag < high)
         place, lag = place[own], lag[own]
@@ -163,7 +185,7 @@ def _search_texts(least_words: int, least_periods: int):
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(doc_id, text) to the document's number of words, runs, and text without repeats."""
-        ids, texts, numbered, names, size = [], [], [], {}, 0
+        ids, texts, numbered, names, size = [], [], [], Numbers(), 0
 
         def made() -> pa.RecordBatch:
             sizes = np.array([len(n) for n in numbered], np.int64)
@@ -187,13 +209,12 @@ def _search_texts(least_words: int, least_periods: int):
             for i, text in enumerate(batch.column(1)):
                 words = (text.as_py() or b"").split()
                 texts.append(words)
-                numbered.append(np.fromiter(
-                    (names.setdefault(w, len(names)) for w in words), np.int64, len(words)))
+                numbered.append(np.fromiter(map(names.__getitem__, words), np.int64, len(words)))
                 size += len(words)
                 if size > CHUNK_WORDS:
                     ids.append(batch.column(0)[done : i + 1])
                     yield made()
-                    ids, texts, numbered, names, size, done = [], [], [], {}, 0, i + 1
+                    ids, texts, numbered, names, size, done = [], [], [], Numbers(), 0, i + 1
             if done < batch.num_rows:
                 ids.append(batch.column(0)[done:])
         if ids:
@@ -227,7 +248,7 @@ def planted(text: Column, doc_id: Column) -> Column:
     h = F.crc32(doc_id.cast("string").cast("binary"))
     g = F.floor(h / 10)
 
-    def repeated(words: Column) -> Column:
+    def repeated(words: Column) -> Column:  # of a variable, so words are split once
         n = F.size(words)
         a = g % n
         p = 1 + F.floor((n - a) / (3 + g % 8))
@@ -235,7 +256,8 @@ def planted(text: Column, doc_id: Column) -> Column:
         return F.when(n > 0, F.array_join(
             F.transform(F.sequence(F.lit(0), n - 1), word), " ")).otherwise(text)
 
-    return F.when(h % 10 == 0, repeated(words_of(text))).otherwise(text)
+    return F.when(
+        h % 10 == 0, F.transform(F.array(words_of(text)), repeated)[0]).otherwise(text)
 
 
 def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
