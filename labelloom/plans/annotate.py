@@ -1,6 +1,6 @@
 """Annotating corpora: a resumable job over parquet tables.
 
-Four tables live below one root:
+Four tables live below one root (and ``calls``, answers that no table has yet):
 
 * ``responses``    every model answer, appended per attempt, with its row key;
 * ``files``        every version of a file that a run has seen, the last one being current;
@@ -36,6 +36,7 @@ from pyspark.sql import types as T
 
 from labelloom.functions.validation import with_reject_reasons
 from labelloom.operators import resume
+from labelloom.operators.call_log import CallLog
 from labelloom.operators.model_call import ClientFactory, TextAnnotator, spread
 from labelloom.operators.resume import (
     completeness,
@@ -57,6 +58,7 @@ from labelloom.plans.attempts import (
 )
 from labelloom.settings import Settings
 from labelloom.sources.corpora import CorpusScan, corpus_counts, file_versions
+from labelloom.sources.files import delete_folder, full_address
 from labelloom.sources.tables import ensure_table
 from labelloom.taxonomy import ANNOTATION_TYPE
 
@@ -155,6 +157,25 @@ class AnnotationJob:
     def annotations_path(self) -> str:
         return annotations_path(self.root, self.settings)
 
+    @cached_property
+    def _address(self) -> str:
+        return full_address(self.spark, self.root, self._tables["files"][0])
+
+    def call_log(self, attempt: int) -> CallLog | None:
+        """Answers not yet in the response table; the place is one that tasks can write to."""
+        if not self.settings.log_answers:
+            return None
+        slug = self.settings.model_slug
+        return CallLog(
+            f"{self._address}/calls/model_slug={slug}/attempt={attempt}",
+            self.settings.batch_rows,
+        )
+
+    def _forget_calls(self, attempt: int, parts: list[str] | None = None) -> None:
+        log = self.call_log(attempt)
+        if log:
+            log.forget(parts)
+
     def _attempt_path(self, attempt: int) -> str:
         return f"{self.root}/responses/model_slug={self.settings.model_slug}/attempt={attempt}"
 
@@ -308,6 +329,8 @@ class AnnotationJob:
         with ThreadPoolExecutor(self.settings.commits_at_once) as pool:
             for done in [pool.submit(self._call, scan.only(p), known) for p, known in commits]:
                 done.result()
+        if commits:
+            self._forget_calls(1)
 
     def _commits(self, paths: list[str]) -> Iterable[list[str]]:
         """One job per ``parts_per_commit`` files; a finished job is never redone."""
@@ -317,18 +340,21 @@ class AnnotationJob:
     def _call(self, scan: CorpusScan, known: bool) -> None:
         documents = spread(scan.documents(), self.settings.slots, "part", "pos")
         self.call_documents(documents, self._known(1) if known else None)
+        self._forget_calls(1, list(scan.paths))
 
     def _known(self, attempt: int) -> DataFrame:
         return self.responses(attempt).filter(F.col("outcome") != ERROR)
 
     def carry_over(self, scan: CorpusScan) -> None:
-        """Give rows of changed files the answers that their content had before."""
+        """Give rows of changed files the answers that their content had last."""
         rows = scan.documents().select(
             "part", "version", "pos", row_digest(F.col("id"), F.col("text")).alias("digest"),
             folder_of(F.col("part")).alias("folder"),
         )
         columns = _responses_type(self.id_type).fieldNames()
         content = ["folder", "digest"]
+        stamps = self._table("files").groupBy("part", "version").agg(
+            F.max("stamp").alias("stamp"))
         kept = [c for c in columns if c not in ("part", "version", "pos", "digest")]
         for attempt in (1, 2):
             answers = self._known(attempt)
@@ -340,7 +366,8 @@ class AnnotationJob:
                 )
             earlier = (
                 answers.withColumn("folder", folder_of(F.col("part")))
-                .groupBy(*content).agg(F.first(F.struct(*kept)).alias("had"))
+                .join(stamps, ["part", "version"], "left").groupBy(*content)
+                .agg(F.max_by(F.struct(*kept), F.struct("stamp", "part", "pos")).alias("had"))
             )
             carried = pending_rows(rows, answers).join(earlier, content).select(
                 "part", "digest", "version", "pos", "had.*"
@@ -353,7 +380,8 @@ class AnnotationJob:
         if earlier is not None:
             documents = pending_rows(documents, earlier)
         self._append(
-            first_attempt(documents, self.counter, self.client_factory, self.settings), 1
+            first_attempt(documents, self.counter, self.client_factory, self.settings,
+                          self.call_log(1)), 1
         )
 
     def call_retries(self, parts: Sequence[str] | None = None) -> None:
@@ -369,10 +397,11 @@ class AnnotationJob:
         self._append(
             second_attempt(
                 spread(retries, self.settings.slots, "part", "pos"),
-                self.counter, self.client_factory, self.settings,
+                self.counter, self.client_factory, self.settings, self.call_log(2),
             ),
             2,
         )
+        self._forget_calls(2)
 
     def _append(self, outcomes: DataFrame, attempt: int) -> None:
         self._append_rows(str(attempt), outcomes)
@@ -443,9 +472,24 @@ class AnnotationJob:
             .sortWithinPartitions("dataset", "part", "pos")
         )
         marks = self._marks().filter(F.col("dataset").isin(names))
+        found = {r.dataset for r in marks.select("dataset").collect()}
         replace_corpora(records(in_order), self.annotations_path)
+        none = [name for name in names if name not in found]
+        if none:
+            self._drop_annotations(none)
+            gone = self.spark.createDataFrame([(name, 0, 0) for name in none],
+                                              "dataset string, mark long, n_rows long")
+            marks = marks.unionByName(gone)
         self._append_rows("derived", marks.withColumn("stamp", F.lit(_now())))
 
+    def _drop_annotations(self, datasets: list[str]) -> None:
+        """Corpora that have no accepted row any more lose their files, as none replaces them."""
+        file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+        folder = F.regexp_extract(file, "^(.*)/[^/]*$", 1)
+        old = self.annotations().filter(F.col("dataset").isin(datasets))
+        for row in old.select(folder.alias("folder")).distinct().collect():
+            delete_folder(row.folder)
+
     # -- checks -----------------------------------------------------------------
 
     def states(self, scan: CorpusScan) -> DataFrame:

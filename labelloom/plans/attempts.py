@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from labelloom.functions.prompts import fits_context, user_prompt
 from labelloom.functions.validation import parse_annotations
+from labelloom.operators.call_log import CallLog
 from labelloom.operators.model_call import (
     ClientFactory,
     TextAnnotator,
@@ -65,22 +66,33 @@ def retry_bounds(first: DataFrame, counter: Counter, settings: Settings) -> Data
     )
 
 
+def _row(log: CallLog | None) -> list[Column]:
+    return [F.col(c) for c in ("part", "version", "pos")] if log else []
+
+
 def answered(
-    bounded: DataFrame, client_factory: ClientFactory, settings: Settings, attempt: int
+    bounded: DataFrame,
+    client_factory: ClientFactory,
+    settings: Settings,
+    attempt: int,
+    log: CallLog | None = None,
 ) -> DataFrame:
     """Add ``raw``, ``error`` and ``annotation``. Texts are whole; only prompts are cut."""
     prompt = user_prompt(F.col("text"), F.col("char_limit"))
-    response = model_response(prompt, client_factory, settings, attempt)
+    response = model_response(prompt, client_factory, settings, attempt, _row(log), log)
     return parse_annotations(
         bounded.withColumn("_response", response).select(*bounded.columns, "_response.*")
     )
 
 
 def text_annotations(
-    documents: DataFrame, annotator: TextAnnotator, settings: Settings
+    documents: DataFrame,
+    annotator: TextAnnotator,
+    settings: Settings,
+    log: CallLog | None = None,
 ) -> DataFrame:
     """Outcomes of an annotator of whole texts: its records, unchecked, in one attempt."""
-    record = text_record(F.col("text"), annotator, settings)
+    record = text_record(F.col("text"), annotator, settings, _row(log), log)
     outcome = (
         F.when(F.col("text").isNull(), REFUSED)
         .when(F.col("error").isNotNull(), ERROR)
@@ -100,14 +112,18 @@ def text_annotations(
 
 
 def first_attempt(
-    documents: DataFrame, counter: Counter, client_factory: ClientFactory, settings: Settings
+    documents: DataFrame,
+    counter: Counter,
+    client_factory: ClientFactory,
+    settings: Settings,
+    log: CallLog | None = None,
 ) -> DataFrame:
     """Outcomes of attempt 1. ``text`` stays with rows to retry, so that the second
     attempt never goes back to the corpus; it is dropped everywhere else."""
     if isinstance(client_factory, TextAnnotator):
-        return text_annotations(documents, client_factory, settings)
+        return text_annotations(documents, client_factory, settings, log)
     called = answered(
-        bounded_prompts(documents, counter, settings), client_factory, settings, 1
+        bounded_prompts(documents, counter, settings), client_factory, settings, 1, log
     )
     outcome = (
         F.when(F.col("text").isNull(), REFUSED)
@@ -121,12 +137,16 @@ def first_attempt(
 
 
 def second_attempt(
-    retries: DataFrame, counter: Counter, client_factory: ClientFactory, settings: Settings
+    retries: DataFrame,
+    counter: Counter,
+    client_factory: ClientFactory,
+    settings: Settings,
+    log: CallLog | None = None,
 ) -> DataFrame:
     """Outcomes of attempt 2, for the rows attempt 1 left to retry."""
     called = answered(
         retry_bounds(retries.drop("raw", "error", "annotation", "outcome"), counter, settings),
-        client_factory, settings, 2,
+        client_factory, settings, 2, log,
     )
     outcome = (
         F.when(F.col("error").isNotNull(), ERROR)

@@ -54,7 +54,8 @@ class Collection:
             routed = routed.filter(F.col("dataset") == dataset)
         else:
             routed = routed.join(list_corpora(routed), "dataset", "left_semi")
-        return require_available(routed, dataset).select("dataset", "path")
+        listed = local.unionByName(fallback)
+        return require_available(routed, dataset, listed).select("dataset", "path")
 
     def scans(self, files: DataFrame) -> dict[str, CorpusScan]:
         """A scan for each type of ids, over all given files.

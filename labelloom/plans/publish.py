@@ -37,7 +37,8 @@ def published_rows(spark: SparkSession, target: str) -> DataFrame:
     """All published annotations, read from where the manifest says they are."""
     places = [
         f"{target}/{row.location}"
-        for row in published_manifest(spark, target).select("location").distinct().collect()
+        for row in published_manifest(spark, target).filter("n_rows > 0")
+        .select("location").distinct().collect()
     ]
     reader = spark.read.option("basePath", f"{target}/annotations")
     return reader.parquet(*places).drop("model_slug")
@@ -86,8 +87,10 @@ def publish(
     location = F.format_string(
         f"annotations/model_slug={settings.model_slug.replace('%', '%%')}/dataset=%s", "dataset"
     )
+    counted = waiting.select("dataset").join(corpus_counts(ready), "dataset", "left").select(
+        "dataset", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
     (
-        corpus_counts(ready)
+        counted
         .select(
             "dataset",
             output_path(settings).alias("path"),

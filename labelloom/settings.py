@@ -15,7 +15,9 @@ class Settings:
     where the scan has them. In-flight requests on the whole cluster are running tasks x
     ``requests_per_task``. ``parts_per_commit`` files make a commit, and
     ``commits_at_once`` commits run side by side, so that none waits for another's slowest
-    task. ``batch_rows`` is the batch of ``batch_plan``; calls have batches of their own.
+    task. Answers are logged as they come, ``batch_rows`` to a file, so that no lost task or
+    run pays for more than that twice; ``log_answers`` turns this off. ``batch_rows`` is also
+    the batch of ``batch_plan``.
 
     A corpus with refused rows is not complete, unless ``publish_refused`` is set.
     """
@@ -28,6 +30,7 @@ class Settings:
     batch_rows: int = fixed.BATCH_ROWS
     requests_per_task: int = fixed.IN_FLIGHT_REQUESTS
     slots: int | None = None
+    log_answers: bool = True
     parts_per_commit: int = 64
     commits_at_once: int = 4
     publish_refused: bool = False

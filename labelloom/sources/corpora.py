@@ -18,18 +18,25 @@ from dataclasses import dataclass, replace
 from functools import cached_property
 
 import pandas as pd
-from pyarrow.fs import FileSystem, LocalFileSystem
+import pyarrow as pa
+from pyarrow.parquet import ParquetFile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_type
 
 from labelloom.deploy import ship_package
 from labelloom.fixed_values import POINTER_FIRST_LINE, PSEUDO_CORPUS
+from labelloom.sources.files import file_system
+from labelloom.sources.listing import listed_files
 
 FILE_TYPE = T.StructType(
     [T.StructField("dataset", T.StringType()), T.StructField("path", T.StringType())]
 )
-READY, PLACEHOLDER, MISSING = "ready", "placeholder", "missing"
+READY, PLACEHOLDER, EMPTY, MISSING = "ready", "placeholder", "empty", "missing"
+
+#: Files whose footers one task reads.
+FILES_PER_TASK = 64
 
 # What is not part of a line at its ends.
 BLANKS = b" \t\r\x0b\x0c"
@@ -70,28 +77,50 @@ def probe_pointers(paths: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for part in paths:
         found = []
         for path in part:
-            if path.startswith("file:"):
-                system, local = LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
-            else:
-                system, local = FileSystem.from_uri(path)
+            system, local = file_system(path)
             with system.open_input_stream(local) as stream:
                 found.append(starts_with_marker(stream.read))
         yield pd.Series(found, dtype=bool)
 
 
+def read_footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Paths to what the files' footers say: rows, columns and their types."""
+    for batch in batches:
+        paths, rows, columns, types = batch.column(0).to_pylist(), [], [], []
+        for path in paths:
+            system, local = file_system(path)
+            with system.open_input_file(local) as source:
+                footer = ParquetFile(source)
+                rows.append(footer.metadata.num_rows)
+                columns.append(footer.schema_arrow.names)
+                types.append([from_arrow_type(t).simpleString()
+                              for t in footer.schema_arrow.types])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(paths), pa.array(rows, pa.int64()),
+             pa.array(columns, pa.list_(pa.string())), pa.array(types, pa.list_(pa.string()))],
+            names=["path", "n_rows", "columns", "types"])
+
+
+def footers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """``(path, n_rows, columns, types)`` of parquet files, read by tasks from the footers."""
+    ship_package(spark)
+    tasks = max(1, -(-len(paths) // FILES_PER_TASK))
+    listed = spark.createDataFrame([(path,) for path in paths], "path string").repartition(tasks)
+    return listed.mapInArrow(
+        read_footers, "path string, n_rows long, columns array<string>, types array<string>"
+    ).persist()
+
+
 def corpus_files(
     spark: SparkSession, root: str, name: Column | None = None, glob: str = "*.parquet"
 ) -> DataFrame:
-    """``(dataset, path, length, pointer)`` per file below ``root``.
+    """``(dataset, path, length, pointer)`` per file below ``root``, empty ones included.
 
     The listing reads no file. Each file is then opened by a task and read as far as its
     first line may be a pointer's: the test depends on content, not on size.
     """
     ship_package(spark)
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", glob).load(root)
-    )
+    files = listed_files(spark, root, glob)
     dataset = corpus_of_path(F.col("path")) if name is None else name
     probe = F.pandas_udf(probe_pointers, "boolean")
     return files.select(dataset.alias("dataset"), "path", "length").filter(
@@ -100,12 +129,14 @@ def corpus_files(
 
 
 def corpus_manifest(files: DataFrame, names: DataFrame | None = None) -> DataFrame:
-    """``(dataset, status, n_files)``: ready, placeholder or missing.
+    """``(dataset, status, n_files)``: ready, placeholder, empty or missing.
 
-    ``names`` adds wanted corpora that have no file at all.
+    A corpus with a file of zero bytes, which is no parquet file, is ``empty``. ``names`` adds
+    wanted corpora that have no file at all.
     """
     found = files.groupBy("dataset").agg(
-        F.when(F.bool_or("pointer"), PLACEHOLDER).otherwise(READY).alias("status"),
+        F.when(F.bool_or("pointer"), PLACEHOLDER)
+        .when(F.min("length") == 0, EMPTY).otherwise(READY).alias("status"),
         F.count(F.lit(1)).alias("n_files"),
     )
     if names is None:
@@ -145,13 +176,22 @@ def route_files(local: DataFrame, fallback: DataFrame) -> DataFrame:
     return states.join(files, ["dataset", "source"], "left").select("dataset", "path", "source")
 
 
-def require_available(routed: DataFrame, wanted: str | None = None) -> DataFrame:
-    """``routed``, if every corpus in it has files, and ``wanted`` is among them."""
+def require_available(
+    routed: DataFrame, wanted: str | None = None, files: DataFrame | None = None
+) -> DataFrame:
+    """``routed``, if every corpus in it has files, and ``wanted`` is among them.
+
+    ``files`` are those listed: empty ones of corpora that are refused are named.
+    """
     lost = [r.dataset for r in routed.filter("path IS NULL").select("dataset").limit(20).collect()]
     if not lost and wanted is not None and routed.limit(1).count() == 0:
         lost = [wanted]
     if lost:
-        raise UnavailableCorpora(f"no ready files for {', '.join(sorted(lost))}")
+        empty = [] if files is None else [
+            r.path for r in files.filter((F.col("length") == 0) & F.col("dataset").isin(lost))
+            .select("path").orderBy("path").limit(20).collect()]
+        why = f" (empty: {', '.join(empty)})" if empty else ""
+        raise UnavailableCorpora(f"no ready files for {', '.join(sorted(lost))}{why}")
     return routed
 
 
@@ -186,26 +226,30 @@ class CorpusScan:
             raise ValueError(f"{what} lacks column(s) {sorted(missing)}")
 
     def by_id_type(self) -> dict[str, CorpusScan]:
-        """Scans of corpora whose ids have one type each, after a look at every corpus.
+        """Scans of corpora whose ids have one type each, after a look at every file.
 
-        Every file's schema is read from its footer; a corpus whose files' ids differ in
+        Tasks read the files' footers, some files each; a corpus whose files' ids differ in
         type, or that lacks a column, is refused by name.
         """
-        paths: dict[str, list[str]] = {}
-        for path in self.paths:
-            folder = path.rsplit("/", 1)
-            corpus = path if not folder[0].endswith(".parquet") else folder[0]
-            paths.setdefault(corpus, []).append(path)
+        corpus = F.regexp_extract("path", r"^(.*?\.parquet)(?:/[^/]*)?$", 1)
+        found = footers(self.spark, self.paths).withColumn("corpus", corpus).withColumn(
+            "missing", F.array_except(
+                F.array(F.lit(self.id_column), F.lit(self.text_column)), "columns")
+        ).withColumn("kind", F.get("types", F.array_position("columns", self.id_column) - 1))
+        wrong = found.groupBy("corpus").agg(
+            F.array_sort(F.array_distinct(F.flatten(F.collect_set("missing")))).alias("missing"),
+            F.count_distinct("kind").alias("kinds"),
+        ).filter("size(missing) > 0 OR kinds > 1").orderBy("corpus").first()
+        if wrong is not None and wrong.missing:
+            raise ValueError(f"{wrong.corpus} lacks column(s) {wrong.missing}")
+        if wrong is not None:
+            raise ValueError(f"{wrong.corpus} has ids of several types")
         kinds: dict[str, list[str]] = {}
-        for corpus, own in paths.items():
-            for one in own:
-                schema = self.spark.read.parquet(one).schema
-                self._require_columns(schema.names, corpus)
-                kinds.setdefault(schema[self.id_column].dataType.simpleString(), []).append(one)
-            if sum(bool(set(own) & set(k)) for k in kinds.values()) > 1:
-                raise ValueError(f"{corpus} has ids of several types")
+        for row in found.select("path", "kind").collect():
+            kinds.setdefault(row.kind, []).append(row.path)
         return {
-            kind: replace(self, paths=tuple(own), schema=None) for kind, own in kinds.items()
+            kind: replace(self, paths=tuple(sorted(own)), schema=None)
+            for kind, own in sorted(kinds.items())
         }
 
     @cached_property

@@ -197,7 +197,8 @@ def test_any_committed_subset_resumes_to_a_single_run(spark, tmp_path, log, seed
 
 
 def replace_file(spark, path, rows):
-    spark.createDataFrame(rows, "id string, text string").coalesce(1).write.parquet(path + ".new")
+    spark.createDataFrame(rows, "id string, text string").coalesce(1).write.mode("overwrite").parquet(
+        path + ".new")
     (new,) = [f for f in os.listdir(path + ".new") if f.endswith(".parquet")]
     (old,) = [f for f in os.listdir(path) if f.endswith(".parquet")]
     for crc in (f".{old}.crc",):
