@@ -294,6 +294,7 @@ SELECT 'documents' AS dataset, CASE WHEN count(*) > 0 THEN 'ready' END AS status
 UNION ALL SELECT 'pages', CASE WHEN count(*) > 0 THEN 'ready' END FROM pages
 UNION ALL SELECT 'benchmark', CASE WHEN count(*) > 0 THEN 'ready' END FROM benchmark
 UNION ALL SELECT 'conversations', CASE WHEN count(*) > 0 THEN 'ready' END FROM conversations
+UNION ALL SELECT 'nothing', 'empty'
 UNION ALL SELECT 'absent', 'missing'""",
     "part_counts": "SELECT source AS dataset, count(*) AS n_rows FROM documents GROUP BY source",
     "output_paths": f"""
@@ -355,6 +356,12 @@ SELECT dataset, id, {_STUB_FIELDS} FROM accepted WHERE dataset IN (
 SELECT n.dataset, n.id, concat('Prompt of ', n.seen, ' characters.') AS one_sentence_description,
   o.seen IS NULL OR o.seen <> n.seen AS changed
 FROM accepted_2 n LEFT JOIN accepted o USING (id)""",
+    "refused_corpora": f"""{_RUN}
+SELECT dataset, id, concat('Prompt of ', seen, ' characters.') AS one_sentence_description,
+  CAST(NULL AS VARCHAR) AS reason
+FROM accepted WHERE dataset <> 'src3'
+UNION ALL SELECT source, doc_id, NULL, 'null_text'
+FROM documents WHERE source = 'src3' OR text IS NULL""",
     "annotator_records": f"""
 SELECT dataset, id, concat(length(text), ' characters') AS one_sentence_description
 FROM ({DOCS})""",

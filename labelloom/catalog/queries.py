@@ -35,6 +35,7 @@ from labelloom.plans.publish import published_rows as read_published
 from labelloom.settings import Settings
 from labelloom.sources import corpora
 from labelloom.sources.corpora import CorpusScan
+from labelloom.sources.files import file_system, full_address
 from labelloom.sources.parts import merge_parts, partial_outputs, read_parts
 from labelloom.sources.tables import scratch_root
 from labelloom.streaming.incremental import IncrementalAnnotation
@@ -142,11 +143,17 @@ def list_corpora(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def corpus_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """State of the text tables' files, one wanted table being absent."""
+    """State of the text tables' files; one wanted table is absent, one a file of no bytes."""
     name = F.regexp_extract("path", r"/([^/]+)\.parquet(?:/[^/]+)?$", 1)
     files = corpora.corpus_files(spark, sf_dir, name)
-    wanted = files.select("dataset").filter(
-        F.col("dataset").isin("documents", "pages", "benchmark", "conversations")
+    job = _job(spark, "manifest")
+    job.files()  # makes the tables, whose address tells where files of the job are
+    system, folder = file_system(full_address(spark, job.root, f"{job.root}/{_FILES}"))
+    system.create_dir(f"{folder}/lost", recursive=True)
+    system.open_output_stream(f"{folder}/lost/nothing.parquet").close()
+    files = files.unionByName(corpora.corpus_files(spark, f"{job.root}/lost", name))
+    wanted = files.select("dataset").filter(F.col("dataset").isin(
+        "documents", "pages", "benchmark", "conversations", "nothing")
     ).distinct().unionByName(files.select(F.lit("absent").alias("dataset")).distinct())
     return corpora.corpus_manifest(files, wanted).select("dataset", "status")
 
@@ -319,6 +326,9 @@ def annotate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(records(first_attempt(documents, CHARS, PromptSizeModel(), SETTINGS)))
 
 
+_FILES = f"files/model_slug={SETTINGS.model_slug}"
+
+
 def _job(spark: SparkSession, purpose: str, off_label_every: int = 13) -> AnnotationJob:
     ship_package(spark)
     model = PromptSizeModel(flaky=True, off_label_every=off_label_every)
@@ -415,6 +425,26 @@ def changed_corpora(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def refused_corpora(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that were annotated, until those of one source lost their texts.
+
+    What is left are the labels of the others, and a reject for each text that is missing.
+    """
+    job = _job(spark, "refused")
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    path = f"{job.root}/corpora/all.parquet"
+    for text in (F.col("text"), F.when(F.col("source") != "src3", F.col("text"))):
+        rows = documents.withColumn("text", text)
+        by_range(rows, "doc_id").write.mode("overwrite").parquet(path)
+        job.run(CorpusScan(spark, (path,), "doc_id", "text", F.col("source")))
+    labelled = job.annotations().select(
+        "dataset", "id", "one_sentence_description", F.lit(None).cast("string").alias("reason"))
+    missing = job.rejects().filter(F.array_contains("reasons", "null_text")).select(
+        "dataset", "id", F.lit(None).cast("string").alias("one_sentence_description"),
+        F.array_join("reasons", ",").alias("reason"))
+    return labelled.unionByName(missing)
+
+
 def by_range(rows: DataFrame, key: str) -> DataFrame:
     """Rows in order of ``key`` over several partitions, equal keys in the same one."""
     slots = max(2, rows.sparkSession.sparkContext.defaultParallelism)
@@ -675,6 +705,7 @@ QUERIES: dict[str, Query] = {
         alias_field, response_states, reject_reasons, retry_merge, rejects,
         annotate_documents, annotate_corpora, rejected_documents, resumed_corpora,
         incremental_annotate, published_corpora, published_rows, changed_corpora,
+        refused_corpora,
         annotator_records, route_sources, partial_records, resume_pending, resume_rows,
         resume_by_position, batch_plan, merged_parts, skip_published, completeness,
         publishable, overcomplete, orphans, progress, taxonomy_usage, length_bands,
