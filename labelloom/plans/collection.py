@@ -91,7 +91,7 @@ class Collection:
         published = []
         for kind, scan in self.scans(self.files(dataset)).items():
             job = self.job(kind, scan)
-            job.derive_tables(job.stale_corpora())
+            job.derive_tables(job.stale())
             published += self._publish(job, scan)
         return sorted(published)
 

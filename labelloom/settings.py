@@ -13,11 +13,11 @@ class Settings:
 
     ``slots`` deals rows out to that many tasks for the model call; ``None`` leaves them
     where the scan has them. In-flight requests on the whole cluster are running tasks x
-    ``requests_per_task``. ``parts_per_commit`` files make a commit, and
+    ``requests_per_task``. ``parts_per_commit`` files make a bucket and a commit, and
     ``commits_at_once`` commits run side by side, so that none waits for another's slowest
     task. Answers are logged as they come, ``batch_rows`` to a file, so that no lost task or
     run pays for more than that twice; ``log_answers`` turns this off. ``batch_rows`` is also
-    the batch of ``batch_plan``.
+    the batch of ``batch_plan``. A row whose call failed in ``call_tries`` runs is refused.
 
     A corpus with refused rows is not complete, unless ``publish_refused`` is set.
     """
@@ -33,6 +33,7 @@ class Settings:
     log_answers: bool = True
     parts_per_commit: int = 64
     commits_at_once: int = 4
+    call_tries: int = 5
     publish_refused: bool = False
     on_invalid: str = "quarantine"
 

@@ -3,7 +3,8 @@
 The stream is the ledger of files: it yields the names of new files (reading no text),
 commits them in its checkpoint, and hands each micro-batch to the batch job. A batch that
 is replayed after a failure finds its answers in the response table and calls the model
-for none of them, so at-least-once delivery ends in exactly-once results.
+for none of them, so at-least-once delivery ends in exactly-once results. A micro-batch reads
+answers and rewrites annotations of its files' buckets only, however much was answered before.
 """
 
 from __future__ import annotations
@@ -44,10 +45,11 @@ class IncrementalAnnotation:
     def annotate_batch(self, arrivals: DataFrame, _batch: int) -> None:
         parts = sorted(row.part for row in arrivals.distinct().collect())
         if parts:
-            self.job.call_open_parts(self.scan.only(parts))
-            self.job.call_retries(parts)
-            self.job.derive_tables(self.job.stale_corpora())
-            self.job.raise_failures()
+            self.job.call_open_parts(self.scan.only(parts), parts)
+            buckets = self.job.buckets_of(parts)
+            self.job.call_retries(buckets)
+            self.job.derive_tables(self.job.stale(buckets))
+            self.job.settle_failures(buckets)
 
     def start(self, **trigger) -> StreamingQuery:
         return (
