@@ -350,3 +350,84 @@ def test_files_keep_the_input_order(spark, tmp_path, log):
                .load(job.annotations_path).select("path").collect() if r.path.endswith(".parquet")]
     assert pq.read_table(file.removeprefix("file:"))["id"].to_pylist() == [i for i, _ in rows]
 
+
+
+def files_of(folder):
+    return {
+        os.path.join(at, name): os.stat(os.path.join(at, name)).st_mtime_ns
+        for at, _, names in os.walk(folder) for name in names if name.endswith(".parquet")
+    }
+
+
+def test_only_the_buckets_of_new_and_changed_files_are_rewritten(spark, tmp_path, log):
+    path = corpus(spark, tmp_path, "demo", [(f"a{i}", f"old {i}") for i in range(40)], files=4)
+    job = job_of(spark, tmp_path, describing_client(log), parts_per_commit=2)
+    job.run(scan_of(spark, path))
+    before = files_of(job.annotations_path)
+    assert {f.split("bucket=")[1][0] for f in before} == {"0", "1"}
+    # In the order of their names, files fill bucket after bucket.
+    homes = [r.bucket for r in job.files().orderBy("part").collect()]
+    assert homes == [0, 0, 1, 1]
+    # Two more files of another corpus take a new bucket, a third one the next.
+    other = corpus(spark, tmp_path, "other", [(f"b{i}", f"new {i}") for i in range(30)], files=3)
+    job.run(scan_of(spark, path, other))
+    after = files_of(job.annotations_path)
+    assert {f: t for f, t in after.items() if f in before} == before
+    assert {f.split("bucket=")[1][0] for f in set(after) - set(before)} == {"2", "3"}
+    assert job.annotations().count() == 70 and job.stale() == []
+    # A file that arrives later fills the last bucket up; nothing else is touched.
+    corpus(spark, tmp_path, "other", [("b99", "late")])
+    job.run(scan_of(spark, path, other))
+    last = files_of(job.annotations_path)
+    same = {f: t for f, t in after.items() if "bucket=3" not in f}
+    assert {f: t for f, t in last.items() if f in same} == same
+    assert all("bucket=3" in f for f in set(last) - set(after))
+    assert job.annotations().count() == 71 and len(calls(log)) == 71
+
+
+def test_a_bucket_is_brought_up_to_date_without_reading_others(spark, tmp_path, log):
+    path = corpus(spark, tmp_path, "demo", [(f"a{i}", f"cut {i}") for i in range(6)], files=2)
+    job = job_of(spark, tmp_path, describing_client(log), parts_per_commit=1)
+    job.run(scan_of(spark, path))
+    (second,) = [r.part for r in job.files().collect() if r.bucket == 1]
+    assert job.buckets_of([second]) == [1]
+    # Were answers of the other bucket read, its broken files would stop the job.
+    for attempt in (1, 2):
+        for file in files_of(f"{job._attempt_path(attempt)}/bucket=0"):
+            with open(file, "wb") as f:
+                f.write(b"broken")
+    job.call_open_parts(scan_of(spark, path).only([second]), [second])
+    job.call_retries([1])
+    job.derive_tables(job.stale([1]))
+    job.settle_failures([1])
+    assert job.annotations().count() == 6 and len(calls(log)) == 12
+
+
+@pytest.mark.parametrize("text", ["bad", "cut bad"])
+def test_calls_that_keep_failing_end_as_rejects(spark, tmp_path, log, text):
+    """In either attempt; a file that changes gives its rows another try."""
+    path = corpus(spark, tmp_path, "demo", [("a", "fine"), ("b", text)])
+
+    def client(messages, max_tokens, answer_format, call=describing_client(log)()):
+        answer = call(messages, max_tokens, answer_format)
+        if "bad" in messages[1]["content"] and ("cut" not in text or max_tokens == 1024):
+            raise ConnectionError("transport")
+        return answer
+
+    job = job_of(spark, tmp_path, lambda: client, call_tries=2, publish_refused=True)
+    scan = scan_of(spark, path)
+    with pytest.raises(FailedCalls):
+        job.run(scan)
+    assert job.rejects().count() == 0
+    job.run(scan)
+    made = len(calls(log))
+    job.run(scan)
+    assert len(calls(log)) == made == (4 if text.startswith("cut") else 3)
+    (reject,) = job.rejects().collect()
+    assert (reject.id, reject.raw, reject.reasons) == ("b", None, ["call_failed"])
+    assert set(annotated(job)) == {("demo", "a")}
+    assert [r.state for r in job.states(scan).collect()] == ["complete"]
+    replace_file(spark, path, [("a", "fine"), ("b", text), ("c", "more")])
+    with pytest.raises(FailedCalls):
+        job.run(scan_of(spark, path))
+    assert set(annotated(job)) == {("demo", "a"), ("demo", "c")}
