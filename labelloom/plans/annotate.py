@@ -227,8 +227,8 @@ class AnnotationJob:
         last = F.max_by(F.struct("version", "bucket"), "stamp").alias("last")
         return self._table("files").groupBy("part").agg(last).select("part", "last.*")
 
-    def buckets_of(self, parts: Sequence[str]) -> list[int]:
-        own = self._table("files").filter(F.col("part").isin(list(parts)))
+    def buckets_of(self, listed: DataFrame) -> list[int]:
+        own = self._table("files").join(listed, "part", "left_semi")
         return sorted(row.bucket for row in own.select("bucket").distinct().collect())
 
     def _stored(self, attempt: int, buckets: Iterable[int] | None) -> DataFrame:
@@ -361,19 +361,18 @@ class AnnotationJob:
         self._append_rows("files", noted.coalesce(len(rows) // 100_000 + 1))
 
     def open_parts(
-        self, scan: CorpusScan, arrived: Sequence[str] | None = None
+        self, scan: CorpusScan, own: Sequence[int] | None = None
     ) -> tuple[dict[int, list[str]], dict[int, list[str]]]:
         """Files with unanswered rows, by bucket: ones never seen, and changed or half done.
 
         Rows by file version from the footers meet answers by file version from narrow
         columns, one row per file each. Only open files reach the driver, as the reader
-        takes their paths; a finished collection sends nothing. If the scan is of files that
-        have just ``arrived``, only answers of their buckets are read.
+        takes their paths; a finished collection sends nothing. If all files of the scan are
+        in the buckets ``own``, only answers of these are read.
         """
         listed = file_versions(scan.documents())
         self.enroll(listed)
         files = self.files()
-        own = None if arrived is None else self.buckets_of(arrived)
         done = file_versions(self._known(1, own)).withColumnRenamed("n_rows", "n_done")
         seen = done.groupBy("part").agg(F.lit(True).alias("known"))
         lost = files.filter("version = 0").select(
@@ -398,13 +397,20 @@ class AnnotationJob:
                 untouched[row.bucket].append(row.part)
         return untouched, touched
 
-    def call_open_parts(self, scan: CorpusScan, arrived: Sequence[str] | None = None) -> None:
+    def call_open_parts(self, scan: CorpusScan, arrived: bool = False) -> list[int] | None:
         """First attempt for all rows without an answer, a bucket at a time.
 
+        With ``arrived`` only the buckets of the scanned files are looked at; they are returned.
+
         Commits that run side by side write to different folders, so that none clears away
         what another has not yet moved to its place.
         """
-        untouched, touched = self.open_parts(scan, arrived)
+        own = None
+        if arrived:
+            listed = file_versions(scan.documents())
+            self.enroll(listed)
+            own = self.buckets_of(listed)
+        untouched, touched = self.open_parts(scan, own)
         if touched:
             self.carry_over(scan.only(sorted(sum(touched.values(), []))))
 
@@ -419,6 +425,7 @@ class AnnotationJob:
                 done.result()
         if buckets:
             self._forget_calls(1)
+        return own
 
     def _call(self, scan: CorpusScan, bucket: int, known: bool) -> None:
         documents = spread(scan.documents(), self.settings.slots, "part", "pos")

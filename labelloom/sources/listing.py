@@ -3,10 +3,15 @@
 Spark's own file readers leave files of zero bytes out, so a corpus that lost its content
 would look like one that is not there. This source shows every file. The planner lists the
 first level of the root only; tasks list what is below, some folders each.
+
+The same listing is a stream that has news whenever a file is added, replaced in place or
+removed: its offset is a fingerprint of paths, sizes and times, small whatever is listed.
+Which of the files are news is for the reader's ledger to say.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from fnmatch import fnmatch
 from urllib.parse import urlsplit
@@ -14,7 +19,12 @@ from urllib.parse import urlsplit
 from pyarrow.fs import FileInfo, FileSelector, FileType
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceReader,
+    DataSourceStreamReader,
+    InputPartition,
+)
 
 from labelloom.sources import files
 from labelloom.sources.files import file_system
@@ -60,7 +70,7 @@ class FolderReader(DataSourceReader):
         dealt = [first[i::MOST_TASKS] for i in range(min(MOST_TASKS, len(first)))]
         return [InputPartition(paths) for paths in dealt] or [InputPartition([])]
 
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
+    def files(self, partition: InputPartition) -> Iterator[tuple[str, FileInfo]]:
         system, root = file_system(self.root)
         before = "file:" if self.root.startswith(("/", "file:")) else self.root[: -len(root)]
         for place in partition.value:
@@ -68,7 +78,62 @@ class FolderReader(DataSourceReader):
                 below = info.path[len(root) :].split("/")
                 if info.type == FileType.File and fnmatch(info.base_name, self.glob) and not any(
                         map(hidden, below)):
-                    yield f"{before}{info.path}", info.size
+                    yield f"{before}{info.path}", info
+
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        for path, info in self.files(partition):
+            yield path, info.size
+
+
+class FileChanges(DataSource):
+    """``path, length, time`` of every file, again whenever the listing has changed."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "labelloom_changes"
+
+    def schema(self) -> str:
+        return "path string, length long, time long"
+
+    def streamReader(self, schema) -> DataSourceStreamReader:
+        return ChangeReader(FolderReader(self.options["root"], self.options.get("glob", "*")))
+
+
+class ChangeReader(DataSourceStreamReader):
+    def __init__(self, folders: FolderReader):
+        self.folders = folders
+
+    def initialOffset(self) -> dict:
+        return {"listing": "0"}
+
+    def latestOffset(self) -> dict:
+        """Listed by one process, file by file, in constant memory."""
+        mark = 0
+        for partition in self.folders.partitions():
+            for file in self.read(partition):
+                mark ^= int.from_bytes(hashlib.blake2b(repr(file).encode(), digest_size=16).digest())
+        return {"listing": f"{mark:x}"}
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        return self.folders.partitions()
+
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        for path, info in self.folders.files(partition):
+            yield path, info.size, info.mtime_ns
+
+    def commit(self, end: dict) -> None:
+        """Nothing is kept: the ledger of the reader says what is done."""
+
+
+def _can_list(root: str) -> bool:
+    return urlsplit(root).scheme in ("", "file", "s3", "gs", "gcs", "hdfs", "abfs", "abfss")
+
+
+def _register(spark: SparkSession, source: type[DataSource]) -> None:
+    # The planner's Python process has no archive of this package: classes go along by value.
+    for module in (files, __import__(__name__, fromlist=["FileListing"])):
+        cloudpickle.register_pickle_by_value(module)
+    spark.dataSource.register(source)
 
 
 def listed_files(spark: SparkSession, root: str, glob: str) -> DataFrame:
@@ -76,11 +141,17 @@ def listed_files(spark: SparkSession, root: str, glob: str) -> DataFrame:
 
     On file systems that only Spark can open, its own listing is used: without empty files.
     """
-    if urlsplit(root).scheme not in ("", "file", "s3", "gs", "gcs", "hdfs", "abfs", "abfss"):
+    if not _can_list(root):
         reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
         return reader.option("pathGlobFilter", glob).load(root).select("path", "length")
-    # The planner's Python process has no archive of this package: classes go along by value.
-    for module in (files, __import__(__name__, fromlist=["FileListing"])):
-        cloudpickle.register_pickle_by_value(module)
-    spark.dataSource.register(FileListing)
+    _register(spark, FileListing)
     return spark.read.format("labelloom_files").option("root", root).option("glob", glob).load()
+
+
+def changing_files(spark: SparkSession, root: str, glob: str) -> DataFrame:
+    """A stream of ``(path, length, time)``: each batch is the listing as it is now."""
+    if not _can_list(root):
+        raise ValueError(f"only Spark can list {root}")
+    _register(spark, FileChanges)
+    stream = spark.readStream.format("labelloom_changes")
+    return stream.option("root", root).option("glob", glob).load()

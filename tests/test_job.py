@@ -389,14 +389,15 @@ def test_a_bucket_is_brought_up_to_date_without_reading_others(spark, tmp_path,
     path = corpus(spark, tmp_path, "demo", [(f"a{i}", f"cut {i}") for i in range(6)], files=2)
     job = job_of(spark, tmp_path, describing_client(log), parts_per_commit=1)
     job.run(scan_of(spark, path))
-    (second,) = [r.part for r in job.files().collect() if r.bucket == 1]
-    assert job.buckets_of([second]) == [1]
+    second = job.files().filter("bucket = 1")
+    assert job.buckets_of(second) == [1]
     # Were answers of the other bucket read, its broken files would stop the job.
     for attempt in (1, 2):
         for file in files_of(f"{job._attempt_path(attempt)}/bucket=0"):
             with open(file, "wb") as f:
                 f.write(b"broken")
-    job.call_open_parts(scan_of(spark, path).only([second]), [second])
+    (part,) = [r.part for r in second.collect()]
+    assert job.call_open_parts(scan_of(spark, path).only([part]), arrived=True) == [1]
     job.call_retries([1])
     job.derive_tables(job.stale([1]))
     job.settle_failures([1])

@@ -1,3 +1,6 @@
+import os
+
+import pandas as pd
 import pytest
 
 from labelloom.plans.collection import Collection
@@ -112,6 +115,39 @@ def test_stream_of_arriving_files(spark, tmp_path, log):
     assert calls(log) == made and job.annotations().count() == 4
 
 
+def test_a_running_stream_takes_up_files_replaced_in_place(spark, tmp_path, log):
+    path = corpus(spark, tmp_path, "alpha", [("a1", "one"), ("a2", "two")])
+    (file,) = [f for f in os.listdir(path) if f.endswith(".parquet")]
+    was = os.stat(f"{path}/{file}")
+    job = job_of(spark, tmp_path, describing_client(log))
+    incremental = IncrementalAnnotation(
+        job, scan_of(spark, path), f"{tmp_path}/data", spark.read.parquet(path).schema,
+        f"{tmp_path}/ledger",
+    )
+    stream = incremental.start(processingTime="0 seconds")
+    try:
+        stream.processAllAvailable()
+        assert set(annotated(job)) == {("alpha", "a1"), ("alpha", "a2")}
+        new = f"{tmp_path}/new"
+        pd.DataFrame({"id": ["a1", "a2", "a3"], "text": ["one", "2", "3"]}).to_parquet(new)
+        os.remove(f"{path}/.{file}.crc")  # the old content's, on local disks
+        os.replace(new, f"{path}/{file}")
+        stream.processAllAvailable()
+        assert annotated(job) == {
+            ("alpha", "a1"): "About one.", ("alpha", "a2"): "About 2.", ("alpha", "a3"): "About 3."}
+        # A file that is moved in with an older time is news all the same.
+        pd.DataFrame({"id": ["b1"], "text": ["four"]}).to_parquet(new)
+        os.utime(new, ns=(was.st_mtime_ns - 10**12,) * 2)
+        os.replace(new, f"{path}/b.parquet")
+        stream.processAllAvailable()
+        assert len(annotated(job)) == 4
+    finally:
+        stream.stop()
+    assert sorted(c[0] for c in calls(log)) == ["2", "3", "four", "one", "two"]
+    incremental.catch_up()  # nothing has changed since
+    assert len(calls(log)) == 5 and job.annotations().count() == 4
+
+
 def test_ids_of_several_types_and_refused_rows(spark, tmp_path, log):
     corpus(spark, tmp_path, "alpha", [("a1", "one"), ("a2", "never")])
     spark.range(2).selectExpr("id", "'t' AS text").write.parquet(f"{tmp_path}/data/num/num.parquet")
