@@ -374,6 +374,10 @@ FROM documents""",
 SELECT 'all' AS dataset, row_number() OVER (ORDER BY id % 4, id) - 1 AS rank, id,
   {_text('one_sentence_description')} AS description
 FROM answers WHERE {_VALID} AND id % 4 < 3""",
+    "packed_parts": f"""WITH {_FIRST},
+placed AS (SELECT id, row_number() OVER (ORDER BY id % 4, id) - 1 AS rank
+  FROM answers WHERE {_VALID} AND id % 4 < 3)
+SELECT 'all' AS dataset, id, rank, rank // 64 AS file FROM placed""",
     "resume_pending": _UNLABELLED,
     "resume_rows": _UNLABELLED,
     "resume_by_position": f"""WITH {_PROGRESS}

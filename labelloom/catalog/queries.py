@@ -36,7 +36,12 @@ from labelloom.settings import Settings
 from labelloom.sources import corpora
 from labelloom.sources.corpora import CorpusScan
 from labelloom.sources.files import file_system, full_address
-from labelloom.sources.parts import merge_parts, partial_outputs, read_parts
+from labelloom.sources.parts import (
+    merge_part_files,
+    merge_parts,
+    partial_outputs,
+    read_parts,
+)
 from labelloom.sources.tables import scratch_root
 from labelloom.streaming.incremental import IncrementalAnnotation
 from labelloom.stubs import CANONICAL_ANSWER, PromptSizeModel
@@ -547,20 +552,39 @@ def batch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("dataset", "id", "rank", "batch_id")
 
 
-def partial_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Part files of an interrupted run, read back in order: the place as a column."""
-    root = scratch_root(spark, "parts")
+def _part_files(spark: SparkSession, sf_dir: str, purpose: str) -> str:
+    """Part files of an interrupted run, one of them past a gap."""
+    root = scratch_root(spark, purpose)
     answers = parse_annotations(_first_answers(spark, sf_dir)).filter("annotation IS NOT NULL")
     parts = answers.select("id", "annotation.*")
     for number, name in enumerate(("tmp", "part1", "part2", "part4")):
         by_range(parts.filter(F.col("id") % 4 == number), "id").write.parquet(
             f"{root}/all/{SETTINGS.model_slug}.{name}.parquet")
+    return root
+
+
+def partial_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part files of an interrupted run, read back in order: the place as a column."""
+    root = _part_files(spark, sf_dir, "parts")
     listed = partial_outputs(spark, root).select("path").collect()
     ranked = positions.with_rank(read_parts(spark, [r.path for r in listed]), ["dataset"])
     return ranked.select(
         "dataset", "rank", "id", F.col("annotation.one_sentence_description").alias("description"))
 
 
+def packed_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same part files merged into files of 64 rows: each row's file, and its place by the
+    files' names."""
+    root = _part_files(spark, sf_dir, "packed")
+    merge_part_files(spark, root, SETTINGS.model_slug, f"{root}-merged", rows_per_file=64)
+    written = spark.read.parquet(f"{root}-merged").select(
+        "dataset", "id", F.col("_metadata.file_name").alias("part"),
+        F.col("_metadata.row_index").alias("pos"))
+    number = F.regexp_extract("part", "part-([0-9]+)", 1).cast("long")
+    return positions.with_rank(written, ["dataset"]).select(
+        "dataset", "id", "rank", number.alias("file"))
+
+
 def merged_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two disjoint parts, labelled and unlabelled documents, as one output."""
     documents = _texts(spark, sf_dir).select(
@@ -707,7 +731,7 @@ QUERIES: dict[str, Query] = {
         incremental_annotate, published_corpora, published_rows, changed_corpora,
         refused_corpora,
         annotator_records, route_sources, partial_records, resume_pending, resume_rows,
-        resume_by_position, batch_plan, merged_parts, skip_published, completeness,
+        resume_by_position, batch_plan, merged_parts, packed_parts, skip_published, completeness,
         publishable, overcomplete, orphans, progress, taxonomy_usage, length_bands,
         length_consistency,
     )

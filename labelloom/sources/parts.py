@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from labelloom.operators.positions import with_file_rank
 from labelloom.sources.corpora import file_of_row
 from labelloom.taxonomy import FIELD_NAMES
 
@@ -69,3 +70,51 @@ def read_parts(spark: SparkSession, paths: list[str]) -> DataFrame:
 def merge_parts(*parts: DataFrame) -> DataFrame:
     """All rows of all parts, columns matched by name."""
     return reduce(DataFrame.unionByName, parts)
+
+
+def write_in_order(records: DataFrame, path: str, rows_per_file: int) -> None:
+    """Write ``dataset, part, pos, ...`` as files that give the input order by their names.
+
+    Output files are planned from the parts' row counts: running sums say at which rank a part
+    begins, and every ``rows_per_file`` ranks of a corpus are a file. Rows go straight to the
+    task that writes their file, whose number leads its name, so the order holds across files
+    however many there are, and nothing is sorted but the rows of one file. Positions must
+    count the rows of a part from 0, and ``dataset`` must not be null.
+
+    The driver sees one row per corpus. Without records nothing is written.
+    """
+    counts = records.groupBy("dataset", "part").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.max("pos").alias("last"))
+    corpora = counts.groupBy("dataset").agg(
+        F.sum("n_rows").alias("n"), F.bool_and(F.col("last") + 1 == F.col("n_rows")).alias("whole")
+    ).collect()
+    gaps = [row.dataset for row in corpora if not row.whole]
+    if gaps:
+        raise ValueError(f"rows are missing in parts of {sorted(gaps)[:3]}")
+    first, n_files = [], 0
+    for row in sorted(corpora, key=lambda row: row.dataset):
+        first.append((row.dataset, n_files))
+        n_files += -(-row.n // rows_per_file)
+    if not n_files:
+        return
+    starts = records.sparkSession.createDataFrame(first, "dataset string, _first long")
+    placed = with_file_rank(records, counts, "_rank").join(starts, "dataset").withColumn(
+        "_file", F.expr(f"CAST(_first + _rank DIV {rows_per_file} AS INT)"))
+    (
+        placed.repartitionById(n_files, "_file")
+        .sortWithinPartitions("dataset", "part", "pos")
+        .drop("part", "pos", "_rank", "_first", "_file")
+        .write.partitionBy("dataset").parquet(path)
+    )
+
+
+def merge_part_files(
+    spark: SparkSession, root: str, model_slug: str, path: str, rows_per_file: int = 1_000_000
+) -> None:
+    """The parts of interrupted runs of all corpora below ``root`` as one output, in order."""
+    listed = partial_outputs(spark, root).filter(F.col("model_slug") == model_slug)
+    paths = sorted(row.path for row in listed.select("path").collect())
+    if paths:
+        records = read_parts(spark, paths)
+        write_in_order(
+            records.select("dataset", "part", "pos", "id", "annotation.*"), path, rows_per_file)

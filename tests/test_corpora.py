@@ -14,7 +14,13 @@ from labelloom.sources.corpora import (
     route_files,
     starts_with_marker,
 )
-from labelloom.sources.parts import merge_parts, part_index, partial_outputs, read_parts
+from labelloom.sources.parts import (
+    merge_parts,
+    part_index,
+    partial_outputs,
+    read_parts,
+    write_in_order,
+)
 from labelloom.stubs import CANONICAL_ANSWER
 from labelloom.taxonomy import ANNOTATION_TYPE, taxonomy
 
@@ -217,6 +223,29 @@ def test_merge_matches_columns_by_name(spark):
     assert [r.id for r in merge_parts(a, b).collect()] == ["q-7", "q-8"]
 
 
+def test_merged_files_give_the_input_order_by_their_names(spark, tmp_path):
+    """Corpora of many and of few rows, parts of uneven sizes, repeated and null ids."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    sizes = {"big": {"p1": 7, "p2": 90, "p3": 3}, "mid": {"p1": 10}, "one": {"p9": 1}}
+    rows = [(d, p, i, f"{p}-{i}" if i % 5 else None)
+            for d, parts in sizes.items() for p, n in parts.items() for i in range(n)]
+    schema = "dataset string, part string, pos long, id string"
+    shuffled = spark.createDataFrame(rows[::-1], schema).repartition(5)
+    write_in_order(shuffled, f"{tmp_path}/out", 10)
+    for dataset, n_files in (("big", 10), ("mid", 1), ("one", 1)):
+        files = sorted(glob.glob(f"{tmp_path}/out/dataset={dataset}/*.parquet"))
+        tables = [pq.read_table(f, partitioning=None)["id"].to_pylist() for f in files]
+        assert len(files) == n_files and all(len(t) == 10 for t in tables[:-1])
+        assert sum(tables, []) == [i for d, _, _, i in rows if d == dataset]
+    with pytest.raises(ValueError, match="mid"):
+        write_in_order(shuffled.filter("dataset <> 'mid' OR pos <> 4"), f"{tmp_path}/gap", 10)
+    write_in_order(shuffled.limit(0), f"{tmp_path}/none", 10)
+    assert not glob.glob(f"{tmp_path}/none*")
+
+
 def test_taxonomy(spark):
     rows = taxonomy(spark).collect()
     assert len(rows) == 131
