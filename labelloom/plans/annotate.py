@@ -368,10 +368,11 @@ class AnnotationJob:
         Rows by file version from the footers meet answers by file version from narrow
         columns, one row per file each. Only open files reach the driver, as the reader
         takes their paths; a finished collection sends nothing. If all files of the scan are
-        in the buckets ``own``, only answers of these are read.
+        in the buckets ``own``, having been enrolled, only answers of these are read.
         """
         listed = file_versions(scan.documents())
-        self.enroll(listed)
+        if own is None:
+            self.enroll(listed)
         files = self.files()
         done = file_versions(self._known(1, own)).withColumnRenamed("n_rows", "n_done")
         seen = done.groupBy("part").agg(F.lit(True).alias("known"))
