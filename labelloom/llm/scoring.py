@@ -6,25 +6,30 @@ A probe asks for number 1, 2, ... until one is missing; the last one found gives
 Probabilities are smoothed pair counts: ``(c(v w) + M p(w)) / (c(v) + M)`` with
 ``p(w) = (c(w) + 1) / (N + V + 1)``, all counts as probed.
 
-Every word and pair of the training texts is in the filter, which grows with them and is cut
-into segments; an n-gram's bits all lie in one. The head, n-grams with at least one in
-``STORED`` of all tokens, is bounded for any corpus, since rates add up to one, and is
-broadcast. All others are the tail: its segments are as many as it needs and are nowhere
-gathered. The distinct n-grams of each text that the head does not hold are shuffled to their
-segment, probed there, and their levels go back to the text.
-
-The base score needs exact counts of all words. Those of frequent words are broadcast; all
-others are joined by a shuffle, per document and word. Words are named by 64-bit hashes.
+Texts are numbered into chunks of about ``CHUNK_TOKENS`` tokens, which are written once. The
+distinct n-grams of a chunk are dealt to groups, as many as the corpus needs for
+``GROUP_GRAMS`` each, and travel there once, packed into one row for each chunk and group.
+A group sums the counts of its n-grams over all chunks. The head, n-grams with at least one
+in ``STORED`` of all tokens, is bounded for any corpus, since rates add up to one: it goes
+into the filter that is broadcast. All others are put into the group's own filter, which is
+gathered nowhere; it is probed there for each chunk, and the levels go back in the chunk's
+order, a byte each. So every word and pair is stored, and no n-gram, however frequent, is
+sent by a chunk more than once.
+
+The base score needs exact counts: words travel with their whole 64-bit hashes and their
+counts come back. Pairs are named by group and 32 bits, which at ``GROUP_GRAMS`` confuses one
+in 4,000, fewer than the filter does.
 
 Defined results: a null text is empty and has the end token only. Rows that repeat a
-``doc_id`` are scored, and learned from, each by itself. Without training texts N and V are
-0 and all scores are 0. A null ``doc_id`` has the fold of the empty text. An empty table
-gives an empty result; columns other than ``doc_id`` and ``text`` are not read.
+``doc_id`` are scored, and learned from, each by itself; ids of any type come back as they
+are. Texts are read whole; one of more than ``CHUNK_TOKENS`` tokens is a chunk of its own.
+Without training texts N and V are 0 and all scores are 0. A null ``doc_id`` has the fold of
+the empty text. An empty table gives an empty result; columns other than ``doc_id`` and
+``text`` are not read.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,19 +39,19 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.pandas.types import to_arrow_type
 
 from labelloom.deploy import ship_package
 from labelloom.llm.shared import read_table, written
 
-FREQUENT = 1 << 20
-STORED = 1 << 23
+STORED = 1 << 20
 LEVEL_BASE = 1.5
 PRIOR = 20.0  # M, the weight of the word's own probability
 SEGMENT_BITS = 1 << 19
 BITS_PER_ENTRY, PROBES = 12, 6
 TABLE_ENTRIES = 300_000
 CHUNK_TOKENS = 1_000_000
+GROUP_GRAMS = 1 << 20
 
 END = xxhash.xxh3_64_intdigest(b"\n")  # no word holds a line feed
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -115,17 +120,21 @@ class FrequencyFilter:
         return out
 
 
-def _put(bits: np.ndarray, hashes: np.ndarray, level: np.ndarray) -> None:
-    """Every n-gram into its segment's bits, as often as its level says."""
-    entry = np.repeat(np.arange(len(hashes)), level)
-    number = np.arange(len(entry)) - np.repeat(np.cumsum(level) - level, level) + 1
-    start, stride = _bits(hashes[entry], number)
-    for i in range(PROBES):
-        at = (start + np.uint64(i) * stride) & np.uint64(SEGMENT_BITS - 1)
-        np.bitwise_or.at(
-            bits, (at >> np.uint64(3)).astype(np.int64),
-            np.uint8(1) << (at & np.uint64(7)).astype(np.uint8),
-        )
+def filled(hashes: np.ndarray, level: np.ndarray, segments: int) -> np.ndarray:
+    """Bits of a filter with every n-gram put in as often as its level says."""
+    bits = np.zeros(segments * SEGMENT_BITS, bool)
+    home = segment_of(hashes, segments) * SEGMENT_BITS
+    for number in range(1, int(level.max(initial=0)) + 1):
+        own = level >= number
+        start, stride = _bits(hashes[own], number)
+        for i in range(PROBES):
+            at = (start + np.uint64(i) * stride) & np.uint64(SEGMENT_BITS - 1)
+            bits[home[own] + at.astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").reshape(segments, SEGMENT_BITS // 8)
+
+
+def segments_for(entries: int) -> int:
+    return -(-entries * BITS_PER_ENTRY // SEGMENT_BITS)
 
 
 def _fill_segments(segments: int):
@@ -136,10 +145,10 @@ def _fill_segments(segments: int):
             hashes = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             level = levels(batch.column(1).to_numpy(zero_copy_only=False))
             home = segment_of(hashes, segments)
-            for segment in np.unique(home):
+            for segment in np.unique(home).tolist():
                 own = home == segment
-                bits = made.setdefault(int(segment), np.zeros(SEGMENT_BITS // 8, np.uint8))
-                _put(bits, hashes[own], level[own])
+                bits = filled(hashes[own], level[own], 1)[0]
+                made[segment] = made[segment] | bits if segment in made else bits
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(made), pa.int64()), pa.array([b.tobytes() for b in made.values()],
                                                         pa.binary())],
@@ -149,11 +158,11 @@ def _fill_segments(segments: int):
     return fill
 
 
-def build_filter(counts: DataFrame, most_segments: int = 1 << 14) -> FrequencyFilter:
-    """The filter of (hash, n) rows; with more than fit its bound, it errs more often."""
+def build_filter(counts: DataFrame) -> FrequencyFilter:
+    """The filter of (hash, n) rows, as large as they need: callers bound the rows."""
     base = F.lit(float(np.log(LEVEL_BASE)))
     entries = counts.agg(F.sum(1 + F.floor(F.log("n") / base)).alias("n")).first().n or 0
-    segments = min(most_segments, -(-entries * BITS_PER_ENTRY // SEGMENT_BITS))
+    segments = segments_for(entries)
     bits = np.zeros((segments, SEGMENT_BITS // 8), dtype=np.uint8)
     if segments:
         @F.pandas_udf("long")
@@ -169,111 +178,220 @@ def build_filter(counts: DataFrame, most_segments: int = 1 << 14) -> FrequencyFi
     return FrequencyFilter(bits)
 
 
-# -- counting -----------------------------------------------------------------------
+# -- chunks -------------------------------------------------------------------------
 
 
-def _counted(hashes: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(hashes.view(np.int64)), pa.array(n.astype(np.int64))], names=["hash", "n"]
-    )
+class Lexicon(dict):
+    """Numbers of the words seen; 0 is the end."""
 
+    def __init__(self):
+        self.hashes = [END]
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts to (hash, n), summed inside the task as far as its table allows."""
-    words: Counter = Counter()
-    texts = 0
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self.hashes)
+        self.hashes.append(xxhash.xxh3_64_intdigest(word))
+        return number
 
-    def flush() -> pa.RecordBatch:
-        hashes = [xxhash.xxh3_64_intdigest(w) for w in words]
-        return _counted(np.array([*hashes, END], np.uint64), np.array([*words.values(), texts]))
 
-    for batch in batches:
-        for text in batch.column(0):
-            words.update(words_in(text.as_py()))
-            texts += 1
-            if len(words) > TABLE_ENTRIES:
-                yield flush()
-                words, texts = Counter(), 0
-    if texts:
-        yield flush()
+def narrow(numbers: np.ndarray) -> np.ndarray:
+    """Numbers in the fewest bytes that hold them all."""
+    return numbers.astype(np.min_scalar_type(int(numbers.max(initial=0))))
 
 
-class Names(dict):
-    """Hashes of words; asked for a new word it computes and keeps it."""
+def widened(data: bytes, entries: int) -> np.ndarray:
+    """What ``narrow`` made, from its bytes."""
+    return np.frombuffer(data, f"u{len(data) // entries}" if entries else "u1").astype(np.int64)
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= TABLE_ENTRIES:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
 
+def _write_chunks(chunk_type: pa.Schema):
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(doc_id, held_out, text) rows to chunks of numbered texts."""
+        words, docs, texts, size = Lexicon(), [], [], 0
 
-class Lexicon(dict):
-    """Numbers of the words seen, and facts about each that are looked up once."""
+        def packed() -> pa.RecordBatch:
+            tokens = np.concatenate(texts)
+            used = np.zeros(len(words.hashes), bool)
+            used[tokens] = True
+            local = np.cumsum(used) - 1
+            hashes = np.array(words.hashes, np.uint64)[used]
+            trained = sum(d["n"] for d in docs if d["held_out"] is False)
+            return pa.RecordBatch.from_pylist([{
+                "docs": docs, "n_tokens": len(tokens), "n_trained": trained,
+                "words": hashes.tobytes(), "tokens": narrow(local[tokens]).tobytes(),
+            }], chunk_type)
 
-    def __init__(self, facts):
-        self.facts_of, self.hashes, self.known = facts, [END], 0
-        self.facts: tuple[np.ndarray, ...] = ()
+        for batch in batches:
+            keys = zip(*(c.to_pylist() for c in batch.columns[:-1]), strict=True)
+            for (doc_id, held_out), text in zip(keys, batch.columns[-1], strict=True):
+                said = words_in(text.as_py())
+                numbers = np.zeros(len(said) + 1, np.int64)
+                numbers[:-1] = np.fromiter(map(words.__getitem__, said), np.int64, len(said))
+                texts.append(numbers)
+                docs.append({"doc_id": doc_id, "held_out": held_out, "n": len(numbers)})
+                size += len(numbers)
+                if size > CHUNK_TOKENS:
+                    yield packed()
+                    docs, texts, size = [], [], 0
+                    if len(words) > TABLE_ENTRIES:
+                        words = Lexicon()
+        if texts:
+            yield packed()
+
+    return chunks
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self.hashes)
-        self.hashes.append(xxhash.xxh3_64_intdigest(word))
-        return number
 
-    def update_facts(self) -> None:
-        """``facts`` has an array each, the hashes' first, with an entry per number."""
-        new = np.array(self.hashes[self.known :], np.uint64)
-        if len(new):
-            more = (new, *self.facts_of(new))
-            self.facts = tuple(map(np.concatenate, zip(self.facts, more))) if self.known else more
-            self.known = len(self.hashes)
+@dataclass
+class Grams:
+    """The n-grams of a chunk in the order in which groups are asked for them."""
+
+    words: np.ndarray  # hashes, by group
+    pairs: np.ndarray  # keys: group, then 32 bits
+    before: np.ndarray  # of every token: place in words of the one before
+    tokens: np.ndarray  # its own
+    pair: np.ndarray  # place in pairs of the two
+
+    @classmethod
+    def of(cls, hashes: np.ndarray, tokens: np.ndarray, lengths: np.ndarray, groups: int):
+        before = np.empty_like(tokens)
+        before[1:] = tokens[:-1]
+        end = int(np.flatnonzero(hashes == END)[0])  # before a text's first token
+        before[np.cumsum(lengths) - lengths] = end
+        both, pair = np.unique(before * len(hashes) + tokens, return_inverse=True)
+        mixed = mix(pair_hash(hashes[both // len(hashes)], hashes[both % len(hashes)]))
+        group = (mixed >> np.uint64(32)) % np.uint64(groups)
+        keys, place = np.unique(
+            group << np.uint64(32) | mixed & np.uint64(0xFFFFFFFF), return_inverse=True)
+        order = np.lexsort((hashes, group_of(hashes, groups)))
+        at = np.empty_like(order)
+        at[order] = np.arange(len(order))
+        return cls(hashes[order], keys, at[before], at[tokens], place[pair])
+
+
+def group_of(hashes: np.ndarray, groups: int) -> np.ndarray:
+    return (mix(hashes) >> np.uint64(32)) % np.uint64(groups)
+
+
+def _unpacked(n_tokens: int, words: bytes, tokens: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(words, np.uint64), widened(tokens, n_tokens)
+
+
+# -- groups -------------------------------------------------------------------------
+
+
+def _slices(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """``values`` cut at ``ends``, each part as bytes."""
+    offsets = pa.py_buffer((np.concatenate([[0], ends]) * values.itemsize).astype(np.int32))
+    return pa.Array.from_buffers(
+        pa.binary(), len(ends), [None, offsets, pa.py_buffer(values.tobytes())])
+
 
+BLOCK = "chunk long, group long, words binary, word_n binary, pairs binary, pair_n binary"
 
-def _chunks(batches: Iterator[pa.RecordBatch], facts):
-    """Keys, numbered texts (the last column), and the words' facts, in bounded portions."""
-    words, keys, texts, size = Lexicon(facts), [], [], 0
+
+def _deal_blocks(groups: int):
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Chunks to one row for each chunk and group: n-grams and their training counts."""
+        for batch in batches:
+            for chunk, lengths, held_out, n, words, tokens in zip(
+                *(c.to_pylist() for c in batch.columns), strict=True
+            ):
+                lengths = np.array(lengths)
+                grams = Grams.of(*_unpacked(n, words, tokens), lengths, groups)
+                learned = np.repeat(np.array([h is False for h in held_out]), lengths)
+                word_n = np.bincount(grams.tokens[learned], minlength=len(grams.words))
+                pair_n = np.bincount(grams.pair[learned], minlength=len(grams.pairs))
+                word_group = group_of(grams.words, groups)
+                pair_group = grams.pairs >> np.uint64(32)
+                asked = np.union1d(word_group, pair_group)
+                word_ends = np.searchsorted(word_group, asked, side="right")
+                pair_ends = np.searchsorted(pair_group, asked, side="right")
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(asked), chunk)),
+                        pa.array(asked.astype(np.int64)),
+                        _slices(grams.words, word_ends),
+                        _slices(narrow(word_n), word_ends),
+                        _slices(grams.pairs.astype(np.uint32), pair_ends),
+                        _slices(narrow(pair_n), pair_ends),
+                    ],
+                    names=["chunk", "group", "words", "word_n", "pairs", "pair_n"],
+                )
+
+    return deal
+
+
+#: A row for each block with what the group says, and one for each group with its head.
+ANSWER = (
+    "chunk long, group long, word_levels binary, word_n binary, pair_levels binary, "
+    "head binary, head_n binary, types long"
+)
+
+
+def summed(blocks: list[np.ndarray], counts: list[np.ndarray]):
+    """Distinct n-grams of all blocks, their counts, and where each one lies among them."""
+    grams, place = np.unique(np.concatenate(blocks), return_inverse=True)
+    n = np.bincount(place, np.concatenate(counts), len(grams)).astype(np.int64)
+    return grams, n, place
+
+
+def _answer_group(group: int, rows: list[tuple], total: int) -> list[dict]:
+    words = [np.frombuffer(r[1], np.uint64) for r in rows]
+    pairs = [np.frombuffer(r[3], np.uint32) for r in rows]
+    word, word_n, word_at = summed(words, [widened(r[2], len(w)) for r, w in zip(rows, words)])
+    pair, pair_n, pair_at = summed(pairs, [widened(r[4], len(p)) for r, p in zip(rows, pairs)])
+    keys = np.concatenate([word, pair.astype(np.uint64) | np.uint64(group << 32)])
+    n = np.concatenate([word_n, pair_n])
+    head = (n * STORED >= total) & (n > 0)
+    tail = ~head & (n > 0)
+    level = levels(n[tail])
+    own = FrequencyFilter(filled(keys[tail], level, segments_for(int(level.sum()))))
+    found = np.zeros(len(keys), np.int64)
+    found[~head] = own.level(keys[~head])
+    found = found.astype(np.uint8)
+    word_found, pair_found = found[: len(word)][word_at], found[len(word):][pair_at]
+    exact = word_n[word_at]
+    out, w, p = [], 0, 0
+    for (chunk, *_), asked, both in zip(rows, words, pairs, strict=True):
+        out.append({
+            "chunk": chunk, "group": group,
+            "word_levels": word_found[w : w + len(asked)].tobytes(),
+            "word_n": narrow(exact[w : w + len(asked)]).tobytes(),
+            "pair_levels": pair_found[p : p + len(both)].tobytes(),
+        })
+        w, p = w + len(asked), p + len(both)
+    out.append({
+        "group": group, "head": keys[head].tobytes(), "head_n": n[head].tobytes(),
+        "types": int(np.count_nonzero(word_n)),
+    })
+    return out
+
+
+def _answer_blocks(total: int, answer_type: pa.Schema):
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Blocks, sorted by group, to answers; one group is held at a time."""
+        current, rows = None, []
+        for batch in batches:
+            for chunk, group, *block in zip(
+                *(c.to_pylist() for c in batch.columns), strict=True
+            ):
+                if group != current and rows:
+                    yield pa.RecordBatch.from_pylist(
+                        _answer_group(current, rows, total), answer_type)
+                    rows = []
+                current = group
+                rows.append((chunk, *block))
+        if rows:
+            yield pa.RecordBatch.from_pylist(_answer_group(current, rows, total), answer_type)
+
+    return answer
+
+
+def _unpack_head(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for *key, text in zip(*(c.to_pylist() for c in batch.columns[:-1]), batch.columns[-1],
-                              strict=True):
-            said = words_in(text.as_py())
-            numbers = np.zeros(len(said) + 1, np.int64)  # the end is number 0
-            numbers[:-1] = np.fromiter(map(words.__getitem__, said), np.int64, len(said))
-            texts.append(numbers)
-            keys.append(key)
-            size += len(numbers)
-            if size > CHUNK_TOKENS:
-                words.update_facts()
-                yield keys, texts, words.facts
-                keys, texts, size = [], [], 0
-                if len(words) > TABLE_ENTRIES:
-                    words = Lexicon(facts)
-    if texts:
-        words.update_facts()
-        yield keys, texts, words.facts
-
-
-def _before(tokens: np.ndarray, texts: list[np.ndarray]) -> np.ndarray:
-    """The token before each one; before a text's first one there is an end."""
-    before = np.empty_like(tokens)
-    before[1:] = tokens[:-1]
-    before[np.cumsum([0, *map(len, texts)])[:-1]] = 0
-    return before
-
-
-def find(table: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of values in a sorted table, and whether they are there."""
-    if not len(table):
-        return np.zeros(len(values), np.int64), np.zeros(len(values), bool)
-    at = np.minimum(np.searchsorted(table, values), len(table) - 1)
-    return at, table[at] == values
-
-
-def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for _, texts, (hashes,) in _chunks(batches, lambda hashes: ()):
-        tokens = np.concatenate(texts)
-        before = _before(tokens, texts)
-        yield _counted(
-            *np.unique(pair_hash(hashes[before], hashes[tokens]), return_counts=True))
+        for keys, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.frombuffer(keys, np.int64)), pa.array(np.frombuffer(n, np.int64))],
+                names=["hash", "n"])
 
 
 # -- scoring ------------------------------------------------------------------------
@@ -281,21 +399,11 @@ def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Model:
-    frequent: np.ndarray  # sorted hashes
-    counts: np.ndarray  # exact
-    stored: FrequencyFilter
+    head: FrequencyFilter
+    groups: int
     tokens: int  # N
     types: int  # V
 
-    def facts(self, hashes: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Per word: its level in the head, whether it is frequent, its exact count if so."""
-        level = self.stored.level(hashes)
-        at, frequent = find(self.frequent, hashes)
-        exact = np.zeros(len(hashes))
-        if frequent.any():
-            exact[frequent] = self.counts[at[frequent]]
-        return level, frequent, exact
-
 
 def log_probabilities(context, own, pair, total: int) -> np.ndarray:
     """log10 of p(own | context) by levels; ``total`` is N + V."""
@@ -305,195 +413,111 @@ def log_probabilities(context, own, pair, total: int) -> np.ndarray:
     return np.log10((pair + PRIOR * alone) / (context + PRIOR))
 
 
-SCORED = (
-    "doc_id {id}, held_out boolean, n_tokens long, n_known long, logs double, score double, "
-    "rare array<bigint>, times array<int>, asked array<bigint>, context array<int>, "
-    "own array<int>, pair array<int>, pair_times array<int>"
-)
-
-
-def _score_texts(shared, id_type: pa.DataType):
+def _score_chunks(shared, scored_type: pa.Schema):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """What the head decides, and for each text what it asks of the tail.
-
-        ``context``, ``own`` and ``pair`` of the text's open pairs are places in ``asked``,
-        or -1 less the level if the head holds it.
-        """
+        """Chunks and the groups' answers to them, to scores of their texts."""
         model: Model = shared.value
-        for keys, texts, (hashes, level, frequent, exact) in _chunks(batches, model.facts):
-            tokens = np.concatenate(texts)
-            before = _before(tokens, texts)
-            owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-            words = len(hashes)
-            pairs, pair = np.unique(before * words + tokens, return_inverse=True)
-            grams = np.concatenate(
-                [hashes, pair_hash(hashes[pairs // words], hashes[pairs % words])])
-            level = np.concatenate([level, model.stored.level(grams[words:])])
-            pair += words
-            total = lambda values: np.bincount(owner, values, len(texts))  # noqa: E731, B023
-            known = frequent[tokens]
-            exact = np.where(frequent, np.log10(exact + 1), 0.0)[tokens]
-            decided = (level[before] > 0) & (level[tokens] > 0) & (level[pair] > 0)
-            logs = np.zeros(len(tokens))
-            logs[decided] = log_probabilities(
-                *(level[x[decided]] for x in (before, tokens, pair)), model.tokens + model.types)
-
-            def lists(owners, *values):
-                ends = np.searchsorted(owners, np.arange(len(texts) + 1))  # noqa: B023
-                offsets = pa.array(ends.astype(np.int32))
-                return [pa.ListArray.from_arrays(offsets, pa.array(v)) for v in values]
-
-            # Open pairs, one entry for each text and pair.
-            left = np.flatnonzero(~decided)
-            _, place, pair_times = np.unique(
-                owner[left] * len(grams) + pair[left], return_index=True, return_counts=True)
-            left = left[place]
-            named = [owner[left] * len(grams) + x[left] for x in (before, tokens, pair)]
-            asked = np.unique(np.concatenate([x[level[x % len(grams)] == 0] for x in named]))
-            starts = np.searchsorted(asked, owner[left] * len(grams))
-            refs = []
-            for x in named:
-                own = level[x % len(grams)]
-                at = np.searchsorted(asked, x) - starts
-                refs.append(np.where(own == 0, at, -1 - own).astype(np.int32))
-            # Rare words: one entry for each text and word.
-            places = np.flatnonzero(~known)
-            both, times = np.unique(
-                owner[places] * words + tokens[places], return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([k[0] for k in keys], id_type),
-                    pa.array([k[1] for k in keys], pa.bool_()),
-                    pa.array(np.bincount(owner, minlength=len(texts)).astype(np.int64)),
-                    pa.array(total(known).astype(np.int64)),
-                    pa.array(total(exact)),
-                    pa.array(total(logs)),
-                    *lists(both // words, hashes[both % words].view(np.int64),
-                           times.astype(np.int32)),
-                    *lists(asked // len(grams), grams[asked % len(grams)].view(np.int64)),
-                    *lists(owner[left], *refs, pair_times.astype(np.int32)),
-                ],
-                names=["doc_id", "held_out", "n_tokens", "n_known", "logs", "score", "rare",
-                       "times", "asked", "context", "own", "pair", "pair_times"],
-            )
-
-    return score
-
-
-# -- the tail -----------------------------------------------------------------------
-
-
-def _probe_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(segment, row, pos, hash, n) rows in order, a segment's counts (row -1) before its
-    probes, to the (row, place and level) of the probes found."""
-    current, stored = None, FrequencyFilter(np.zeros((1, SEGMENT_BITS // 8), np.uint8))
-    for batch in batches:
-        segment, row, pos, hashes, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-        hashes = hashes.view(np.uint64)
-        cuts = np.flatnonzero((segment[1:] != segment[:-1])) + 1
-        for low, high in zip([0, *cuts], [*cuts, len(segment)], strict=True):
-            if low == high:
-                continue
-            if segment[low] != current:
-                current = segment[low]
-                stored.bits[:] = 0
-            probes = low + int(np.searchsorted(row[low:high], 0))
-            if low < probes:
-                _put(stored.bits[0], hashes[low:probes], levels(n[low:probes]))
-            level = stored.level(hashes[probes:high])
-            some = np.flatnonzero(level)
-            if len(some):
+        total = model.tokens + model.types
+        for batch in batches:
+            for docs, n, words, tokens, answers in zip(*batch.columns, strict=True):
+                docs = docs.as_py()
+                lengths = np.array([d["n"] for d in docs])
+                grams = Grams.of(
+                    *_unpacked(n.as_py(), words.as_py(), tokens.as_py()), lengths, model.groups)
+                answers = sorted(answers.as_py(), key=lambda a: a["group"])
+                exact = np.concatenate(
+                    [widened(a["word_n"], len(a["word_levels"])) for a in answers])
+                found = [
+                    np.frombuffer(b"".join(a[name] for a in answers), np.uint8).astype(np.int64)
+                    for name in ("word_levels", "pair_levels")
+                ]
+                level, pair_level = (
+                    np.maximum(tail, model.head.level(keys))
+                    for tail, keys in zip(found, (grams.words, grams.pairs), strict=True)
+                )
+                logs = log_probabilities(
+                    level[grams.before], level[grams.tokens], pair_level[grams.pair], total)
+                owner = np.repeat(np.arange(len(docs)), lengths)
+                sums = [
+                    np.bincount(owner, values, len(docs))
+                    for values in (exact[grams.tokens] > 0, np.log10(exact + 1)[grams.tokens],
+                                   logs)
+                ]
+                base = sums[1] - lengths * np.log10(total + 1.0)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(row[probes:high][some]),
-                     pa.array(pos[probes:high][some].astype(np.int64) << 8 | level[some])],
-                    names=["row", "found"])
-
+                    [
+                        pa.array([d["doc_id"] for d in docs], scored_type.field(0).type),
+                        pa.array([d["held_out"] for d in docs], pa.bool_()),
+                        pa.array(lengths.astype(np.int64)),
+                        pa.array(sums[0].astype(np.int64)),
+                        pa.array(np.full(len(docs), model.tokens, np.int64)),
+                        pa.array(base),
+                        pa.array(sums[2]),
+                    ],
+                    schema=scored_type,
+                )
 
-def tail_levels(tail: DataFrame, asked: DataFrame) -> DataFrame:
-    """(row, found): of each row's ``asked`` n-grams in ``tail``, the place << 8 | level."""
-    base = F.lit(float(np.log(LEVEL_BASE)))
-    entries = tail.agg(F.sum(1 + F.floor(F.log("n") / base)).alias("n")).first().n or 0
-    segments = max(1, -(-entries * BITS_PER_ENTRY // SEGMENT_BITS))
-    counts = tail.select(
-        F.lit(-1).cast("long").alias("row"), F.lit(0).alias("pos"), "hash", "n")
-    probes = asked.select("row", F.posexplode("asked").alias("pos", "hash")).withColumn(
-        "n", F.lit(0).cast("long"))
-    dealt = counts.unionByName(probes).select(
-        F.pmod(F.xxhash64("hash"), F.lit(segments)).alias("segment"), "row", "pos", "hash", "n")
-    found = (
-        dealt.repartition("segment").sortWithinPartitions("segment", "row")
-        .mapInArrow(_probe_segments, "row long, found long")
-    )
-    return found.groupBy("row").agg(F.collect_list("found").alias("found"))
-
-
-def _open_pairs(total: int):
-    def add(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        """The logs of a text's open pairs, by the levels found in the tail."""
-        for part in parts:
-            sums = []
-            for size, found, *refs, times in zip(*part, strict=True):
-                level = np.zeros(size + 1, np.int64)
-                if found is not None:
-                    level[found >> 8] = found & 255
-                known = [np.where(r >= 0, level[np.maximum(r, 0)], -1 - r) for r in refs]
-                sums.append(float(log_probabilities(*known, total) @ times))
-            yield pd.Series(sums, dtype=float)
-
-    return add
+    return score
 
 
 def score_documents(docs: DataFrame, held_out: Column) -> DataFrame:
     """All documents scored by a model of those where ``held_out`` does not hold."""
     spark = ship_package(docs.sparkSession)
+    kind = docs.schema["doc_id"].dataType
+    id_type, name = to_arrow_type(kind), kind.simpleString()
     texts = docs.select(
         "doc_id", held_out.alias("held_out"), F.col("text").cast("binary").alias("text")
     )
-    training = texts.where(~F.col("held_out")).select("text")
-    counted = "hash long, n long"
-    vocabulary = written(
-        training.mapInArrow(_count_words, counted).groupBy("hash").agg(F.sum("n").alias("n")),
-        "vocabulary",
+    chunk_type = pa.schema([
+        ("docs", pa.list_(pa.struct(
+            [("doc_id", id_type), ("held_out", pa.bool_()), ("n", pa.int64())]))),
+        ("n_tokens", pa.int64()), ("n_trained", pa.int64()),
+        ("words", pa.binary()), ("tokens", pa.binary()),
+    ])
+    chunks = written(
+        texts.mapInArrow(
+            _write_chunks(chunk_type),
+            f"docs array<struct<doc_id:{name},held_out:boolean,n:bigint>>, n_tokens long, "
+            "n_trained long, words binary, tokens binary",
+        ).withColumn("chunk", F.monotonically_increasing_id()),
+        "scoring-chunks",
+    )
+    sums = chunks.agg(F.sum("n_tokens").alias("all"), F.sum("n_trained").alias("n")).first()
+    n, groups = sums.n or 0, max(1, -(-(sums["all"] or 0) // GROUP_GRAMS))
+    blocks = chunks.select(
+        "chunk", "docs.n", "docs.held_out", "n_tokens", "words", "tokens"
+    ).mapInArrow(_deal_blocks(groups), BLOCK)
+    answer_type = pa.schema(
+        [("chunk", pa.int64()), ("group", pa.int64())]
+        + [(c, pa.binary()) for c in ("word_levels", "word_n", "pair_levels", "head", "head_n")]
+        + [("types", pa.int64())]
     )
-    sums = vocabulary.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    n, v = sums.n or 0, sums.v
-    top = vocabulary.where(F.col("n") * FREQUENT >= n).toPandas()  # at most FREQUENT rows
-    hashes = top["hash"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(hashes)
-    frequent, counts = hashes[order], top["n"].to_numpy(np.int64)[order]
-    pairs = training.mapInArrow(_count_pairs, counted).groupBy("hash").agg(F.sum("n").alias("n"))
-    stored = written(vocabulary.unionByName(pairs), "stored-counts")
-    head = build_filter(stored.where(F.col("n") * STORED >= n))
-    model = spark.sparkContext.broadcast(Model(frequent, counts, head, n, v))
-
-    id_type = pa.int64() if dict(docs.dtypes)["doc_id"] == "bigint" else pa.string()
-    kind = "long" if id_type == pa.int64() else "string"
-    scored = written(
-        texts.withColumn("doc_id", F.col("doc_id").cast(kind))
-        .mapInArrow(_score_texts(model, id_type), SCORED.format(id=kind))
-        .withColumn("row", F.monotonically_increasing_id()),
-        "scored-texts",
+    answers = written(
+        blocks.repartition("group").sortWithinPartitions("group")
+        .mapInArrow(_answer_blocks(n, answer_type), ANSWER),
+        "scoring-answers",
     )
-    rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r")).select(
-        "row", F.col("r.rare").alias("hash"), "r.times"
+    types = answers.agg(F.sum("types")).first()[0] or 0
+    # The head has at most 2 * STORED n-grams: words and pairs each add up to N.
+    head = build_filter(
+        answers.where("head is not null").select("head", "head_n")
+        .mapInArrow(_unpack_head, "hash long, n long")
     )
-    known = rare.join(vocabulary.where(F.col("n") * FREQUENT < n), "hash")
-    known = known.groupBy("row").agg(
-        F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("logs2")
+    model = spark.sparkContext.broadcast(Model(head, groups, n, types))
+    told = answers.where("chunk is not null").groupBy("chunk").agg(
+        F.collect_list(F.struct("group", "word_levels", "word_n", "pair_levels")).alias("answers")
     )
-    none = F.log10(F.lit(float(n + v + 1)))
-    found = tail_levels(stored.where(F.col("n") * STORED < n), scored)
-    more = pandas_udf(_open_pairs(n + v), "double")
-    return scored.join(found, "row", "left").join(known, "row", "left").select(
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        (F.col("n_known") + F.coalesce("more", F.lit(0))).cast("long").alias("n_known"),
-        F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("logs") + F.coalesce("logs2", F.lit(0.0)) - F.col("n_tokens") * none)
-        .alias("base_score"),
-        (F.col("score")
-         + more(F.size("asked"), "found", "context", "own", "pair", "pair_times")).alias("score"),
+    scored_type = pa.schema([
+        ("doc_id", id_type), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
+        ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()),
+        ("score", pa.float64()),
+    ])
+    return chunks.join(told, "chunk").select(
+        "docs", "n_tokens", "words", "tokens", "answers"
+    ).mapInArrow(
+        _score_chunks(model, scored_type),
+        f"doc_id {name}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+        "base_score double, score double",
     )
 
 

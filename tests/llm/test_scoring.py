@@ -23,9 +23,9 @@ def tokens_of(text):
     return [*re.findall(r"[^\x20\x09-\x0D]+", lowered), "\n"]
 
 
-@pytest.mark.parametrize("frequent", [1 << 20, 50])  # 50: nearly all words are joined
-def test_base_scores_are_exact_and_the_model_beats_them(spark, sf_dir, monkeypatch, frequent):
-    monkeypatch.setattr(scoring, "FREQUENT", frequent)
+@pytest.mark.parametrize("grams", [1 << 20, 50])  # 50: groups of few n-grams
+def test_base_scores_are_exact_and_the_model_beats_them(spark, sf_dir, monkeypatch, grams):
+    monkeypatch.setattr(scoring, "GROUP_GRAMS", grams)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
     held = {d.doc_id: zlib.crc32(str(d.doc_id).encode()) % 7 == 2 for d in docs}
     counts = Counter(t for d in docs if not held[d.doc_id] for t in tokens_of(d.text))
@@ -39,7 +39,7 @@ def test_base_scores_are_exact_and_the_model_beats_them(spark, sf_dir, monkeypat
         base = sum(math.log10((counts[t] + 1) / (n + v + 1)) for t in tokens)
         assert r.base_score == pytest.approx(base, rel=1e-9)
         assert -20 * len(tokens) < r.score <= 0
-    if frequent > 50:
+    if grams > 50:
         own = [r for r in rows.values() if r.held_out]
         assert sum(r.score for r in own) > sum(r.base_score for r in own)
 
@@ -100,3 +100,26 @@ def test_rare_words_and_pairs_count(spark, sf_dir, monkeypatch, stored):
             want += math.log10((pair + 20 * alone) / (c + 20))
         off.append(abs(r.score - want) / abs(want))
     assert max(off) < 0.05 and sum(off) / len(off) < 0.01
+
+
+@pytest.mark.parametrize("kind", ["int", "decimal(20,0)", "string", "bigint"])
+def test_ids_come_back_as_they_are(spark, documents, kind):
+    docs = documents([(1, "a b"), (2, "c")]).withColumn("doc_id", F.col("doc_id").cast(kind))
+    scored = score_documents(docs, F.lit(False))
+    assert dict(scored.dtypes)["doc_id"] == kind
+    assert sorted(int(r.doc_id) for r in scored.collect()) == [1, 2]
+
+
+def test_scores_do_not_depend_on_chunks_and_groups(documents, monkeypatch):
+    """A third of the texts share words that no training text has; one text is very long."""
+    texts = [(i, "new words here " * 3 if i % 3 else f"old {i % 7} text {i}") for i in range(60)]
+    docs = documents([*texts, (60, "old text 1 " * 4_000)])
+    held = F.col("doc_id") % 3 != 0
+    want = {r.doc_id: r for r in score_documents(docs, held).collect()}
+    monkeypatch.setattr(scoring, "CHUNK_TOKENS", 40)
+    monkeypatch.setattr(scoring, "GROUP_GRAMS", 100)
+    monkeypatch.setattr(scoring, "STORED", 50)
+    for r in score_documents(docs, held).collect():
+        assert (r.n_tokens, r.n_known) == (want[r.doc_id].n_tokens, want[r.doc_id].n_known)
+        assert r.base_score == pytest.approx(want[r.doc_id].base_score)
+        assert r.score == pytest.approx(want[r.doc_id].score, rel=0.1)
