@@ -73,6 +73,24 @@ def words_in(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().split()
 
 
+class Names(dict):
+    """Hashes of words; asked for a new word it computes and keeps it."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= TABLE_ENTRIES:
+            self.clear()
+        self[word] = value = xxhash.xxh3_64_intdigest(word)
+        return value
+
+
+def find(table: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of values in a sorted table, and whether they are there."""
+    if not len(table):
+        return np.zeros(len(values), np.int64), np.zeros(len(values), bool)
+    at = np.minimum(np.searchsorted(table, values), len(table) - 1)
+    return at, table[at] == values
+
+
 def levels(counts: np.ndarray) -> np.ndarray:
     exact = np.log(np.maximum(counts, 1)) / np.log(LEVEL_BASE)
     return 1 + np.floor(exact + 1e-9).astype(np.int64)
@@ -158,11 +176,14 @@ def _fill_segments(segments: int):
     return fill
 
 
-def build_filter(counts: DataFrame) -> FrequencyFilter:
-    """The filter of (hash, n) rows, as large as they need: callers bound the rows."""
+def build_filter(counts: DataFrame, most_segments: int | None = None) -> FrequencyFilter:
+    """The filter of (hash, n) rows, as large as they need: callers bound the rows.
+
+    With ``most_segments``, rows that need more make it err more often.
+    """
     base = F.lit(float(np.log(LEVEL_BASE)))
     entries = counts.agg(F.sum(1 + F.floor(F.log("n") / base)).alias("n")).first().n or 0
-    segments = segments_for(entries)
+    segments = min(segments_for(entries), most_segments or entries)
     bits = np.zeros((segments, SEGMENT_BITS // 8), dtype=np.uint8)
     if segments:
         @F.pandas_udf("long")
