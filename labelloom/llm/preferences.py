@@ -9,8 +9,9 @@ Defined results: turns are ordered by turn number, then role, then text, nulls f
 repeated turn stays. A null role is rendered as ``unknown``, a null text as empty, and both
 equal their like only. A pair that has one side only gets an empty completion for the other
 one. Equal sides share all turns and have two empty completions. The opening of a mark
-inside a text is broken by a blank, so that texts cannot pose as turns. Null pair ids form
-one pair. An empty table gives an empty result; other columns are not read.
+inside a text or a role is broken by a blank, and so is the closing of one and a line feed in
+a role, so that neither can pose as turns. Texts of any length are rendered whole. Null pair
+ids form one pair. An empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -25,9 +26,10 @@ OPENING, CLOSING, END = "<|", "|>\n", "<|end|>\n"
 
 
 def _header(turn: Column) -> Column:
-    return F.concat(
-        F.lit(OPENING), F.coalesce(turn["role"], F.lit("unknown")), F.lit(CLOSING)
-    )
+    role = F.coalesce(turn["role"], F.lit("unknown"))
+    for mark, harmless in ((OPENING, "< |"), (CLOSING.strip(), "| >"), ("\n", " ")):
+        role = F.replace(role, F.lit(mark), F.lit(harmless))
+    return F.concat(F.lit(OPENING), role, F.lit(CLOSING))
 
 
 def _body(turn: Column) -> Column:
