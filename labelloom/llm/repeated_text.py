@@ -24,7 +24,8 @@ lowest: equal windows have equal anchors at the same place. So
 Defined results: a null text is empty. Texts shorter than ``LENGTH`` lose nothing. Rows that
 repeat a ``doc_id`` are compared as one document: what starts at the same place in both is
 not earlier. A null id is smaller than all others; ids are whole numbers. An empty table
-gives an empty result. Columns other than ``doc_id`` and ``text`` are not read.
+gives an empty result. A ``doc_id`` that is no whole number is an error, as ids give the order.
+Columns other than ``doc_id`` and ``text`` are not read.
 """
 
 from __future__ import annotations
@@ -294,8 +295,14 @@ def removed_spans(docs: DataFrame) -> DataFrame:
     """
     spark = ship_package(docs.sparkSession)
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    number = F.col("doc_id").try_cast("long")
+    checked = F.when(
+        F.col("doc_id").isNotNull() & number.isNull(),
+        F.raise_error(F.format_string("doc_id %s is no whole number", F.col("doc_id")))
+        .cast("long"),
+    ).otherwise(F.coalesce(number, F.lit(NO_ID)))
     texts = docs.select(
-        "doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id_"),
+        "doc_id", checked.alias("id_"),
         F.xxhash64(text).alias("text_key"), text.alias("text"),
     ).withColumn("digest", F.unhex(F.sha2("text", 256)))
     copies = small_enough(written(

@@ -86,6 +86,14 @@ def test_hard_texts(documents, monkeypatch, portion, hot):
     assert got(remove_repeats(docs)) == brute_force(rows)
 
 
+def test_ids_that_are_no_numbers_are_refused(documents):
+    docs = documents([(1, "a" * 150), (2, "b")])
+    texts = docs.withColumn("doc_id", F.concat(F.lit("1"), F.col("doc_id").cast("string")))
+    assert remove_repeats(texts).count() == 2
+    with pytest.raises(Exception, match="x1 is no whole number"):
+        remove_repeats(docs.withColumn("doc_id", F.concat(F.lit("x"), F.lit("1")))).collect()
+
+
 def test_empty(documents):
     assert remove_repeats(documents([])).count() == 0
 
