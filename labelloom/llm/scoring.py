@@ -52,6 +52,8 @@ BITS_PER_ENTRY, PROBES = 12, 6
 TABLE_ENTRIES = 300_000
 CHUNK_TOKENS = 1_000_000
 GROUP_GRAMS = 1 << 20
+#: Groups, and tokens of chunks, that a task gets.
+TASK_GROUPS, TASK_TOKENS = 16, 16_000_000
 
 END = xxhash.xxh3_64_intdigest(b"\n")  # no word holds a line feed
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -505,6 +507,10 @@ def score_documents(docs: DataFrame, held_out: Column) -> DataFrame:
     )
     sums = chunks.agg(F.sum("n_tokens").alias("all"), F.sum("n_trained").alias("n")).first()
     n, groups = sums.n or 0, max(1, -(-(sums["all"] or 0) // GROUP_GRAMS))
+    # Tasks by what they hold, so that none grows with the corpus.
+    least = spark.sparkContext.defaultParallelism
+    group_tasks = max(least, -(-groups // TASK_GROUPS))
+    chunk_tasks = max(least, -(-(sums["all"] or 0) // TASK_TOKENS))
     blocks = chunks.select(
         "chunk", "docs.n", "docs.held_out", "n_tokens", "words", "tokens"
     ).mapInArrow(_deal_blocks(groups), BLOCK)
@@ -514,7 +520,7 @@ def score_documents(docs: DataFrame, held_out: Column) -> DataFrame:
         + [("types", pa.int64())]
     )
     answers = written(
-        blocks.repartition("group").sortWithinPartitions("group")
+        blocks.repartition(group_tasks, "group").sortWithinPartitions("group")
         .mapInArrow(_answer_blocks(n, answer_type), ANSWER),
         "scoring-answers",
     )
@@ -525,7 +531,8 @@ def score_documents(docs: DataFrame, held_out: Column) -> DataFrame:
         .mapInArrow(_unpack_head, "hash long, n long")
     )
     model = spark.sparkContext.broadcast(Model(head, groups, n, types))
-    told = answers.where("chunk is not null").groupBy("chunk").agg(
+    told = answers.where("chunk is not null").repartition(chunk_tasks, "chunk")
+    told = told.groupBy("chunk").agg(
         F.collect_list(F.struct("group", "word_levels", "word_n", "pair_levels")).alias("answers")
     )
     scored_type = pa.schema([
@@ -533,7 +540,7 @@ def score_documents(docs: DataFrame, held_out: Column) -> DataFrame:
         ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()),
         ("score", pa.float64()),
     ])
-    return chunks.join(told, "chunk").select(
+    return chunks.repartition(chunk_tasks, "chunk").join(told, "chunk").select(
         "docs", "n_tokens", "words", "tokens", "answers"
     ).mapInArrow(
         _score_chunks(model, scored_type),
