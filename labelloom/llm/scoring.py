@@ -50,10 +50,10 @@ PRIOR = 20.0  # M, the weight of the word's own probability
 SEGMENT_BITS = 1 << 19
 BITS_PER_ENTRY, PROBES = 12, 6
 TABLE_ENTRIES = 300_000
-CHUNK_TOKENS = 1_000_000
+CHUNK_TOKENS = 500_000
 GROUP_GRAMS = 1 << 20
 #: Groups, and tokens of chunks, that a task gets.
-TASK_GROUPS, TASK_TOKENS = 16, 16_000_000
+TASK_GROUPS, TASK_TOKENS = 2, 2_000_000
 
 END = xxhash.xxh3_64_intdigest(b"\n")  # no word holds a line feed
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
