@@ -34,8 +34,9 @@ from __future__ import annotations
 
 import time
 from collections import defaultdict
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import cached_property
 from itertools import count
@@ -47,6 +48,7 @@ from pyspark.sql import types as T
 from labelloom.functions.validation import with_reject_reasons
 from labelloom.operators import resume
 from labelloom.operators.call_log import CallLog
+from labelloom.operators.live import LiveProgress
 from labelloom.operators.model_call import ClientFactory, TextAnnotator, spread
 from labelloom.operators.resume import (
     completeness,
@@ -166,6 +168,7 @@ class AnnotationJob:
     client_factory: ClientFactory | TextAnnotator
     counter: Counter = field(default_factory=CharCounter)
     id_type: T.DataType = field(default_factory=T.LongType)
+    live: LiveProgress | None = None  # told of every commit
 
     # -- tables -----------------------------------------------------------------
 
@@ -432,8 +435,9 @@ class AnnotationJob:
         documents = spread(scan.documents(), self.settings.slots, "part", "pos")
         outcomes = self._first(documents, self._known(1, [bucket]) if known else None)
         _, schema = self._tables["1"]
-        outcomes.select(*[c for c in schema.fieldNames() if c != "bucket"]).write.mode(
-            "append").parquet(f"{self._attempt_path(1)}/bucket={bucket}")
+        outcomes = outcomes.select(*[c for c in schema.fieldNames() if c != "bucket"])
+        with self._observed(outcomes, 1, scan) as outcomes:
+            outcomes.write.mode("append").parquet(f"{self._attempt_path(1)}/bucket={bucket}")
         self._forget_calls(1, list(scan.paths))
 
     def _with_bucket(self, rows: DataFrame) -> DataFrame:
@@ -500,8 +504,22 @@ class AnnotationJob:
 
     def _append(self, outcomes: DataFrame, attempt: int) -> None:
         path, schema = self._tables[str(attempt)]
-        outcomes.select(*schema.fieldNames()).write.mode("append").partitionBy(
-            "bucket").parquet(path)
+        with self._observed(outcomes.select(*schema.fieldNames()), attempt) as outcomes:
+            outcomes.write.mode("append").partitionBy("bucket").parquet(path)
+
+    @contextmanager
+    def _observed(
+        self, outcomes: DataFrame, attempt: int, scan: CorpusScan | None = None
+    ) -> Iterator[DataFrame]:
+        """Outcomes that are counted while they are written, if somebody asked for it."""
+        if self.live is None:
+            yield outcomes
+            return
+        names = self.live.corpora() if scan is None else scan.names()
+        kinds = (ACCEPTED, REFUSED, RETRY, ERROR)
+        outcomes, written = self.live.observed(outcomes, attempt, names, kinds)
+        yield outcomes
+        written()
 
     def _append_rows(self, name: str, rows: DataFrame) -> None:
         path, schema = self._tables[name]

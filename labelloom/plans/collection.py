@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from labelloom.operators.live import LiveProgress
 from labelloom.operators.model_call import ClientFactory, TextAnnotator
 from labelloom.operators.positions import with_rank
 from labelloom.operators.resume import skip_published
@@ -40,6 +41,7 @@ class Collection:
     client_factory: ClientFactory | TextAnnotator
     fallback_root: str | None = None
     counter: Counter = field(default_factory=CharCounter)
+    live: LiveProgress | None = None
 
     def files(self, dataset: str | None = None) -> DataFrame:
         """Files to scan ``(dataset, path)`` of all corpora, or of one; all must be there."""
@@ -68,7 +70,7 @@ class Collection:
     def job(self, kind: str, scan: CorpusScan) -> AnnotationJob:
         return AnnotationJob(
             self.spark, f"{self.out}/ids-{kind}", self.settings, self.client_factory,
-            self.counter, scan.id_type,
+            self.counter, scan.id_type, self.live,
         )
 
     def annotate(self, dataset: str | None = None) -> list[str]:

@@ -283,12 +283,20 @@ class CorpusScan:
         counts = corpus_counts(self.documents(keyed=False))
         if self.dataset is not None:
             return counts
-        listed = self.spark.createDataFrame([(path,) for path in self.paths], "path string")
-        names = listed.select(corpus_of_path(F.col("path")).alias("dataset")).distinct()
-        return names.join(counts, "dataset", "left").select(
+        return self._named().join(counts, "dataset", "left").select(
             "dataset", F.coalesce("n_rows", F.lit(0)).alias("n_rows")
         )
 
+    def _named(self) -> DataFrame:
+        if self.dataset is not None:
+            return self.documents(keyed=False).select("dataset").distinct()
+        listed = self.spark.createDataFrame([(path,) for path in self.paths], "path string")
+        return listed.select(corpus_of_path(F.col("path")).alias("dataset")).distinct()
+
+    def names(self) -> list[str]:
+        """Corpora of the scan; those that a column names need a pass over that column."""
+        return sorted(row.dataset for row in self._named().collect() if row.dataset is not None)
+
     def only(self, paths: Sequence[str]) -> CorpusScan:
         return replace(self, paths=tuple(paths), schema=self.schema or self._schema())
 
