@@ -395,7 +395,7 @@ def published_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     job.run(scan)
     target = f"{job.root}/published"
     publish(spark, job.annotations(), job.states(scan), target, SETTINGS)
-    return flat(read_published(spark, target))
+    return flat(read_published(spark, target, job.id_type))
 
 
 def changed_corpora(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from labelloom.functions.paths import annotation_path, publish_message
 from labelloom.operators.resume import publishable, skip_published
-from labelloom.plans.annotate import annotations_path, replace_corpora
+from labelloom.plans.annotate import annotations_path, annotations_type, replace_corpora
 from labelloom.settings import Settings
 from labelloom.sources.corpora import corpus_counts
 from labelloom.sources.tables import ensure_table
@@ -33,13 +33,21 @@ def published_manifest(spark: SparkSession, target: str) -> DataFrame:
     return ensure_table(spark, f"{target}/manifest", MANIFEST_TYPE)
 
 
-def published_rows(spark: SparkSession, target: str) -> DataFrame:
-    """All published annotations, read from where the manifest says they are."""
+def published_rows(
+    spark: SparkSession, target: str, id_type: T.DataType = T.LongType()
+) -> DataFrame:
+    """All published annotations, read from where the manifest says they are.
+
+    While no corpus with rows is published there are none, and ``id_type`` says what their ids
+    would be; otherwise the files do.
+    """
     places = [
         f"{target}/{row.location}"
         for row in published_manifest(spark, target).filter("n_rows > 0")
         .select("location").distinct().collect()
     ]
+    if not places:
+        return spark.createDataFrame([], annotations_type(id_type)).drop("bucket")
     reader = spark.read.option("basePath", f"{target}/annotations")
     return reader.parquet(*places).drop("model_slug")
 

@@ -6,6 +6,7 @@ import pytest
 from labelloom.plans.collection import Collection
 from labelloom.plans.publish import (
     MANIFEST_TYPE,
+    publish,
     published_manifest,
     published_paths,
     published_rows,
@@ -51,6 +52,22 @@ def test_a_missing_target_has_an_empty_manifest(spark, tmp_path):
         assert manifest.schema == MANIFEST_TYPE and manifest.count() == 0
 
 
+def test_nothing_published_has_no_rows_but_all_columns(spark, tmp_path, log):
+    """A corpus with a refused row is not whole; the first one that is changes no column."""
+    job = job_of(spark, tmp_path, describing_client(log))
+    scan = scan_of(spark, corpus(spark, tmp_path, "alpha", [("a1", "one"), ("a2", None)]))
+    target = f"{tmp_path}/published"
+    job.run(scan)
+    assert publish(spark, job.annotations(), job.states(scan), target, job.settings) == []
+    none = published_rows(spark, target, job.id_type)
+    assert none.collect() == []
+    other = scan_of(spark, corpus(spark, tmp_path, "beta", [("b1", "one")]))
+    job.run(other)
+    assert publish(spark, job.annotations(), job.states(other), target, job.settings) == ["beta"]
+    published = published_rows(spark, target, job.id_type)
+    assert published.count() == 1 and published.schema == none.schema
+
+
 def test_collection_from_files_to_published_tables(spark, tmp_path, log):
     corpus(spark, tmp_path, "alpha", [("a1", "one"), ("a2", "two")])
     corpus(spark, tmp_path, "beta", [("b1", "never"), ("b2", "two")])
