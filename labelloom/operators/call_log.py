@@ -7,9 +7,13 @@ its answer there is not called for again, whoever does the work the second time:
 task, a later attempt of the job, or a run after the driver was lost. At most ``batch_rows``
 answers and the calls under way are paid for twice.
 
-Only files whose positions cover a row are read for it. Files are written under another name
-and then moved, so none is ever seen half done. Once the answers are in the response table
-their log is deleted.
+Only files whose positions cover a row are read for it. Below a file's folder they lie by run
+of the call stage and by its partition: what other partitions of the same run have logged is for
+rows that this one never gets, and is not even listed. Of a file that was read a task keeps the
+positions not yet given out and, for the files read last, the answers; so an earlier run's log,
+however its rows were dealt out, is never held whole. Files are written under another name and
+then moved, so none is ever seen half done. Once the answers are in the response table their log
+is deleted.
 """
 
 from __future__ import annotations
@@ -17,16 +21,22 @@ from __future__ import annotations
 import hashlib
 import threading
 import uuid
-from dataclasses import dataclass
+from collections import defaultdict
+from collections.abc import Iterable
+from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
-from pyarrow.fs import FileSelector
+from pyarrow.fs import FileInfo, FileSelector, FileType
 from pyarrow.ipc import RecordBatchFileReader, new_file
+from pyspark import TaskContext
 
 from labelloom.sources.files import delete_folder, file_system
 
 Row = tuple[str, int, int]  # part, version, pos
 LOGGED = pa.schema([("pos", pa.int64()), ("raw", pa.string())])
+#: Answers that a task keeps of the files it read, beyond those it has just been asked for.
+MOST_KNOWN = 10_000
 
 
 def part_folder(root: str, part: str) -> str:
@@ -35,10 +45,14 @@ def part_folder(root: str, part: str) -> str:
 
 @dataclass(frozen=True)
 class CallLog:
-    """Where a job keeps the answers of one attempt, and how many make a file."""
+    """Where a job keeps the answers of one attempt, and how many make a file.
+
+    ``run`` stands for one run of a call stage: its tasks share this object.
+    """
 
     root: str
     batch_rows: int
+    run: str = field(default_factory=lambda: uuid.uuid4().hex, compare=False)
 
     def forget(self, parts: list[str] | None = None) -> None:
         """Delete the log of some files, or of all."""
@@ -46,42 +60,94 @@ class CallLog:
             delete_folder(folder)
 
 
+@dataclass
+class LoggedFile:
+    first: int
+    last: int
+    path: str
+    left: np.ndarray | None = None  # positions not yet given out, once it was read
+
+
 class TaskLog:
     """A task's view of the log. Calls of a task end in several threads, which all add to it."""
 
     def __init__(self, log: CallLog):
         self.log = log
         self.system, self.root = file_system(log.root)
+        context = TaskContext.get()
+        self.partition = context.partitionId() if context else 0
         self.lock = threading.Lock()
-        self.files: dict[tuple[str, int], list[tuple[int, int, str]]] = {}
+        self.files: dict[tuple[str, int], list[LoggedFile]] = {}
         self.known: dict[Row, str | None] = {}
         self.news: list[tuple[Row, str | None]] = []
 
     def _folder(self, part: str, version: int) -> str:
         return f"{part_folder(self.root, part)}/{version}"
 
-    def _listed(self, part: str, version: int) -> list[tuple[int, int, str]]:
+    def _entries(self, folder: str, recursive: bool = False) -> list[FileInfo]:
+        return self.system.get_file_info(
+            FileSelector(folder, allow_not_found=True, recursive=recursive))
+
+    def _listed(self, part: str, version: int) -> list[LoggedFile]:
         if (part, version) not in self.files:
-            found = self.system.get_file_info(
-                FileSelector(self._folder(part, version), allow_not_found=True))
+            found = self._entries(self._folder(part, version))
+            for run in [info for info in found if info.type == FileType.Directory]:
+                if run.base_name == self.log.run:
+                    found += self._entries(f"{run.path}/{self.partition}")
+                else:
+                    found += self._entries(run.path, recursive=True)
             self.files[part, version] = [
-                (*map(int, info.base_name.split("_")[:2]), info.path)
+                LoggedFile(*map(int, info.base_name.split("_")[:2]), info.path)
                 for info in found if info.base_name.endswith(".arrow")
             ]
         return self.files[part, version]
 
     def find(self, row: Row) -> tuple[bool, str | None]:
         """Whether the row's answer is there, and the answer. It is given out once."""
-        part, version, pos = row
-        files = self._listed(part, version)
-        covering = [f for f in files if f[0] <= pos <= f[1]]
-        for file in covering:
-            files.remove(file)
-            with self.system.open_input_file(file[2]) as source:
-                table = RecordBatchFileReader(source).read_all()
-            for at, raw in zip(*(c.to_pylist() for c in table.columns), strict=True):
-                self.known[part, version, at] = raw
-        return (True, self.known.pop(row)) if row in self.known else (False, None)
+        found = self.find_all([row])
+        return (True, found[row]) if row in found else (False, None)
+
+    def find_all(self, rows: Iterable[Row]) -> dict[Row, str | None]:
+        """The answers that are there, of the rows asked for. Each is given out once.
+
+        Ask for many rows at a time: a file is opened once for those it holds.
+        """
+        wanted, found = defaultdict(list), {}
+        for part, version, pos in rows:
+            wanted[part, version].append(pos)
+        for key, asked in wanted.items():
+            files = self._listed(*key)
+            asked = np.unique(asked) if files else asked
+            for file in files:
+                low, high = np.searchsorted(asked, (file.first, file.last + 1))
+                if low < high:
+                    found |= self._taken(key, file, asked[low:high])
+            self.files[key] = [file for file in files if file.left is None or len(file.left)]
+        return found
+
+    def _taken(
+        self, key: tuple[str, int], file: LoggedFile, asked: np.ndarray
+    ) -> dict[Row, str | None]:
+        if file.left is None:
+            file.left = self._read(key, file)
+        held = np.isin(file.left, asked)
+        rows = [(*key, pos) for pos in file.left[held].tolist()]
+        if any(row not in self.known for row in rows):
+            self._read(key, file)
+        file.left = file.left[~held]
+        taken = {row: self.known.pop(row) for row in rows}
+        while len(self.known) > MOST_KNOWN:
+            del self.known[next(iter(self.known))]
+        return taken
+
+    def _read(self, key: tuple[str, int], file: LoggedFile) -> np.ndarray:
+        """Make the file's answers known, those aside that were given out; its positions."""
+        with self.system.open_input_file(file.path) as source:
+            table = RecordBatchFileReader(source).read_all()
+        answers = dict(zip(*(c.to_pylist() for c in table.columns), strict=True))
+        left = np.array(list(answers), np.int64) if file.left is None else file.left
+        self.known |= {(*key, pos): answers[pos] for pos in left.tolist()}
+        return left
 
     def add(self, row: Row, raw: str | None) -> None:
         """Other calls that end meanwhile wait, so no more than a batch is ever unwritten."""
@@ -100,7 +166,8 @@ class TaskLog:
             by_file.setdefault((part, version), []).append((pos, raw))
         for (part, version), answers in by_file.items():
             answers.sort(key=lambda a: a[0])
-            folder, name = self._folder(part, version), uuid.uuid4().hex
+            folder = f"{self._folder(part, version)}/{self.log.run}/{self.partition}"
+            name = uuid.uuid4().hex
             self.system.create_dir(folder, recursive=True)
             table = pa.table([list(c) for c in zip(*answers)], schema=LOGGED)
             with self.system.open_output_stream(f"{folder}/{name}.open") as sink:

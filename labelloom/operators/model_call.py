@@ -125,9 +125,12 @@ def _answers(
 
         def rows() -> Iterator[tuple]:
             for batch in batches:
-                for content, *key in zip(*(c.tolist() for c in batch), strict=True):
-                    found = kept.find(tuple(key)) if kept and content is not None else (False,)
-                    yield content, *key, found
+                asked = list(zip(*(c.tolist() for c in batch), strict=True))
+                found = kept.find_all(key for content, *key in asked if content is not None) \
+                    if kept else {}
+                for content, *key in asked:
+                    known = tuple(key) in found
+                    yield content, *key, (known, found.pop(tuple(key)) if known else None)
 
         answers = in_order(answer, rows(), in_flight, in_flight * WAITING_PER_REQUEST)
         try:

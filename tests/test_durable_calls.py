@@ -108,6 +108,44 @@ def test_only_files_that_cover_a_row_are_read(tmp_path):
     assert fresh.find(("p", 1, 55)) == (True, "55") and len(fresh.known) == 9
 
 
+def test_a_task_reads_no_answers_of_its_run_s_other_tasks(tmp_path):
+    """Those are for rows it never gets; its own are there for a second try of the task."""
+    log = CallLog(f"{tmp_path}/calls", 3)
+    tasks = [TaskLog(log), TaskLog(log)]
+    for at, task in enumerate(tasks):
+        task.partition = at
+        for pos in range(at, 40, 2):
+            task.add(("p", 1, pos), str(pos))
+        task.flush()
+    again = TaskLog(log)
+    again.partition = 1
+    assert again.find(("p", 1, 20)) == (False, None)
+    assert {pos % 2 for *_, pos in again.known} == {1}
+    found = again.find_all(("p", 1, pos) for pos in range(40))
+    assert found == {("p", 1, pos): str(pos) for pos in range(1, 40, 2)} and not again.known
+
+
+def test_an_earlier_run_s_log_is_never_held_whole(tmp_path, monkeypatch):
+    """Its rows were dealt out in another way: each of its files has a few for every task."""
+    monkeypatch.setattr("labelloom.operators.call_log.MOST_KNOWN", 20, raising=False)
+    for start in (0, 1):  # row 0 and 100, 200, ... were answered twice
+        log = TaskLog(CallLog(f"{tmp_path}/calls", 10))
+        for pos in range(0, 1000, 1 if start == 0 else 100):
+            log.add(("p", 1, pos), None if pos % 7 == 0 else str(pos))
+        log.flush()
+    rows = [("p", 1, pos) for pos in range(1000)]
+    for tasks in (1, 3):
+        for task in range(tasks):
+            own = TaskLog(CallLog(f"{tmp_path}/calls", 10))
+            mixed = [row for step in range(50) for row in rows[task::tasks][step::50]]
+            for start in range(0, len(mixed), 25):
+                asked = mixed[start:start + 25]
+                found = own.find_all(asked)
+                assert found == {r: None if r[2] % 7 == 0 else str(r[2]) for r in asked}
+                assert len(own.known) <= 20
+            assert own.find_all(mixed) == {}
+
+
 def test_a_slow_call_holds_up_no_other():
     def call(i):
         time.sleep(0.5 if i % 100 == 50 else 0.01)
