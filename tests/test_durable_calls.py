@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelloom.operators.call_log import CallLog, TaskLog
-from labelloom.operators.model_call import in_order
+from labelloom.operators.model_call import in_order, spread
 from labelloom.plans.annotate import AnnotationJob
 from labelloom.plans.publish import publish, published_manifest, published_rows
 from labelloom.settings import Settings
@@ -125,6 +125,21 @@ def test_a_task_reads_no_answers_of_its_run_s_other_tasks(tmp_path):
     assert found == {("p", 1, pos): str(pos) for pos in range(1, 40, 2)} and not again.known
 
 
+def test_tasks_log_by_run_and_partition(spark, tmp_path):
+    """Whatever the tasks' number, a task of a run looks into its own folder only."""
+    path = corpus(spark, tmp_path, "demo", [(f"i{i}", f"text {i}") for i in range(40)])
+    job = job_of(spark, tmp_path, describing_client(log_of(tmp_path)), batch_rows=2)
+    for tasks in (4, 3):
+        job.call_documents(spread(scan_of(spark, path).documents(), tasks, "part", "pos"))
+    (part,) = os.listdir(job.call_log(1).root.removeprefix("file:"))
+    folders = [d for d, _, files in os.walk(f"{tmp_path}/out/calls") if files]
+    assert all(part in d for d in folders)
+    places = {tuple(d.split("/")[-2:]) for d in folders}
+    # The second run found all answers of the first, however it dealt out the rows.
+    assert len({run for run, _ in places}) == 1 and {at for _, at in places} == set("0123")
+    assert len(calls(f"{tmp_path}/log")) == 40
+
+
 def test_an_earlier_run_s_log_is_never_held_whole(tmp_path, monkeypatch):
     """Its rows were dealt out in another way: each of its files has a few for every task."""
     monkeypatch.setattr("labelloom.operators.call_log.MOST_KNOWN", 20, raising=False)
