@@ -3,6 +3,8 @@
 The client is injected as a factory and built once per task. Only the user message
 crosses to Python and only the response crosses back; ids and texts stay in the JVM and are
 re-attached row by row, in order. With a log of answers, the row's file and position go along.
+Messages stay in Arrow batches until shortly before their call, so that a task never holds all
+of a batch as strings: their memory is bounded by rows, however many a task has.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass
 from itertools import islice
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +30,8 @@ ModelCall = Callable[[Messages, int, dict], str | None]
 ClientFactory = Callable[[], ModelCall]
 
 RESPONSE_TYPE = "struct<raw:string,error:string>"
-#: Answers that may wait for an earlier one, per request under way; rows handed on at once.
+RESPONSE_FIELDS = ("raw", "error")
+#: Answers that may wait for an earlier one, per request under way; rows taken and handed on at once.
 WAITING_PER_REQUEST, ROWS_PER_BATCH = 32, 1_000
 
 
@@ -104,8 +107,8 @@ def _answers(
     in_flight = settings.requests_per_task
     row = row if log else [F.lit(None).cast(kind) for kind in ("string", "long", "long")]
 
-    @F.pandas_udf(RESPONSE_TYPE)
-    def respond(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(RESPONSE_TYPE)
+    def respond(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         call = build()
         kept = TaskLog(log) if log else None
 
@@ -125,17 +128,23 @@ def _answers(
 
         def rows() -> Iterator[tuple]:
             for batch in batches:
-                asked = list(zip(*(c.tolist() for c in batch), strict=True))
-                found = kept.find_all(key for content, *key in asked if content is not None) \
-                    if kept else {}
-                for content, *key in asked:
-                    known = tuple(key) in found
-                    yield content, *key, (known, found.pop(tuple(key)) if known else None)
+                contents, *keys = batch
+                sent = contents.is_valid()
+                found = kept.find_all(
+                    zip(*(key.filter(sent).to_pylist() for key in keys), strict=True)
+                ) if kept else {}
+                for start in range(0, len(contents), ROWS_PER_BATCH):
+                    some = (column.slice(start, ROWS_PER_BATCH).to_pylist() for column in batch)
+                    for content, *key in zip(*some, strict=True):
+                        known = tuple(key) in found
+                        yield content, *key, (known, found.pop(tuple(key)) if known else None)
 
         answers = in_order(answer, rows(), in_flight, in_flight * WAITING_PER_REQUEST)
         try:
             while part := list(islice(answers, ROWS_PER_BATCH)):
-                yield pd.DataFrame(part, columns=["raw", "error"], dtype=object)
+                yield pa.StructArray.from_arrays(
+                    [pa.array(values, pa.string()) for values in zip(*part, strict=True)],
+                    RESPONSE_FIELDS)
         finally:
             answers.close()
             if kept:

@@ -2,13 +2,14 @@
 
 import os
 import time
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelloom.operators.call_log import CallLog, TaskLog
-from labelloom.operators.model_call import in_order, spread
+from labelloom.operators.model_call import in_order, model_response, spread
 from labelloom.plans.annotate import AnnotationJob
 from labelloom.plans.publish import publish, published_manifest, published_rows
 from labelloom.settings import Settings
@@ -48,6 +49,40 @@ def dying(factory, after):
     return build
 
 
+def measuring(n_rows):
+    """A client that answers with the peak of its worker's Python memory so far, in bytes."""
+
+    def build():
+        tracemalloc.start()
+        made = []
+
+        def answer(*_):
+            made.append(1)
+            peak = tracemalloc.get_traced_memory()[1] if tracemalloc.is_tracing() else 0
+            if len(made) == n_rows:
+                tracemalloc.stop()
+            return str(peak)
+
+        return answer
+
+    return build
+
+
+def test_a_task_holds_no_batch_of_texts_as_strings(spark):
+    """A text of 4 bytes a character in Python and 1 in Arrow: all rows are one Arrow batch."""
+    rows, size = 8_000, 2_000
+    texts = spark.range(0, rows, 1, 1).select(
+        F.concat(F.col("id").cast("string"), F.lit("\U0001f600"), F.lit("x" * size)).alias("text"))
+    settings = Settings("lab/annotator-1", requests_per_task=1)
+    response = model_response(F.col("text"), measuring(rows), settings, 1)
+    answers = texts.select(response.alias("answer")).select("answer.*")
+    found = answers.agg(
+        F.count("raw").alias("n"), F.count("error").alias("errors"),
+        F.max(F.col("raw").cast("long")).alias("peak")).first()
+    assert (found.n, found.errors) == (rows, 0)
+    assert 0 < found.peak < rows * size * 4 * 0.75
+
+
 def test_a_lost_task_costs_one_batch_of_second_calls(spark, tmp_path):
     rows = [(f"i{i:03}", f"text {i:03}") for i in range(300)]
     scan = scan_of(spark, corpus(spark, tmp_path, "demo", rows))
